@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -122,6 +122,12 @@ def array_scale(a: Column, factor: Column | float) -> Column:
     return F.transform(a, lambda x: x * factor)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it in ``body``. A column named
+    inside an array lambda would be evaluated again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def array_sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double"))
 

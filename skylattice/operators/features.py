@@ -9,6 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import array_sum, let
 from ..ordered import OrderedRows, attach
 from ..session import materialise
 
@@ -96,10 +97,15 @@ def scale_range(df: DataFrame, fitted: DataFrame, columns: Sequence[str], keys:
 def standardise_profile(profile: Column) -> Column:
     """Each profile over its own levels, with the sample std."""
     n = F.size(profile)
-    mean = F.aggregate(profile, F.lit(0.0), lambda s, x: s + x) / n
-    square = F.aggregate(profile, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
-    std = F.sqrt(square / (n - 1))
-    return F.when((n > 1) & (std > 0), F.transform(profile, lambda x: (x - mean) / std))
+    mean = array_sum(profile) / n
+
+    def spread(m: Column) -> Column:
+        return F.sqrt(F.aggregate(profile, F.lit(0.0), lambda s, x: s + (x - m) * (x - m)) / (n - 1))
+
+    def scaled(m: Column, std: Column) -> Column:
+        return F.when(std > 0, F.transform(profile, lambda x: (x - m) / std))
+
+    return F.when(n > 1, let(mean, lambda m: let(spread(m), lambda std: scaled(m, std))))
 
 
 def tokens(text: Column) -> Column:

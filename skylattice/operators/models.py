@@ -330,30 +330,26 @@ def explained_variance(spark: SparkSession, model: Model) -> DataFrame:
 
 def reconstruction_errors(df: DataFrame, features: str, k: int, out: str = "error") -> DataFrame:
     """1 minus the mean of the 2x2 correlation matrix of each row and its
-    reconstruction from ``k`` components."""
-    vec = with_vector(df, features, "features")
-    model, project = principal_components(vec, k)
+    reconstruction from ``k`` components. Rows are scored in Arrow batches."""
+    centre = StandardScaler(inputCol="features", outputCol="__centred", withMean=True, withStd=False)
+    fit = Pipeline(stages=[centre, PCA(k=k, inputCol="__centred", outputCol="__projected")])
+    model = fit.fit(with_vector(df, features, "features"))
     axes = model.stages[-1].pc.toArray()  # features x k
     mean = model.stages[0].mean.toArray()
-    got = project(vec)
-    rows = F.array(*[F.array(*[F.lit(float(v)) for v in axis]) for axis in axes])
-    means = F.array(*[F.lit(float(v)) for v in mean])
-
-    def dot(a: Column, b: Column) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-
-    back = F.zip_with(F.transform(rows, lambda axis: dot(axis, F.col("components"))), means, lambda v, m: v + m)
-    got = got.withColumn("__x", F.col(features).cast("array<double>")).withColumn("__back", back)
-    got = got.withColumn("__xc", centred(F.col("__x"))).withColumn("__bc", centred(F.col("__back")))
-    bottom = F.sqrt(dot(F.col("__xc"), F.col("__xc")) * dot(F.col("__bc"), F.col("__bc")))
-    r = F.when(bottom > 0, dot(F.col("__xc"), F.col("__bc")) / bottom)
-    # the matrix is [[1, r], [r, 1]]
-    return got.withColumn(out, 1 - (2 + 2 * r) / 4).drop("__x", "__back", "__xc", "__bc", "components", "features")
-
 
-def centred(values: Column) -> Column:
-    mean = F.aggregate(values, F.lit(0.0), lambda s, v: s + v) / F.size(values)
-    return F.transform(values, lambda v: v - mean)
+    @F.pandas_udf("double")
+    def error(rows: pd.Series) -> pd.Series:
+        x = np.stack([np.asarray(v, dtype="float64") for v in rows])
+        back = (x - mean) @ axes @ axes.T + mean
+        xc = x - x.mean(axis=1, keepdims=True)
+        bc = back - back.mean(axis=1, keepdims=True)
+        bottom = np.sqrt((xc * xc).sum(axis=1) * (bc * bc).sum(axis=1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = (xc * bc).sum(axis=1) / bottom
+        # the matrix is [[1, r], [r, 1]]
+        return pd.Series(np.where(bottom > 0, 1 - (2 + 2 * r) / 4, None), dtype="float64")
+
+    return df.withColumn(out, error(F.col(features).cast("array<double>")))
 
 
 def anomalies(scored: DataFrame, error: str, prob: float = 0.95) -> DataFrame:

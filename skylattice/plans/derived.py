@@ -28,6 +28,7 @@ def model_fields(t: Tables) -> DataFrame:
             (cents("l_extendedprice") / n / 100).alias("q"),
             (cents("l_discount") / n).alias("disc"),
             (cents("l_tax") / n).alias("tax"),
+            cents("l_extendedprice").alias("total"),
             n.alias("n"),
         )
         .select(
@@ -42,6 +43,7 @@ def model_fields(t: Tables) -> DataFrame:
             (F.col("disc") + 270).alias("temperature"),
             (F.col("tax") / 1000).alias("humidity"),
             (F.col("disc") + F.col("level") * 3 + 280).alias("theta"),
+            "total",
             "n",
         )
     )
@@ -50,12 +52,13 @@ def model_fields(t: Tables) -> DataFrame:
 FIELDS_SQL = """
 fields AS (
   SELECT level, y, x, q, disc - 5 AS u, tax - 4 AS v, disc - tax AS w, disc / 25 AS cloud,
-         disc + 270 AS temperature, tax / 1000 AS humidity, disc + level * 3 + 280 AS theta, n
+         disc + 270 AS temperature, tax / 1000 AS humidity, disc + level * 3 + 280 AS theta, total, n
   FROM (
     SELECT l_linenumber AS level, l_suppkey AS y, CAST(l_quantity AS INTEGER) AS x,
            CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100 AS q,
            CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS DOUBLE) / count(*) AS disc,
            CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS DOUBLE) / count(*) AS tax,
+           CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS total,
            count(*) AS n
     FROM lineitem GROUP BY 1, 2, 3))
 """

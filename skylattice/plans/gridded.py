@@ -76,13 +76,13 @@ def grid_gradient(t: Tables):
                        (c.u + coalesce(up.u, c.u)) * 0.5 AS uf, (c.v + coalesce(up.v, c.v)) * 0.5 AS vf
                 FROM fields c LEFT JOIN fields up ON up.level = c.level + 1 AND up.y = c.y AND up.x = c.x
                               LEFT JOIN fields dn ON dn.level = c.level - 1 AND dn.y = c.y AND dn.x = c.x)
-        SELECT c.level, c.y, c.x, round(coalesce(
+        SELECT c.level, c.y, c.x, coalesce(
             (c.uf * (c.q - w.q) - e.uf * (e.q - c.q)) / 1500 + (c.vf * (c.q - s.q) - n.vf * (n.q - c.q)) / 1500
             + CASE WHEN c.level > 1 AND c.level < 7 THEN coalesce((c.w + c.w_dn) * 0.5 * (c.q - c.q_dn) / ({_H}[c.level] - {_H}[c.level - 1]), 0) ELSE 0 END
-            - CASE WHEN c.level < 6 THEN coalesce((c.w + c.w_up) * 0.5 * (c.q_up - c.q) / ({_H}[c.level + 1] - {_H}[c.level]), 0) ELSE 0 END, 0), 6) AS advection
+            - CASE WHEN c.level < 6 THEN coalesce((c.w + c.w_up) * 0.5 * (c.q_up - c.q) / ({_H}[c.level + 1] - {_H}[c.level]), 0) ELSE 0 END, 0) AS advection
         FROM f c LEFT JOIN f w ON w.level = c.level AND w.y = c.y AND w.x = c.x - 1 LEFT JOIN f e ON e.level = c.level AND e.y = c.y AND e.x = c.x + 1
           LEFT JOIN f s ON s.level = c.level AND s.y = c.y - 1 AND s.x = c.x LEFT JOIN f n ON n.level = c.level AND n.y = c.y + 1 AND n.x = c.x""",
 )
 def grid_advection(t: Tables):
     fields = model_fields(t).select("level", "y", "x", "q", "u", "v", "w")
-    return rounded(ops.advection(fields, [], "level", "y", "x", HEIGHTS, 1), 6)
+    return ops.advection(fields, [], "level", "y", "x", HEIGHTS, 1)

@@ -145,27 +145,28 @@ def join_knn(t: Tables):
 @query(
     "join_interp_grid",
     f"""WITH {FIELDS_SQL},
-        sites AS (SELECT event_id, user_id + 0.25 AS py, value * 48 / 500 + 1 AS px, 1 + hour(ts) / 4 AS pz FROM events),
+        sites AS (SELECT event_id, user_id + 0.25 AS py, floor(value * 192 / 500) / 4 + 1 AS px, 1 + hour(ts) / 4 AS pz FROM events),
         placed AS (SELECT *, CAST(floor(py) AS BIGINT) AS iy, CAST(floor(px) AS BIGINT) AS ix, CAST(floor(pz) AS BIGINT) AS iz FROM sites),
-        corners AS (SELECT event_id, f.q,
+        corners AS (SELECT event_id, f.total,
             (CASE WHEN f.y = iy THEN 1 - (py - iy) ELSE py - iy END) * (CASE WHEN f.x = ix THEN 1 - (px - ix) ELSE px - ix END)
             * (CASE WHEN f.level = iz THEN 1 - (pz - iz) ELSE pz - iz END) AS wt
           FROM placed JOIN fields f ON f.y IN (iy, iy + 1) AND f.x IN (ix, ix + 1) AND f.level IN (iz, iz + 1)),
-        ok AS (SELECT event_id, sum(q * wt) AS v, sum(wt) AS s FROM corners WHERE wt <> 0 GROUP BY 1)
-        SELECT s.event_id, CASE WHEN abs(ok.s - 1) < 1e-6 THEN round(ok.v, 5) END AS interpolated
+        ok AS (SELECT event_id, sum(total * wt) AS v, sum(wt) AS s FROM corners WHERE wt <> 0 GROUP BY 1)
+        SELECT s.event_id, CASE WHEN abs(ok.s - 1) < 1e-6 THEN ok.v END AS interpolated
         FROM sites s LEFT JOIN ok ON s.event_id = ok.event_id""",
 )
 def join_interp_grid(t: Tables):
-    """The grid's value at points made from the events."""
+    """The grid's value at points made from the events. Values and weights are
+    multiples of 1/64, so the sums are exact."""
     sites = t.events.select(
         "event_id",
         (F.col("user_id") + F.lit(0.25)).alias("py"),
-        (F.col("value") * 48 / 500 + 1).alias("px"),
+        (F.floor(F.col("value") * 192 / 500) / 4 + 1).alias("px"),
         (F.lit(1) + F.hour("ts") / 4).alias("pz"),
     )
     axes = {"pz": ("level", 0.0, 1.0), "py": ("y", 0.0, 1.0), "px": ("x", 0.0, 1.0)}
-    got = grid.interpolate_sites(sites, model_fields(t).select("level", "y", "x", "q"), axes, "q")
-    return got.select("event_id", F.round("interpolated", 5).alias("interpolated"))
+    got = grid.interpolate_sites(sites, model_fields(t).select("level", "y", "x", "total"), axes, "total")
+    return got.select("event_id", "interpolated")
 
 
 @query(

@@ -17,33 +17,33 @@ def _cell(column):
 
 @query(
     "fn_uv_wind",
-    f"""WITH {FIELDS_SQL} SELECT level, y, x, round(sin(radians(dir)) * speed, 9) AS u_wind, round(cos(radians(dir)) * speed, 9) AS v_wind
-        FROM (SELECT *, x * 7.2 AS dir, q / 1000 AS speed FROM fields)""",
+    f"""WITH {FIELDS_SQL} SELECT level, y, x, round(sin(radians(dir)) * speed, 7) AS u_wind, round(cos(radians(dir)) * speed, 7) AS v_wind
+        FROM (SELECT *, x * 7.2 + 0.1 AS dir, q / 1000 AS speed FROM fields)""",
 )
 def fn_uv_wind(t: Tables):
-    rows = model_fields(t).select("level", "y", "x", (F.col("x") * 7.2).alias("dir"), (F.col("q") / 1000).alias("speed"))
+    rows = model_fields(t).select("level", "y", "x", (F.col("x") * 7.2 + 0.1).alias("dir"), (F.col("q") / 1000).alias("speed"))
     return rows.select(
         "level",
         "y",
         "x",
-        F.round(fn.wind_u(F.col("dir"), F.col("speed")), 9).alias("u_wind"),
-        F.round(fn.wind_v(F.col("dir"), F.col("speed")), 9).alias("v_wind"),
+        F.round(fn.wind_u(F.col("dir"), F.col("speed")), 7).alias("u_wind"),
+        F.round(fn.wind_v(F.col("dir"), F.col("speed")), 7).alias("v_wind"),
     )
 
 
 @query(
     "fn_uv_wind_levels",
     f"""WITH {FIELDS_SQL} SELECT y, x, {', '.join(
-        f"round(sum(CASE WHEN level = {k} THEN {f}(radians(x * 7.2)) * (q / 1000) END), 9) AS {c}_wind_{k}"
+        f"round(sum(CASE WHEN level = {k} THEN {f}(radians(x * 7.2 + 0.1)) * (q / 1000) END), 7) AS {c}_wind_{k}"
         for k in range(1, 8) for c, f in (('u', 'sin'), ('v', 'cos')))} FROM fields GROUP BY y, x""",
 )
 def fn_uv_wind_levels(t: Tables):
     """All levels of a wide table with one generated select list."""
     wide = model_fields(t).groupBy("y", "x").agg(
         *[F.max(F.when(F.col("level") == k, F.col("q") / 1000)).alias(f"windspd_{k}") for k in range(1, 8)],
-        *[F.first(F.col("x") * 7.2).alias(f"winddir_{k}") for k in range(1, 8)],
+        *[F.first(F.col("x") * 7.2 + 0.1).alias(f"winddir_{k}") for k in range(1, 8)],
     )
-    return rounded(wide.select("y", "x", *fn.wind_components([str(k) for k in range(1, 8)])), 9)
+    return rounded(wide.select("y", "x", *fn.wind_components([str(k) for k in range(1, 8)])), 7)
 
 
 @query(
@@ -59,7 +59,7 @@ def fn_cyclic_hour(t: Tables):
     "fn_virtual_temp",
     f"""WITH {FIELDS_SQL}, v AS (SELECT *, CAST(floor(y / 32) AS INTEGER) AS ty, CAST(floor(x / 32) AS INTEGER) AS tx,
           (temperature + 0.6 * humidity) * theta / temperature AS tv FROM fields)
-        SELECT level, y, x, round(tv, 9) AS thetav, round(tv - avg(tv) OVER (PARTITION BY level, ty, tx), 9) AS deviation FROM v""",
+        SELECT level, y, x, round(tv, 9) AS thetav, round(tv - avg(tv) OVER (PARTITION BY level, ty, tx), 6) AS deviation FROM v""",
 )
 def fn_virtual_temp(t: Tables):
     """The deviation is from the mean of a tile of fixed size."""
@@ -70,7 +70,7 @@ def fn_virtual_temp(t: Tables):
         "thetav", fn.virtual_potential_temperature(F.col("temperature"), F.col("humidity"), F.col("theta"))
     )
     return rows.select(
-        "level", "y", "x", _cell(F.col("thetav")).alias("thetav"), _cell(F.col("thetav") - F.avg("thetav").over(tile)).alias("deviation")
+        "level", "y", "x", _cell(F.col("thetav")).alias("thetav"), F.round(F.col("thetav") - F.avg("thetav").over(tile), 6).alias("deviation")
     )
 
 

@@ -41,7 +41,7 @@ def cyclic_hour(hour: Column) -> tuple[Column, Column]:
 
 
 def virtual_potential_temperature(t: Column, q: Column, theta: Column) -> Column:
-    return (t + F.lit(0.6) * q) * theta / t
+    return F.try_divide((t + F.lit(0.6) * q) * theta, t)
 
 
 def total_water(*parts: Column) -> Column:
@@ -55,7 +55,7 @@ def liquid_ice_theta(t: Column, theta: Column, liquid: Column, rain: Column, ice
     """Liquid-ice temperature times theta / T."""
     lv = LATENT_HEAT_VAPORISATION / HEAT_CAPACITY_AIR
     lf = LATENT_HEAT_FREEZING / HEAT_CAPACITY_AIR
-    return (t - F.lit(lv) * (liquid + rain) - F.lit(lf) * (ice + graupel)) * (theta / t)
+    return (t - F.lit(lv) * (liquid + rain) - F.lit(lf) * (ice + graupel)) * F.try_divide(theta, t)
 
 
 def scaled_temperature(t: Column) -> Column:
@@ -122,6 +122,14 @@ def array_scale(a: Column, factor: Column | float) -> Column:
     return F.transform(a, lambda x: x * factor)
 
 
+def correlation(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation as an aggregate; null, not an error, where either
+    side is constant."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it in ``body``. A column named
     inside an array lambda would be evaluated again for every element."""

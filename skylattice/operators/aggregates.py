@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import decade, season
+from ..functions.scalar import correlation, decade, season
 from ..ordered import OrderedRows, attach, exact_quantiles, join_null_safe, quantile_columns
 
 
@@ -17,18 +17,10 @@ def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:
 
 def count_by_month_hour(df: DataFrame, ts: str, label: str) -> DataFrame:
     """Counts of each label by month and by hour, in one pass over the data."""
-    parts = df.select(
-        label,
-        F.explode(
-            F.array(
-                F.struct(F.lit("month").alias("part"), F.month(ts).alias("at")),
-                F.struct(F.lit("hour").alias("part"), F.hour(ts).alias("at")),
-            )
-        ).alias("__p"),
-    )
-    return parts.groupBy(label, F.col("__p.part").alias("part"), F.col("__p.at").alias("at")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    # first to at most 12 x 24 rows per label, then to the two tables
+    fine = df.groupBy(label, F.month(ts).alias("month"), F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    at = [F.struct(F.lit(p).alias("part"), F.col(p).alias("at")) for p in ("month", "hour")]
+    return fine.select(label, "n", F.inline(F.array(*at))).groupBy(label, "part", "at").agg(F.sum("n").alias("n"))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -62,7 +54,8 @@ def describe(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     if keys:
         out = join_null_safe(base, quart, list(keys))
     else:
-        out = base.select("*", *[quart.select(c).scalar().alias(c) for c in ("p25", "p50", "p75")])
+        three = quart.select(F.struct("p25", "p50", "p75").alias("q")).scalar()
+        out = base.withColumn("q", three).select("*", "q.*")
     return out.select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -179,17 +172,27 @@ def collapsed_difference(a: DataFrame, b: DataFrame, keep: Sequence[str], value:
 def level_statistics(df: DataFrame, level: str, features: Sequence[str], ddof: int = 0) -> DataFrame:
     """Mean and std per feature and level, and per feature over all levels.
 
-    One pass: counts, sums and squared deviations come from the same
-    aggregation, and the whole-feature rows (level null) from a grouping set.
+    One pass over the data gives a row of moments per level; the rows for all
+    levels (level null) are put together from those.
     """
-    std = F.stddev_pop if ddof == 0 else F.stddev_samp
-    long = df.select(
-        level,
-        F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])),
+    moments = []
+    for f in features:
+        v = F.col(f).cast("double")
+        moments.append(F.struct(F.lit(f).alias("feature"), F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v")))
+    rows = df.groupBy(level).agg(F.array(*moments).alias("__m")).select(level, F.inline("__m")).where(F.col("n") > 0)
+    n, m = F.col("n"), F.col("m")
+    whole = rows.groupBy("feature").agg(
+        F.sum("n").alias("n"), (F.sum(n * m) / F.sum("n")).alias("m"), F.sum(n * (F.col("v") + m * m)).alias("s")
     )
-    return long.groupingSets([["feature", level], ["feature"]], "feature", level).agg(
-        F.avg("v").alias("mean"), std("v").alias("std")
+    whole = whole.select(
+        F.lit(None).cast(df.schema[level].dataType).alias(level),
+        "feature",
+        "n",
+        "m",
+        F.greatest(F.col("s") / n - m * m, F.lit(0.0)).alias("v"),
     )
+    var = F.col("v") if ddof == 0 else F.try_divide(F.col("v") * n, n - 1)
+    return rows.unionByName(whole).select("feature", level, m.alias("mean"), F.sqrt(var).alias("std"))
 
 
 def level_min_max(df: DataFrame, level: str, value: str, earlier: DataFrame | None = None) -> DataFrame:
@@ -208,7 +211,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for j, b in enumerate(columns):
             name = f"c_{min(i, j)}_{max(i, j)}"
             if i <= j:
-                aggs.append(F.corr(a, b).alias(name))
+                aggs.append(correlation(a, b).alias(name))
             rows.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(name).alias("r")))
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 

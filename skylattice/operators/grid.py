@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import virtual_potential_temperature
+from ..functions.scalar import correlation, virtual_potential_temperature
+from ..ordered import attach
 
 # Normalised heights of the 70 theta levels and the model top.
 ETA_THETA_LEVELS = [
@@ -55,7 +56,7 @@ def block_correlation(df: DataFrame, keys: Sequence[str], y: str, x: str, size:
     return (
         with_tiles(df, y, x, size)
         .groupBy(*keys, "tile_y", "tile_x")
-        .agg(F.when(flat, F.lit(0.0)).otherwise(F.corr(a, b)).alias("r"))
+        .agg(F.when(flat, F.lit(0.0)).otherwise(correlation(a, b)).alias("r"))
     )
 
 
@@ -242,7 +243,8 @@ def interpolate_sites(
         _, origin, step = axes[n]
         at = (F.col(n).cast("double") - F.lit(float(origin))) / F.lit(float(step))
         placed = placed.withColumn(f"__c{i}", F.floor(at).cast("long")).withColumn(f"__w{i}", at - F.floor(at))
-    joined = placed.join(corners, cell_keys, "left")
+    # the corner table has one row per cell; a cell may hold most of the points
+    joined = attach(placed, corners, cell_keys)
     total: Column = F.lit(0.0)
     for s in shifts:
         weight: Column = F.lit(1.0)

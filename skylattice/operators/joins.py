@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..ordered import attach, salted_join
+from ..ordered import attach, index_rows, salted_join
 
 
 def join_inner(left: DataFrame, right: DataFrame, on: Sequence[str], hot: bool = True) -> DataFrame:
@@ -64,15 +64,15 @@ def align_add(left: DataFrame, right: DataFrame, key: Sequence[str], value: str)
 
 def group_by_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str], by: Sequence[str], aggs: Sequence[Column]):
     """Aggregate by keys held in another table of one row per ``on``."""
-    return df.join(mapping, list(on), "inner").groupBy(*by).agg(*aggs)
+    return attach(df, mapping, on, "inner").groupBy(*by).agg(*aggs)
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys.select(*on), list(on), "left_semi")
+    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
 def keep_missing(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys.select(*on), list(on), "left_anti")
+    return df.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
 def with_dimension(df: DataFrame, coordinate: DataFrame, dims: Sequence[str]) -> DataFrame:
@@ -92,18 +92,15 @@ def mesh(bounds: DataFrame, step_x: float, step_y: float) -> DataFrame:
 
     ``bounds`` has the columns x_min, x_max, y_min, y_max (one row per mesh);
     axes run from the minimum up to, not including, the maximum, like the
-    usual half-open range. Rows are made by two sequences, without a join.
+    usual half-open range. Rows are made by two counters, without a join.
     """
 
-    def axis(lo: str, hi: str, step: float) -> Column:
-        n = F.ceil((F.col(hi) - F.col(lo)) / F.lit(step)).cast("long")
-        return F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    def steps(lo: str, hi: str, step: float) -> Column:
+        return F.ceil((F.col(hi) - F.col(lo)) / F.lit(step))
 
     others = [c for c in bounds.columns if c not in ("x_min", "x_max", "y_min", "y_max")]
-    xs = bounds.withColumn("__i", F.explode(axis("x_min", "x_max", step_x)))
-    # spread the rows before the second axis multiplies them
-    xs = xs.repartition("__i")
-    return xs.withColumn("__j", F.explode(axis("y_min", "y_max", step_y))).select(
+    xs = index_rows(bounds, steps("x_min", "x_max", step_x), "__i")
+    return index_rows(xs, steps("y_min", "y_max", step_y), "__j").select(
         *others,
         (F.col("x_min") + F.col("__i") * F.lit(step_x)).alias("x"),
         (F.col("y_min") + F.col("__j") * F.lit(step_y)).alias("y"),

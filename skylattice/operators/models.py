@@ -103,7 +103,7 @@ def linear_fit_summary(df: DataFrame, x: str, y: str) -> DataFrame:
         F.regr_sxy(y, x).alias("sxy"),
         F.regr_avgx(y, x).alias("mean_x"),
     )
-    s2 = (F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")) / (F.col("n") - 2)
+    s2 = F.try_divide(F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx")), F.col("n") - 2)
     return sums.select(
         "n",
         "slope",
@@ -111,8 +111,8 @@ def linear_fit_summary(df: DataFrame, x: str, y: str) -> DataFrame:
         "mean_x",
         "sxx",
         F.sqrt(s2).alias("residual_std"),
-        F.sqrt(s2 / F.col("sxx")).alias("slope_se"),
-        F.sqrt(s2 * (1 / F.col("n") + F.col("mean_x") ** 2 / F.col("sxx"))).alias("intercept_se"),
+        F.sqrt(F.try_divide(s2, F.col("sxx"))).alias("slope_se"),
+        F.sqrt(s2 * (F.try_divide(F.lit(1.0), F.col("n")) + F.try_divide(F.col("mean_x") ** 2, F.col("sxx")))).alias("intercept_se"),
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..ordered import OrderedRows
+from ..ordered import OrderedRows, attach
 from ..session import materialise
 from .sampling import hash_unit
 
@@ -69,30 +69,37 @@ def nearest(
     Both tables have columns ``id`` and ``features``. Equal distances go to
     the smaller id. ``exclude_self`` leaves out the pair of equal ids.
     """
-    wanted = k + 1 if exclude_self else k
     points = points.select(F.col("id").cast("long"), F.col("features").cast("array<double>"))
     refs = materialise(refs.select(F.col("id").cast("long"), F.col("features").cast("array<double>")))
     n = refs.count()
     if n <= max_broadcast:
-        pairs = _by_broadcast(points, refs, wanted)
-    else:
-        pairs = _by_cells(points, refs, n, wanted, cell_rows)
+        return _by_broadcast(points, refs, k, exclude_self)
+    pairs = _by_cells(points, refs, n, k + 1 if exclude_self else k, cell_rows)
     if exclude_self:
         pairs = pairs.where(F.col("id") != F.col("neighbour"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def _by_broadcast(points: DataFrame, refs: DataFrame, k: int) -> DataFrame:
+def _by_broadcast(points: DataFrame, refs: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """Every task holds the refs; its points leave it with their final ranks,
+    so nothing is shuffled."""
     rows = refs.orderBy("id").toPandas()  # at most max_broadcast rows, counted before
     sent = points.sparkSession.sparkContext.broadcast((rows["id"].to_numpy("int64"), _matrix(rows["features"])))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ref_ids, matrix = sent.value
         for pdf in batches:
-            yield _pairs(pdf["id"].to_numpy("int64"), _matrix(pdf["features"]), ref_ids, matrix, k)
+            ids = pdf["id"].to_numpy("int64")
+            pairs = _pairs(ids, _matrix(pdf["features"]), ref_ids, matrix, k + int(exclude_self))
+            # the pairs of a point are together, nearest first
+            pairs["__at"] = np.repeat(np.arange(len(ids)), len(pairs) // max(1, len(ids)))
+            if exclude_self:
+                pairs = pairs[pairs["id"] != pairs["neighbour"]]
+            pairs["rank"] = pairs.groupby("__at").cumcount().to_numpy("int32") + np.int32(1)
+            yield pairs.loc[pairs["rank"] <= k, ["id", "neighbour", "distance", "rank"]]
 
-    return points.mapInPandas(search, PAIR_SCHEMA)
+    return points.mapInPandas(search, PAIR_SCHEMA + ", rank int")
 
 
 def _cells(refs: DataFrame, n: int, k: int, cell_rows: int) -> DataFrame:
@@ -197,7 +204,8 @@ def predict_by_neighbours(
     label.
     """
     pairs = nearest(points, refs, k, exclude_self)
-    near = pairs.join(refs.select(F.col("id").alias("neighbour"), F.col(label).alias("label")), "neighbour")
+    # one ref may be near to most of the points
+    near = attach(pairs, refs.select(F.col("id").alias("neighbour"), F.col(label).alias("label")), ["neighbour"], "inner")
     same = F.max((F.col("distance") == 0).cast("int")).over(Window.partitionBy("id"))  # k rows
     weight = F.when(same == 1, (F.col("distance") == 0).cast("double")).otherwise(1.0 / F.col("distance"))
     near = near.withColumn("weight", weight)
@@ -230,7 +238,7 @@ def smote(df: DataFrame, label: str, k: int, seed: int) -> DataFrame:
         )
         based = draw.join(numbered, "__row").join(pairs.select("id", "rank", "neighbour"), ["id", "rank"])
         other = members.select(F.col("id").alias("neighbour"), F.col("features").alias("there"))
-        made = based.join(other, "neighbour").select(
+        made = attach(based, other, ["neighbour"], "inner").select(
             "draw",
             F.lit(row[label]).alias(label),
             F.zip_with("features", "there", lambda a, b: a + F.col("u") * (b - a)).alias("features"),
@@ -252,7 +260,7 @@ def edges(nodes: DataFrame, k: int, removed: DataFrame | None = None) -> DataFra
 def sum_messages(edge: DataFrame, nodes: DataFrame, values: Sequence[str]) -> DataFrame:
     """One round of messages: each source node gets the sum of the features of
     the nodes its edges lead to; 0 for a node without edges."""
-    sent = edge.join(nodes.select(F.col("id").alias("dst"), *values), "dst")
+    sent = attach(edge, nodes.select(F.col("id").alias("dst"), *values), ["dst"], "inner")
     got = sent.groupBy(F.col("src").alias("id")).agg(*[F.sum(v).alias(f"sum_{v}") for v in values])
     return nodes.select("id").join(got, "id", "left").fillna(0.0, [f"sum_{v}" for v in values])
 

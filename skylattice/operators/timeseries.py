@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..ordered import OrderedRows, attach, bounded_frame, join_null_safe, quantile_columns
+from ..ordered import OrderedRows, attach, bounded_frame, index_rows, join_null_safe, quantile_columns
 
 
 def resample_month(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame:
@@ -87,11 +87,8 @@ def as_frequency(
     epoch = F.unix_micros(F.col(ts).cast("timestamp"))
     step = seconds * 1_000_000
     ends = df.groupBy(*keys).agg(F.min(epoch).alias("__lo"), F.max(epoch).alias("__hi"))
-    span = F.floor((F.col("__hi") - F.col("__lo")) / step)
-    pieces = ends.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(span / steps_per_row))))
-    pieces = pieces.repartition(*keys, "__piece")
-    first = F.col("__piece") * steps_per_row
-    axis = pieces.withColumn("__i", F.explode(F.sequence(first, F.least(first + steps_per_row - 1, span)))).select(
+    n = F.floor((F.col("__hi") - F.col("__lo")) / step) + 1
+    axis = index_rows(ends, n, "__i", steps_per_row).select(
         *keys, F.timestamp_micros(F.col("__lo") + F.col("__i") * step).cast(df.schema[ts].dataType).alias(ts)
     )
     return axis.join(df.select(*keys, ts, *values), [*keys, ts], "left")

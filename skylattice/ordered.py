@@ -41,21 +41,30 @@ def default_chunks(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_chunks(df: DataFrame, order: str, n_chunks: int | None = None) -> DataFrame:
-    """Add the chunk number along ``order``. Reads the one column once."""
+def with_chunks(
+    df: DataFrame, order: str, n_chunks: int | None = None, sample: tuple[DataFrame, str] | None = None
+) -> DataFrame:
+    """Add the chunk number along ``order``.
+
+    Borders are approximate quantiles of the order key, found in one pass over
+    that one column: of ``df`` itself, or of a column of another table that
+    ``df`` was aggregated from (``sample``), which saves repeating the
+    aggregation.
+    """
     n = n_chunks or default_chunks(df)
-    keyed = df.withColumn("__key", order_number(df, order))
-    probs = [i / n for i in range(1, n)]
-    cuts = keyed.select("__key").where(F.col("__key").isNotNull()).approxQuantile("__key", probs, 1.0 / (4 * n))
-    cuts = sorted(set(cuts or []))
+    source, column = sample or (df, order)
+    keys = source.select(order_number(source, column).alias("__key")).where(F.col("__key").isNotNull())
+    cuts = keys.approxQuantile("__key", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
+    cuts = sorted(set(cuts))
     if not cuts:
-        return keyed.withColumn(CHUNK, F.lit(0)).drop("__key")
+        return df.withColumn(CHUNK, F.lit(0))
     splitter = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="__key", outputCol="__bucket", handleInvalid="keep"
     )
+    placed = splitter.transform(df.withColumn("__key", order_number(df, order)))
     # rows without an order key sort first in Spark: give them the first chunk
     chunk = F.when(F.col("__key").isNull(), F.lit(-1)).otherwise(F.col("__bucket").cast("int"))
-    return splitter.transform(keyed).withColumn(CHUNK, chunk).drop("__key", "__bucket")
+    return placed.withColumn(CHUNK, chunk).drop("__key", "__bucket")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -174,6 +183,21 @@ class OrderedRows:
         return self
 
 
+def index_rows(df: DataFrame, n: Column, out: str, per_row: int = 10_000) -> DataFrame:
+    """Every row ``n`` times, numbered from 0 in ``out``.
+
+    Numbers are made in pieces that are spread over the tasks first, so a
+    large ``n`` is never one array.
+    """
+    counted = df.withColumn("__n", n.cast("long")).where(F.col("__n") > 0)
+    pieces = counted.withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / per_row)))
+    ).repartition("__piece")
+    first = F.col("__piece") * per_row
+    last = F.least(first + per_row, F.col("__n")) - 1
+    return pieces.withColumn(out, F.explode(F.sequence(first, last))).drop("__n", "__piece")
+
+
 def bounded_frame(
     df: DataFrame,
     group: Sequence[str],
@@ -215,7 +239,7 @@ def exact_quantiles(
         F.count(F.lit(1)).alias("__n")
     )
     # borders come from the rows themselves, so they need no second aggregation
-    base = with_chunks_of(counts, df.select(value), value, "__v", n_chunks)
+    base = with_chunks(counts, "__v", n_chunks, (df, value))
     keys = [*group, CHUNK]
     per_chunk = base.groupBy(*keys).agg(F.sum("__n").alias("__cn"))
     upto = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -258,22 +282,6 @@ def exact_quantiles(
     )
 
 
-def with_chunks_of(
-    df: DataFrame, sample_from: DataFrame, source: str, target: str, n_chunks: int | None = None
-) -> DataFrame:
-    """Chunks of ``df[target]`` with borders taken from ``sample_from[source]``."""
-    n = n_chunks or default_chunks(df)
-    keyed = sample_from.select(order_number(sample_from, source).alias("__key")).where(F.col("__key").isNotNull())
-    cuts = sorted(set(keyed.approxQuantile("__key", [i / n for i in range(1, n)], 1.0 / (4 * n)) or []))
-    if not cuts:
-        return df.withColumn(CHUNK, F.lit(0))
-    splitter = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="__key", outputCol="__bucket", handleInvalid="keep"
-    )
-    keyed_df = df.withColumn("__key", order_number(df, target))
-    return splitter.transform(keyed_df).withColumn(CHUNK, F.col("__bucket").cast("int")).drop("__key", "__bucket")
-
-
 def quantile_columns(df: DataFrame, group: Sequence[str], value: str, named: dict[str, float], n_chunks: int | None = None):
     """Exact quantiles as one row per group, one column per entry of ``named``."""
     long = exact_quantiles(df, group, value, sorted(set(named.values())), n_chunks)
@@ -296,8 +304,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys holding more than ``share`` of all rows: at most ``1/share`` rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    counts = materialise(counts)
-    total = counts.select(F.sum("__n").alias("t")).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
     return counts.where(F.col("__n") > F.lit(share) * total).select(*keys)
 
 

@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.scalar import correlation
 from ..operators import models as ops
 from ..operators import neighbours, sampling
 from .catalog import Tables, query, rounded
@@ -115,7 +116,7 @@ def ml_tree_regress(t: Tables):
     for kind, params in (("tree", {"maxDepth": 4}), ("forest", {"numTrees": 5, "maxDepth": 4})):
         keep = out.columns
         out = ops.regressor(kind, "l_extendedprice", **params).fit(rows).transform(out).select(*keep, F.col("prediction").alias(kind))
-    return rounded(out.agg(F.corr("l_extendedprice", "tree").alias("r_tree"), F.corr("l_extendedprice", "forest").alias("r_forest")))
+    return rounded(out.agg(correlation("l_extendedprice", "tree").alias("r_tree"), correlation("l_extendedprice", "forest").alias("r_forest")))
 
 
 @query("ml_gbt")
@@ -158,7 +159,7 @@ def ml_stack(t: Tables):
     }
     _, meta, held_out = ops.stacked(rows, members, "l_extendedprice", ["id"], 3, 21)
     scored = meta.transform(held_out)
-    return rounded(scored.groupBy("__fold").agg(F.corr("prediction", "l_extendedprice").alias("r")).withColumnRenamed("__fold", "fold"))
+    return rounded(scored.groupBy("__fold").agg(correlation("prediction", "l_extendedprice").alias("r")).withColumnRenamed("__fold", "fold"))
 
 
 @query("ml_bag")

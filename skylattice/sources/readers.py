@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..ordered import attach
+
 # The patterns of a traffic site file.
 SITE_ID = r"Site Id: (\d+)"
 SITE_LATITUDE = r"Site Lat/Long: ([-\d.]+)\s*[-\d.]+"
@@ -72,7 +74,7 @@ def read_site_text(spark: SparkSession, path: str, site_of_path: str = r"site=([
     rows = lines.select(
         "__site", stamp.alias("timestamp"), F.regexp_extract("value", SITE_ROW, 2).try_cast("long").alias("volume")
     ).where(F.col("timestamp").isNotNull())
-    return rows.join(sites, "__site").select("site_id", "latitude", "longitude", "timestamp", "volume")
+    return attach(rows, sites, ["__site"], "inner").select("site_id", "latitude", "longitude", "timestamp", "volume")
 
 
 def with_realization(df: DataFrame, column: str = "realization", pattern: str = r"_(\d+)[^/]*$") -> DataFrame:

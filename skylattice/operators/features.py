@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import array_sum, let
 from ..ordered import OrderedRows, attach
-from ..session import materialise
 
 
 def hash_bucket(value: Column, buckets: int = 10) -> Column:
@@ -108,11 +107,14 @@ def standardise_profile(profile: Column) -> Column:
     return F.when(n > 1, let(mean, lambda m: let(spread(m), lambda std: scaled(m, std))))
 
 
+# The characters taken as separators.
+SEPARATORS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
+
+
 def tokens(text: Column) -> Column:
     """Lower-case words; punctuation separates."""
-    # The characters taken as separators.
-    cleaned = F.regexp_replace(F.lower(text), r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]""", " ")
-    return F.filter(F.split(cleaned, " "), lambda w: w != "")
+    words = F.split(F.translate(F.lower(text), SEPARATORS, " " * len(SEPARATORS)), " ")
+    return F.filter(words, lambda w: w != "")
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -133,16 +135,24 @@ def vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
 def bag_of_ids(df: DataFrame, text: str, vocab: DataFrame, length: int = 20, out: str = "ids") -> DataFrame:
     """Word ids of each text, the last ``length`` of them, padded with 0.
 
-    The vocabulary is a map of fixed size beside every row, so a text is
-    looked up where it stands and nothing is shuffled.
+    The vocabulary has a fixed number of words and becomes part of the
+    expression: a hash set picks the known words of the whole text, and only
+    the words that are kept are looked up. Nothing is shuffled.
     """
-    lookup = materialise(vocab).select(F.map_from_entries(F.collect_list(F.struct("word", "word_id"))).alias("m")).scalar()
-    rows = df.withColumn("__m", lookup)
-    known = F.filter(F.transform(tokens(F.col(text)), lambda w: F.col("__m")[w]), lambda i: i.isNotNull())
-    n = F.size(known)
-    kept = F.slice(known, F.greatest(n - length + 1, F.lit(1)), F.lit(length))
-    padded = F.concat(kept, F.array_repeat(F.lit(0), F.lit(length) - F.size(kept)))
-    return rows.withColumn(out, padded).drop("__m")
+    ids = {r["word"]: r["word_id"] for r in vocab.select("word", "word_id").collect()}
+    if not ids:
+        return df.withColumn(out, F.array_repeat(F.lit(0), F.lit(length)))
+    lookup = F.create_map(*[F.lit(v) for pair in ids.items() for v in pair])
+    known = F.filter(tokens(F.col(text)), lambda w: w.isin(list(ids)))
+
+    def last(words: Column) -> Column:
+        kept = F.slice(words, F.greatest(F.size(words) - length + 1, F.lit(1)), F.lit(length))
+        return F.transform(kept, lambda w: lookup[w])
+
+    def padded(found: Column) -> Column:
+        return F.concat(found, F.array_repeat(F.lit(0), F.lit(length) - F.size(found)))
+
+    return df.withColumn(out, let(known, lambda words: let(last(words), padded)))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:

@@ -47,7 +47,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the written
-    files, so that a lost executor never repeats the work before this point."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and continue from it.
+
+    A lost executor never repeats the work before this point, and Spark knows
+    the size of what it reads, so it can choose the join for it.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from .session import materialise
 
 CHUNK = "__chunk"
+PART = "__part"
 BROADCAST_ROWS = 200_000
 
 
@@ -82,13 +83,18 @@ class OrderedRows:
 
     ``order[0]`` decides the chunks; the other order columns break ties and
     should make the order unique.
+
+    Rows are shuffled once, by a hash of (group, chunk), and all steps of a
+    chain work on that partitioning. Summaries of the first step are
+    aggregated before the shuffle.
     """
 
     def __init__(self, df: DataFrame, group: Sequence[str], order: Sequence[str], n_chunks: int | None = None):
         self.group = list(group)
         self.order = list(order)
-        self.df = with_chunks(df, order[0], n_chunks)
-        self.keys = [*self.group, CHUNK]
+        self.keys = [PART, *self.group, CHUNK]
+        self.source = with_chunks(df, order[0], n_chunks).withColumn(PART, F.xxhash64(*self.group, CHUNK))
+        self.df = self.source.repartition(PART)
         self.inside = Window.partitionBy(*self.keys).orderBy(*self.order)
         # at most n_chunks rows per group
         self.across = Window.partitionBy(*self.group).orderBy(CHUNK)
@@ -96,38 +102,40 @@ class OrderedRows:
     def _place(self) -> Column:
         return F.struct(*self.order)
 
-    def _carried(self, summary: DataFrame) -> DataFrame:
-        return join_null_safe(self.df, summary, self.keys)
+    def _carried(self, summary: DataFrame, df: DataFrame) -> DataFrame:
+        """Bring a row per (group, chunk) to the rows. The join is on the hash
+        alone, so that it needs no other shuffle; the keys are checked too."""
+        renamed = summary.withColumnsRenamed({k: f"__r_{k}" for k in self.keys})
+        mine = F.struct(*[F.col(k).alias(k) for k in self.keys[1:]])
+        theirs = F.struct(*[F.col(f"__r_{k}").alias(k) for k in self.keys[1:]])
+        # both orders together mean equal, nulls too; written as an equality
+        # it would become a join key and move the rows again
+        on = (F.col(PART) == F.col(f"__r_{PART}")) & (mine >= theirs) & (mine <= theirs)
+        return df.join(renamed, on, "left").drop(*[f"__r_{k}" for k in self.keys])
+
+    def _advance(self, df: DataFrame) -> "OrderedRows":
+        self.df = self.source = df
+        return self
 
     def finish(self) -> DataFrame:
-        return self.df.drop(CHUNK)
+        return self.df.drop(CHUNK, PART)
 
     def row_number(self, out: str = "row_no") -> "OrderedRows":
         """1-based position in the group."""
-        counts = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
+        counts = self.source.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
         before = self.across.rowsBetween(Window.unboundedPreceding, -1)
         offsets = counts.select(*self.keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-        self.df = (
-            self._carried(offsets)
-            .withColumn(out, F.row_number().over(self.inside) + F.col("__before"))
-            .drop("__before")
-        )
-        return self
+        rows = self._carried(offsets, self.df)
+        return self._advance(rows.withColumn(out, F.row_number().over(self.inside) + F.col("__before")).drop("__before"))
 
     def running_sum(self, value: Column, out: str) -> "OrderedRows":
         """Sum of ``value`` from the group's first row to this one."""
-        df = self.df.withColumn("__v", value)
-        sums = df.groupBy(*self.keys).agg(F.sum("__v").alias("__s"))
+        sums = self.source.groupBy(*self.keys).agg(F.sum(value).alias("__s"))
         before = self.across.rowsBetween(Window.unboundedPreceding, -1)
         offsets = sums.select(*self.keys, F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__before"))
-        self.df = df
-        run = F.sum("__v").over(self.inside.rowsBetween(Window.unboundedPreceding, 0))
-        self.df = (
-            self._carried(offsets)
-            .withColumn(out, F.coalesce(run, F.lit(0)) + F.col("__before"))
-            .drop("__before", "__v")
-        )
-        return self
+        run = F.sum(value).over(self.inside.rowsBetween(Window.unboundedPreceding, 0))
+        rows = self._carried(offsets, self.df)
+        return self._advance(rows.withColumn(out, F.coalesce(run, F.lit(0)) + F.col("__before")).drop("__before"))
 
     def previous(self, columns: dict[str, str], forward: bool = False) -> "OrderedRows":
         """Values of the row just before (after, if ``forward``) this one.
@@ -136,15 +144,14 @@ class OrderedRows:
         """
         row = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
         edge = F.min_by if forward else F.max_by
-        ends = self.df.groupBy(*self.keys).agg(edge(row, self._place()).alias("__row"))
         step = F.lead if forward else F.lag
+        ends = self.source.groupBy(*self.keys).agg(edge(row, self._place()).alias("__row"))
         ends = ends.select(*self.keys, step("__row", 1).over(self.across).alias("__edge"))
         near = F.coalesce(step(row, 1).over(self.inside), F.col("__edge"))
-        df = self._carried(ends).withColumn("__near", near)
+        rows = self._carried(ends, self.df).withColumn("__near", near)
         for i, out in enumerate(columns.values()):
-            df = df.withColumn(out, F.col(f"__near._{i}"))
-        self.df = df.drop("__near", "__edge")
-        return self
+            rows = rows.withColumn(out, F.col(f"__near._{i}"))
+        return self._advance(rows.drop("__near", "__edge"))
 
     def nearest_known(self, columns: dict[str, tuple[Column, Column, bool]]) -> "OrderedRows":
         """Nearest row, this one included, at which a condition holds.
@@ -153,34 +160,29 @@ class OrderedRows:
         back for ``forward`` False, ahead for True. All outputs share one
         summary, so the rows are gone over once.
         """
-        df = self.df
-        for out, (value, cond, _) in columns.items():
-            df = df.withColumn(f"__s_{out}", F.when(cond, F.struct(value.alias("v"))))
+
+        def known(out: str) -> Column:
+            value, cond, _ = columns[out]
+            return F.when(cond, F.struct(value.alias("v")))
 
         def edge(out: str, forward: bool) -> Column:
             pick = F.min_by if forward else F.max_by
-            return pick(f"__s_{out}", F.when(F.col(f"__s_{out}").isNotNull(), self._place())).alias(f"__e_{out}")
+            return pick(known(out), F.when(columns[out][1], self._place())).alias(f"__e_{out}")
 
-        def reach(spec: WindowSpec, forward: bool, here: int) -> WindowSpec:
+        def pick(value: Column, spec: WindowSpec, forward: bool, here: int) -> Column:
             if forward:
-                return spec.rowsBetween(here, Window.unboundedFollowing)
-            return spec.rowsBetween(Window.unboundedPreceding, -here)
-
-        def pick(name: str, spec: WindowSpec, forward: bool, here: int) -> Column:
-            fn = F.first if forward else F.last
-            return fn(name, ignorenulls=True).over(reach(spec, forward, here))
-
-        ends = df.groupBy(*self.keys).agg(*[edge(o, fwd) for o, (_, _, fwd) in columns.items()])
-        ends = ends.select(
-            *self.keys, *[pick(f"__e_{o}", self.across, fwd, 1).alias(f"__c_{o}") for o, (_, _, fwd) in columns.items()]
-        )
-        self.df = df
-        df = self._carried(ends)
+                return F.first(value, ignorenulls=True).over(spec.rowsBetween(here, Window.unboundedFollowing))
+            return F.last(value, ignorenulls=True).over(spec.rowsBetween(Window.unboundedPreceding, -here))
+
+        ends = self.source.groupBy(*self.keys).agg(*[edge(o, fwd) for o, (_, _, fwd) in columns.items()])
+        carried = [pick(F.col(f"__e_{o}"), self.across, fwd, 1).alias(f"__c_{o}") for o, (_, _, fwd) in columns.items()]
+        rows = self._carried(ends.select(*self.keys, *carried), self.df)
+        for out in columns:
+            rows = rows.withColumn(f"__s_{out}", known(out))
         for out, (_, _, forward) in columns.items():
-            here = pick(f"__s_{out}", self.inside, forward, 0)
-            df = df.withColumn(out, F.coalesce(here, F.col(f"__c_{out}"))["v"])
-        self.df = df.drop(*[f"__c_{o}" for o in columns], *[f"__s_{o}" for o in columns])
-        return self
+            here = pick(F.col(f"__s_{out}"), self.inside, forward, 0)
+            rows = rows.withColumn(out, F.coalesce(here, F.col(f"__c_{out}"))["v"])
+        return self._advance(rows.drop(*[f"__c_{o}" for o in columns], *[f"__s_{o}" for o in columns]))
 
 
 def index_rows(df: DataFrame, n: Column, out: str, per_row: int = 10_000) -> DataFrame:

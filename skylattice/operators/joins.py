@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..ordered import attach, index_rows, salted_join
+from ..ordered import attach, index_rows, join_null_safe, salted_join
 
 
 def join_inner(left: DataFrame, right: DataFrame, on: Sequence[str], hot: bool = True) -> DataFrame:
@@ -35,11 +35,17 @@ def join_natural(*tables: DataFrame) -> DataFrame:
 
 
 def join_outer_common(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Full outer merge on all shared column names."""
+    """Full outer merge on all shared column names.
+
+    Made of a left join, which can be salted, and the right rows without a
+    partner: a full join cannot split a hot key.
+    """
     shared = [c for c in left.columns if c in set(right.columns)]
     if not shared:
         raise ValueError("tables share no column")
-    return left.join(right, shared, "full")
+    matched = salted_join(left, right, shared, "left")
+    alone = join_null_safe(right, left.select(*shared).distinct(), shared, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def join_outer_many(long: DataFrame, key: str, site: str, value: str, sites: Sequence) -> DataFrame:

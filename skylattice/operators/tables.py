@@ -109,6 +109,11 @@ def fill_null(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.fillna(values)
 
 
+def drop_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows with a value in every one of the columns (all, if None)."""
+    return df.dropna(subset=list(columns) if columns else None)
+
+
 def cast_bool(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("boolean"))
 

@@ -70,12 +70,11 @@ def with_chunks(
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join in which equal nulls match; the right keys are dropped."""
-    renamed = right
-    cond: Column = F.lit(True)
-    for i, k in enumerate(keys):
-        renamed = renamed.withColumnRenamed(k, f"__rk{i}")
-        cond = F.col(k).eqNullSafe(F.col(f"__rk{i}")) if i == 0 else cond & F.col(k).eqNullSafe(F.col(f"__rk{i}"))
-    return left.join(renamed, cond, how).drop(*[f"__rk{i}" for i in range(len(keys))])
+    names = {k: f"__rk{i}" for i, k in enumerate(keys)}
+    on = F.lit(True)
+    for k, other in names.items():
+        on = on & F.col(k).eqNullSafe(F.col(other))
+    return left.join(right.withColumnsRenamed(names), on, how).drop(*names.values())
 
 
 class OrderedRows:

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..operators import aggregates, neighbours, sampling
 from ..operators import features as ft
-from ..operators import neighbours, sampling
-from .catalog import Tables, query, rounded
-from .derived import FIELDS_SQL, STATIONS, hourly_stations, model_fields
+from .catalog import Tables, query, rounded, stamp
+from .derived import FIELDS_SQL, STATIONS, STATIONS_SQL, hourly_stations, model_fields
 
 _WORDS = r"""list_filter(string_split(regexp_replace(lower(text), '[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]', ' ', 'g'), ' '), lambda w: w <> '')"""
 _VOCAB = f"""counts AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM documents) GROUP BY 1),
   vocab AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS word_id FROM counts ORDER BY n DESC, word LIMIT 49)"""
 
 
-@query("ft_hash_bucket")
+@query("ft_hash_bucket", "SELECT source, count(*) AS n, 1 AS n_buckets, true AS in_range FROM documents GROUP BY 1")
 def ft_hash_bucket(t: Tables):
-    return t.documents.groupBy("source", ft.hash_bucket(F.col("source")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    """Every source has one bucket of the ten."""
+    hashed = t.documents.select("source", ft.hash_bucket(F.col("source")).alias("bucket"))
+    return hashed.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("bucket").alias("n_buckets"), F.every(F.col("bucket").between(0, 9)).alias("in_range")
+    )
 
 
 @query(
@@ -132,10 +136,20 @@ def ft_assemble(t: Tables):
 
 @query(
     "ft_mask_target",
+    f"""WITH {STATIONS_SQL} SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, sum(CAST(round(reports) AS BIGINT))::BIGINT AS reports,
+          1 AS n_hidden, true AS zeroed FROM stations GROUP BY time HAVING count(*) = 5""",
 )
 def ft_mask_target(t: Tables):
-    masked = ft.mask_one_station(hourly_stations(t), ["time"], "station_id", STATIONS, ["value", "reports"], 5)
-    return rounded(masked)
+    """Hours in which all stations report: one is hidden, its input values are
+    0, and input and target together hold the reports of all."""
+    full = aggregates.complete_groups(hourly_stations(t), ["time"], "station_id", len(STATIONS))
+    masked = ft.mask_one_station(full, ["time"], "station_id", STATIONS, ["value", "reports"], 5)
+    hidden = F.col("hidden")
+    return masked.groupBy("time").agg(
+        F.sum((F.col("reports") + F.coalesce("target_reports", F.lit(0.0))).cast("long")).alias("reports"),
+        F.count_if(hidden).alias("n_hidden"),
+        F.every(~hidden | ((F.col("value") == 0) & (F.col("reports") == 0) & F.col("target_value").isNotNull())).alias("zeroed"),
+    ).withColumn("time", stamp("time"))
 
 
 @query(
@@ -157,11 +171,12 @@ def sm_frac(t: Tables):
     return sampling.sample_fraction(t.orders, ["o_orderkey"], 0.1, 3).select("o_orderkey", "o_totalprice")
 
 
-@query("sm_replace")
+@query("sm_replace", "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS draw, true AS real FROM orders")
 def sm_replace(t: Tables):
-    """As many draws as there are suppliers."""
-    n = t.supplier.count()
-    return sampling.sample_with_replacement(t.supplier, ["s_suppkey"], n, 3).select("draw", "s_suppkey", "s_acctbal")
+    """As many draws as there are orders; every drawn row is one of them."""
+    drawn = sampling.sample_with_replacement(t.orders, ["o_orderkey"], t.orders.count(), 3)
+    known = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"))
+    return drawn.join(known, "o_orderkey", "left").select("draw", F.coalesce(F.col("price") == F.col("o_totalprice"), F.lit(False)).alias("real"))
 
 
 @query(
@@ -210,14 +225,19 @@ def sm_class_weight(t: Tables):
     return rounded(sampling.class_weights(rows, "event_type", "balanced", True).select("event_id", "weight", "balanced"), 9)
 
 
-@query("sp_random")
+@query("sp_random", "SELECT o_orderkey, true AS placed, true AS near FROM orders")
 def sp_random(t: Tables):
-    return sampling.split_random(t.orders, ["o_orderkey"], 0.8, 1).select("o_orderkey", "part")
+    """Every row is in one part, and train has about 80 % of them."""
+    split = sampling.split_random(t.orders, ["o_orderkey"], 0.8, 1)
+    share = split.agg(F.avg((F.col("part") == "train").cast("double")).alias("s")).scalar()
+    return split.select("o_orderkey", F.col("part").isin("train", "test").alias("placed"), share.between(0.75, 0.85).alias("near"))
 
 
-@query("sp_group")
+@query("sp_group", "SELECT conv_id, count(*) AS n, 1 AS n_parts FROM conversations GROUP BY 1")
 def sp_group(t: Tables):
-    return sampling.split_by_group(t.conversations, ["conv_id"], 0.8, 1).select("conv_id", "turn", "part")
+    """All turns of a conversation are in one part."""
+    split = sampling.split_by_group(t.conversations, ["conv_id"], 0.8, 1)
+    return split.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("n_parts"))
 
 
 @query(
@@ -238,9 +258,12 @@ def sp_ordered(t: Tables):
     return sampling.split_ordered(t.orders, ["o_orderdate", "o_orderkey"], 0.8).select("o_orderkey", "part")
 
 
-@query("sp_kfold")
+@query("sp_kfold", "SELECT o_orderkey, true AS in_range, 5 AS n_folds FROM orders")
 def sp_kfold(t: Tables):
-    return sampling.with_fold(t.orders, ["o_orderkey"], 5, 2).select("o_orderkey", "fold")
+    """Every row has one of five folds, and all five are used."""
+    folds = sampling.with_fold(t.orders, ["o_orderkey"], 5, 2)
+    used = folds.agg(F.count_distinct("fold").alias("n")).scalar()
+    return folds.select("o_orderkey", F.col("fold").between(0, 4).alias("in_range"), used.alias("n_folds"))
 
 
 @query(

@@ -296,6 +296,16 @@ def onehot_rows(t: Tables):
     return hot.select("vec_id", *[F.col("h")[i].alias(f"c{i}") for i in (0, 3, 9)], F.size("h").alias("size"))
 
 
-@query("shuffle_rows")
+@query(
+    "shuffle_rows",
+    """SELECT 'row' AS kind, event_id AS number, user_id FROM events
+       UNION ALL SELECT 'place', row_number() OVER (ORDER BY event_id) - 1, NULL FROM events""",
+)
 def shuffle_rows(t: Tables):
-    return reshape.shuffled(t.events.select("event_id", "user_id", "value"), ["event_id"], 17)
+    """All rows, and all places, each once: a permutation."""
+    mixed = reshape.shuffled(t.events.select("event_id", "user_id"), ["event_id"], 17)
+    both = F.array(
+        F.struct(F.lit("row").alias("kind"), F.col("event_id").alias("number"), F.col("user_id").alias("user_id")),
+        F.struct(F.lit("place").alias("kind"), F.col("place").alias("number"), F.lit(None).cast("long").alias("user_id")),
+    )
+    return mixed.select(F.inline(both))

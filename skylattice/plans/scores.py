@@ -8,7 +8,9 @@ from ..operators import verification as ops
 from .catalog import Tables, query, rounded
 from .derived import FIELDS_SQL, model_fields
 
-OBS, FCST = F.col("quality") == 1, F.col("toxic") == 1
+
+def _event(column: str):
+    return F.col(column) == 1
 
 
 @query(
@@ -49,7 +51,7 @@ _TABLE = """c AS (SELECT count_if(quality = 1 AND toxic = 1)::BIGINT AS tp, coun
 
 @query("mt_hit_far", f"WITH {_TABLE} SELECT *, round(tp / (tp + fn), 4) AS hit_rate, round(fp / (fp + tn), 4) AS false_alarm_rate FROM c")
 def mt_hit_far(t: Tables):
-    return rounded(ops.hit_and_false_alarm(t.labels, OBS, FCST))
+    return rounded(ops.hit_and_false_alarm(t.labels, _event("quality"), _event("toxic")))
 
 
 @query("mt_balanced_acc", f"WITH {_TABLE} SELECT round((tp / (tp + fn) + tn / (tn + fp)) / 2, 4) AS balanced_accuracy FROM c")
@@ -63,7 +65,7 @@ def mt_balanced_acc(t: Tables):
         SELECT round((ln(f) - ln(h) - ln(1 - f) + ln(1 - h)) / (ln(f) + ln(h) + ln(1 - f) + ln(1 - h)), 4) AS sedi FROM r""",
 )
 def mt_sedi(t: Tables):
-    rates = ops.hit_and_false_alarm(t.labels, OBS, FCST)
+    rates = ops.hit_and_false_alarm(t.labels, _event("quality"), _event("toxic"))
     return rounded(rates.select(ops.sedi(F.col("hit_rate"), F.col("false_alarm_rate")).alias("sedi")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import tables as ops
 from .catalog import Tables, query, stamp
-from .derived import FIELDS_SQL, model_fields
+from .derived import FIELDS_SQL, READINGS_SQL, model_fields, readings
 
 
 @query("rename", "SELECT doc_id, quality AS rotors, toxic AS forecast FROM labels")
@@ -129,6 +129,14 @@ def conditional_assign(t: Tables):
     return ops.fill_null(masked, {"n_turns": 0}).select("doc_id", "quality", "n_turns")
 
 
+@query(
+    "drop_null",
+    f"WITH {READINGS_SQL} SELECT event_id, user_id, value FROM readings WHERE value IS NOT NULL",
+)
+def drop_null(t: Tables):
+    return ops.drop_null(readings(t), ["value", "user_id"]).select("event_id", "user_id", "value")
+
+
 @query("cast_bool", "SELECT doc_id, CAST(quality AS BOOLEAN) AS quality FROM labels")
 def cast_bool(t: Tables):
     return ops.cast_bool(t.labels, "quality").select("doc_id", "quality")

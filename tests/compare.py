@@ -1,11 +1,13 @@
 """Run queries beside their SQL and compare row count, columns and values.
 
-``python -m tests.compare [folder] [name ...]``
+``python -m tests.compare [folder] [name ...]``; ``COMPARE_PARTITIONS`` sets the shuffle
+partitions, and with them the number of chunks.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -62,7 +64,7 @@ def main() -> int:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
-    spark = build_session("compare", "8", 8)
+    spark = build_session("compare", "8", int(os.environ.get("COMPARE_PARTITIONS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     texts = oracle()
     failed = 0

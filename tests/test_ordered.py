@@ -183,3 +183,13 @@ def test_business_days(spark):
     got = {str(r.d): str(r.b) for r in days.select("d", timeseries.business_day(F.col("d")).alias("b")).collect()}
     assert got["2024-01-05"] == got["2024-01-06"] == got["2024-01-07"] == "2024-01-05"
     assert got["2024-01-08"] == "2024-01-08"
+
+
+def test_outer_merge_is_the_full_join(spark):
+    from skylattice.operators import joins
+
+    left = spark.createDataFrame([(i % 5, i) for i in range(50)] + [(99, -1)], "k long, a long")
+    right = spark.createDataFrame([(0, 7), (0, 8), (3, 9), (77, 10)], "k long, b long")
+    got = joins.join_outer_common(left, right).select("k", "a", "b").collect()
+    want = left.join(right, "k", "full").select("k", "a", "b").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +58,24 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the workers, once per application.
+
+    They may start in any folder, so they cannot count on finding it by name.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = urlparse(shared_dir(spark))
+    # where the shared folder is not mounted, the driver's own file server hands the archive out
+    folder = root.path if root.scheme in ("", "file") else tempfile.mkdtemp()
+    name = os.path.join(folder, f"library-{uuid.uuid4().hex}", os.path.basename(package))
+    archive = shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)

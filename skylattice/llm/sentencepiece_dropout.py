@@ -28,7 +28,10 @@ from .common import spare
 
 BLANK = "▁"
 #: Chunks whose identifiers a worker keeps, over all variants; beyond that it starts anew.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 700_000
+#: Chunks up to this length are merged with a list for an agenda, longer ones with a heap.
+SHORT = 64
+NONE = 1 << 40
 #: Rows whose identifiers are held at a time.
 ROWS = 500
 #: Kinds of character; the pieces of a vocabulary seldom mix them.
@@ -51,6 +54,7 @@ class Pieces:
         self.names = [model.id_to_piece(i) for i in ids]
         self.ids = {self.names[i]: i for i in ids if i not in special and i not in set(byte)}
         order = sorted(self.ids, key=lambda p: (-model.get_score(self.ids[p]), self.ids[p]))
+        self.ordered = order
         self.ranks = {p: rank for rank, p in enumerate(order)}
         self.surface = [n.replace(BLANK, " ") if n in self.ids else "" for n in self.names]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
@@ -75,14 +79,18 @@ class Pieces:
 
 
 class SkippedMerges(dict):
-    """Whether a merge type, written left, NUL, right, is skipped."""
+    """Whether a merge type is skipped, by the joined piece's rank and the left
+    piece's length; the keyed hash is taken of the two pieces."""
 
-    def __init__(self, key: str, dropout: float):
+    def __init__(self, pieces: Pieces, key: str, dropout: float):
         super().__init__()
-        self.key, self.limit = key, int(dropout * 2**64)
+        self.pieces, self.key, self.limit = pieces, key, int(dropout * 2**64)
 
-    def __missing__(self, merge: str) -> bool:
-        skip = self[merge] = xxhash.xxh64_intdigest(f"{self.key}\0{merge}".encode()) < self.limit
+    def __missing__(self, merge: tuple[int, int]) -> bool:
+        rank, cut = merge
+        joined = self.pieces.ordered[rank]
+        keyed = f"{self.key}\0{joined[:cut]}\0{joined[cut:]}".encode()
+        skip = self[merge] = xxhash.xxh64_intdigest(keyed) < self.limit
         return skip
 
 
@@ -93,7 +101,7 @@ class Encoder(dict):
         super().__init__()
         self.kept = kept
         self.pieces = pieces
-        self.skipped = SkippedMerges(key, dropout) if dropout > 0 else None
+        self.skipped = SkippedMerges(pieces, key, dropout) if dropout > 0 else None
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
         if len(self) >= self.kept:
@@ -102,8 +110,39 @@ class Encoder(dict):
         return ids
 
     def _encode(self, chunk: str) -> tuple[int, ...]:
-        """Agenda entries are the rank of the joined piece and the place of
-        the left symbol in one number: best score first, then left to right."""
+        merge = self._merged if len(chunk) <= SHORT else self._merged_by_heap
+        known, spelled = self.pieces.ids.get, self.pieces.byte_ids
+        out: list[int] = []
+        for s in merge(chunk):
+            if (piece := known(s)) is not None:
+                out.append(piece)
+            else:
+                out += [spelled[b] for b in s.encode()]
+        return tuple(out)
+
+    def _merged(self, chunk: str) -> list[str]:
+        """The agenda is a list of ranks by place, which is quick to search
+        while it is short; the first of the least ranks is taken."""
+        rank_of, skipped, symbols = self.pieces.ranks.get, self.skipped, [*chunk]
+        agenda = [rank_of(chunk[i : i + 2], NONE) for i in range(len(chunk) - 1)]
+        while agenda and (rank := min(agenda)) != NONE:
+            i = agenda.index(rank)
+            left = symbols[i]
+            if skipped is not None and skipped[rank, len(left)]:
+                agenda[i] = NONE
+                continue
+            joined = symbols[i] = left + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank_of(joined + symbols[i + 1], NONE)
+            if i:
+                agenda[i - 1] = rank_of(symbols[i - 1] + joined, NONE)
+        return symbols
+
+    def _merged_by_heap(self, chunk: str) -> list[str]:
+        """The same with a heap and a linked list, for chunks of any length.
+        Agenda entries are the rank of the joined piece and the place of the
+        left symbol in one number."""
         rank_of, skipped, n = self.pieces.ranks.get, self.skipped, len(chunk)
         symbols = [*chunk]
         agenda = []
@@ -114,12 +153,12 @@ class Encoder(dict):
         after, before = [*range(1, n + 1)], [*range(-1, n)]
         while agenda:
             entry = heappop(agenda)
-            i = entry & 0xFFFFFFFF
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
             j = after[i]
             # stale when a neighbour has merged since it was put on the agenda
-            if j == n or not symbols[i] or rank_of(joined := symbols[i] + symbols[j]) != entry >> 32:
+            if j == n or not symbols[i] or rank_of(joined := symbols[i] + symbols[j]) != rank:
                 continue
-            if skipped is not None and skipped[f"{symbols[i]}\0{symbols[j]}"]:
+            if skipped is not None and skipped[rank, len(symbols[i])]:
                 continue
             symbols[i], symbols[j] = joined, ""
             k = after[i] = after[j]
@@ -130,14 +169,7 @@ class Encoder(dict):
             h = before[i]
             if h >= 0 and (r := rank_of(symbols[h] + joined)) is not None:
                 heappush(agenda, r << 32 | h)
-        known, spelled = self.pieces.ids.get, self.pieces.byte_ids
-        out: list[int] = []
-        for s in filter(None, symbols):
-            if (piece := known(s)) is not None:
-                out.append(piece)
-            else:
-                out += [spelled[b] for b in s.encode()]
-        return tuple(out)
+        return [s for s in symbols if s]
 
 
 class Codec:

@@ -238,7 +238,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = codec(path, 0, 0.0, 1)
         for batch in batches:
-            yield pd.Series([None if i is None else tool.decode(i.tolist()) for i in batch], dtype="object")
+            yield pd.Series([None if i is None else tool.decode([*i]) for i in batch], dtype="object")
 
     return df.withColumn(out, run(F.col(ids)))
 

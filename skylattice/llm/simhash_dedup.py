@@ -218,7 +218,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     marked = df.withColumn(mark, content)
     rows = marked.select(F.struct(F.col(key).alias("k"), F.col(mark).alias("h")).alias("id"), F.col(text).alias("text"))
     grouped = near_duplicates(rows, "id", "text")
-    winners = grouped.select("component_id.k", "component_id.h").distinct()
-    same = F.col(key).eqNullSafe(F.col("k")) & (F.col(mark) == F.col("h"))
+    winners = grouped.select(F.col("component_id.k").alias("__k"), F.col("component_id.h").alias("__h")).distinct()
+    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col(mark) == F.col("__h"))
     kept = marked.join(winners, same, "left_semi")
     return kept.dropDuplicates([key, mark]).drop(mark)

@@ -125,9 +125,10 @@ def contaminated(
     start = F.greatest(F.least(F.col("p") - F.col("q"), most), F.lit(0))
     windows = hits.where(fresh).select("key", "text_hash", start.alias("start"), F.col("n_item").alias("size"), "found")
     windows = windows.select("key", "text_hash", "start", "size", F.slice("found", F.col("start") + 1, F.col("size")).alias("window"))
-    windows = cut(windows.dropDuplicates(["key", "text_hash", "start", "size"]))
-    printed = windows.withColumn("fp", simhash(F.col("window")))
-    close = within_radius(printed, asked)
+    windows = windows.dropDuplicates(["key", "text_hash", "start", "size"])
+    # written with its fingerprint, which every block of the index would work out again
+    windows = cut(windows.withColumn("fp", simhash(F.col("window"))))
+    close = within_radius(windows, asked)
     rated = close.withColumn("similarity", weighted_jaccard(shingles(F.col("window")), shingles(F.col("item_words"))))
     best = rated.where(F.col("similarity") >= similarity).groupBy("key", "text_hash", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), F.col("size").alias("n"))).alias("top")

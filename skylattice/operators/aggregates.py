@@ -279,11 +279,12 @@ def collect_members(
     """One row per group with a list per column, in the order of ``members``.
 
     ``df`` has one row per (group, member). A list has one place per member,
-    so its length is fixed by the member list, not by the data.
+    so its length is fixed by the member list, not by the data; a group with
+    none of the members stays, with nulls in its lists.
     """
     ids = F.array(*[F.lit(m) for m in members])
     aggs = []
     for v in values:
         places = [F.max(F.when(F.col(member) == F.lit(m), F.col(v))) for m in members]
         aggs.append(F.array(*places).alias(v))
-    return df.where(F.col(member).isin(list(members))).groupBy(*group).agg(*aggs).withColumn(member, ids)
+    return df.groupBy(*group).agg(*aggs).withColumn(member, ids)

@@ -35,12 +35,12 @@ def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
     """Sorted distinct values numbered from 0.
 
     The values are numbered by a distributed scan when they are numeric; a
-    string vocabulary is numbered by ``StringIndexer``.
+    string vocabulary is numbered by ``StringIndexer``. A null has a null code.
     """
     if dict(df.dtypes)[column] == "string":
         model = StringIndexer(inputCol=column, outputCol="__i", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-        return model.transform(df).withColumn(out, F.col("__i").cast("int")).drop("__i")
-    codes = OrderedRows(df.select(column).distinct(), [], [column]).row_number("__pos").finish()
+        return model.transform(df).withColumn(out, F.when(F.col(column).isNotNull(), F.col("__i").cast("int"))).drop("__i")
+    codes = OrderedRows(df.select(column).where(F.col(column).isNotNull()).distinct(), [], [column]).row_number("__pos").finish()
     codes = codes.select(column, (F.col("__pos") - 1).cast("int").alias(out))
     return attach(df, codes, [column])
 
@@ -156,7 +156,8 @@ def bag_of_ids(df: DataFrame, text: str, vocab: DataFrame, length: int = 20, out
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="skip").transform(df)
+    """Columns as one vector. A null is an error; drop such rows first if that is meant."""
+    return VectorAssembler(inputCols=list(columns), outputCol=out, handleInvalid="error").transform(df)
 
 
 def polynomial(df: DataFrame, columns: Sequence[str], degree: int = 2, out: str = "poly") -> DataFrame:

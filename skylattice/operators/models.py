@@ -46,7 +46,7 @@ def with_vector(df: DataFrame, features: Sequence[str] | str, out: str = "featur
     """Feature vector from numeric columns or from one array column."""
     if isinstance(features, str):
         return df.withColumn(out, array_to_vector(F.col(features).cast("array<double>")))
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
 # --- linear models -------------------------------------------------------
@@ -54,7 +54,7 @@ def with_vector(df: DataFrame, features: Sequence[str] | str, out: str = "featur
 
 def linear_regression(df: DataFrame, features: Sequence[str], label: str, ridge: float = 0.0):
     stages = [
-        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"),
         LinearRegression(featuresCol="features", labelCol=label, regParam=ridge, standardization=False),
     ]
     return Pipeline(stages=stages).fit(df)
@@ -213,7 +213,7 @@ def scaled_model(features: Sequence[str], estimator: Estimator) -> Pipeline:
     """Assemble, scale and fit as one chain."""
     return Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="skip"),
+            VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="error"),
             StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
             estimator,
         ]
@@ -476,8 +476,14 @@ def partial_pool(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def score_batches(df: DataFrame, features: str, weights: np.ndarray, bias: np.ndarray, keep: Sequence[str]) -> DataFrame:
-    """Arg-max class of a linear score, batch by batch in Arrow."""
+def score_batches(
+    df: DataFrame, features: str, weights: np.ndarray, bias: np.ndarray, keep: Sequence[str], labels: Sequence[int]
+) -> DataFrame:
+    """Class of the greatest linear score, batch by batch in Arrow.
+
+    ``labels`` are the classes in the order of the columns of ``weights``.
+    """
+    classes = np.asarray(labels, dtype="int64")
     sent = df.sparkSession.sparkContext.broadcast((weights, bias))
     source = df.select(*keep, F.col(features).cast("array<double>").alias("__f"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__f")
@@ -487,6 +493,6 @@ def score_batches(df: DataFrame, features: str, weights: np.ndarray, bias: np.nd
         for pdf in batches:
             if len(pdf):
                 x = np.stack([np.asarray(v, dtype="float64") for v in pdf["__f"]])
-                yield pdf.drop(columns="__f").assign(prediction=np.argmax(x @ w + b, axis=1).astype("int32"))
+                yield pdf.drop(columns="__f").assign(prediction=classes[np.argmax(x @ w + b, axis=1)])
 
-    return source.mapInPandas(run, fields + ", prediction int")
+    return source.mapInPandas(run, fields + ", prediction long")

@@ -222,6 +222,8 @@ def smote(df: DataFrame, label: str, k: int, seed: int) -> DataFrame:
     new rows have (draw, label, features)."""
     sizes = [r for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()]  # one row per class
     most = max(r["n"] for r in sizes)
+    if alone := [r[label] for r in sizes if r["n"] == 1 < most]:
+        raise ValueError(f"no neighbour to go towards in classes of one row: {alone}")
     out = None
     for row in sorted(sizes, key=lambda r: r[label]):
         need = most - row["n"]

@@ -55,15 +55,21 @@ def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def pivot_mean(df: DataFrame, rows: Sequence[str], column: str, labels: Sequence, value: str) -> DataFrame:
-    """Mean by row and column label; labels are given, so no extra pass."""
+    """Mean by row and column label; labels are given, so no extra pass.
+
+    A row key without any of the labels stays, with nulls.
+    """
     cols = [F.avg(F.when(F.col(column) == F.lit(v), F.col(value))).alias(f"mean_{v}") for v in labels]
-    return df.where(F.col(column).isin(list(labels))).groupBy(*rows).agg(*cols)
+    return df.groupBy(*rows).agg(*cols)
 
 
 def pivot_count(df: DataFrame, rows: Sequence[str], column: str, labels: Sequence) -> DataFrame:
-    """Row counts by row and column label; null where there is no row."""
+    """Row counts by row and column label; null where there is no row.
+
+    A row key without any of the labels stays, with nulls.
+    """
     cols = [F.sum(F.when(F.col(column) == F.lit(v), F.lit(1))).alias(f"n_{v}") for v in labels]
-    return df.where(F.col(column).isin(list(labels))).groupBy(*rows).agg(*cols)
+    return df.groupBy(*rows).agg(*cols)
 
 
 def columns_to_rows(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:

@@ -305,5 +305,7 @@ def score_batch(t: Tables):
     long = t.embeddings.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v"))
     # one row per class and position
     means = long.groupBy("label", "i").agg(F.avg("v").alias("m")).orderBy("label", "i").toPandas()
-    centres = means.pivot(index="label", columns="i", values="m").sort_index().to_numpy()
-    return ops.score_batches(t.embeddings, "embedding", centres.T, -np.square(centres).sum(axis=1) / 2, ["vec_id"])
+    table = means.pivot(index="label", columns="i", values="m").sort_index()
+    centres = table.to_numpy()
+    bias = -np.square(centres).sum(axis=1) / 2
+    return ops.score_batches(t.embeddings, "embedding", centres.T, bias, ["vec_id"], table.index)

@@ -50,8 +50,9 @@ def src_yearly_union(t: Tables):
     path = scratch_path(t.spark, "yearly")
     rows = _orders(t)
     io.write_csv(rows.withColumn("year", F.year("o_orderdate")), path, partition_by=["year"])
-    span = rows.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
-    paths = [f"{path}/year={y}" for y in range(span[0], span[1] + 1)]
+    # as many rows as there are years; rows without a date have a folder of their own
+    years = [r[0] for r in rows.select(F.year("o_orderdate")).distinct().collect()]
+    paths = [f"{path}/year={'__HIVE_DEFAULT_PARTITION__' if y is None else y}" for y in years]
     return (
         io.read_csv(t.spark, paths, ORDERS)
         .groupBy(F.year("o_orderdate").alias("year"))

@@ -130,6 +130,13 @@ def correlation(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
+def keyed_number(*ids: str | Column, seed: int = 0) -> Column:
+    """A repeatable whole number below 2^60 from ids and a seed: the first 15
+    hex digits of an md5, which any engine can compute again."""
+    parts = [(F.col(i) if isinstance(i, str) else i).cast("string") for i in ids]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it in ``body``. A column named
     inside an array lambda would be evaluated again for every element."""

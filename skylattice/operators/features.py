@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import array_sum, let
+from ..functions.scalar import array_sum, keyed_number, let
 from ..ordered import OrderedRows, attach
 
 
 def hash_bucket(value: Column, buckets: int = 10) -> Column:
     """Repeatable bucket of a high-cardinality value."""
-    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+    return (keyed_number(value) % buckets).cast("int")
 
 
 def one_hot_words(df: DataFrame, column: str, words: Sequence[str]) -> DataFrame:
@@ -25,21 +24,20 @@ def one_hot_words(df: DataFrame, column: str, words: Sequence[str]) -> DataFrame
 
 
 def one_hot_inferred(df: DataFrame, column: str, out: str) -> DataFrame:
-    """One-hot vector over the values found in the data."""
-    index = StringIndexer(inputCol=column, outputCol=f"__{column}", stringOrderType="alphabetAsc", handleInvalid="keep")
-    encode = OneHotEncoder(inputCol=f"__{column}", outputCol=out, dropLast=False)
-    return Pipeline(stages=[index, encode]).fit(df).transform(df).drop(f"__{column}")
+    """One-hot vector over the values found in the data, in their order; a
+    null has the place behind the last one."""
+    n_values = df.agg(F.count_distinct(column).alias("n")).scalar()
+    coded = label_encode(df, column, "__code")
+    coded = coded.withColumn("__code", F.coalesce("__code", n_values).cast("double"))
+    encode = OneHotEncoder(inputCol="__code", outputCol=out, dropLast=False)
+    return encode.fit(coded).transform(coded).drop("__code")
 
 
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Sorted distinct values numbered from 0.
+    """Sorted distinct values numbered from 0 by a distributed scan.
 
-    The values are numbered by a distributed scan when they are numeric; a
-    string vocabulary is numbered by ``StringIndexer``. A null has a null code.
+    A null has a null code.
     """
-    if dict(df.dtypes)[column] == "string":
-        model = StringIndexer(inputCol=column, outputCol="__i", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-        return model.transform(df).withColumn(out, F.when(F.col(column).isNotNull(), F.col("__i").cast("int"))).drop("__i")
     codes = OrderedRows(df.select(column).where(F.col(column).isNotNull()).distinct(), [], [column]).row_number("__pos").finish()
     codes = codes.select(column, (F.col("__pos") - 1).cast("int").alias(out))
     return attach(df, codes, [column])
@@ -176,7 +174,7 @@ def mask_one_station(
     """Input and target: one station per time, picked by a seeded hash, has its
     values put to 0 in the input and kept in ``target_*``."""
     names = F.array(*[F.lit(s) for s in stations])
-    pick = F.element_at(names, (F.pmod(F.xxhash64(*time, F.lit(seed)), F.lit(len(stations))) + 1).cast("int"))
+    pick = F.element_at(names, (keyed_number(*time, seed=seed) % len(stations) + 1).cast("int"))
     rows = df.withColumn("hidden", F.col(station) == pick)
     for v in values:
         rows = rows.withColumn(f"target_{v}", F.when(F.col("hidden"), F.col(v)))

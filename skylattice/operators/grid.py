@@ -214,8 +214,9 @@ def interpolate_sites(
     """Value of a gridded field at given points, linear along every axis.
 
     ``axes`` maps a point column to (integer grid index column, origin, step).
-    Each grid cell first gets the values of all its corners beside it, so the
-    points need a single equi-join on the cell they lie in. A point outside
+    The cells that hold a point are asked for their corners, which are joined
+    to the grid and laid side by side, so the points need a single equi-join on
+    the cell they lie in and grid rows are never multiplied. A point outside
     the grid, or beside a missing corner, gets null.
     """
     names = list(axes)
@@ -224,25 +225,27 @@ def interpolate_sites(
     for _ in names:
         shifts = [(*s, d) for s in shifts for d in (0, 1)]
 
-    # scatter each grid value to the cells it is a corner of, then gather
-    moved = F.array(
+    cell_keys = [f"__c{i}" for i in range(len(dims))]
+    corner_keys = [f"__d{i}" for i in range(len(dims))]
+    placed = sites
+    for i, n in enumerate(names):
+        _, origin, step = axes[n]
+        at = (F.col(n).cast("double") - F.lit(float(origin))) / F.lit(float(step))
+        placed = placed.withColumn(f"__c{i}", F.floor(at).cast("long")).withColumn(f"__w{i}", at - F.floor(at))
+    asked = F.array(
         *[
             F.struct(
                 F.lit("".join(map(str, s))).alias("corner"),
-                *[(F.col(d) - F.lit(o)).cast("long").alias(f"__c{i}") for i, (d, o) in enumerate(zip(dims, s))],
+                *[(F.col(c) + F.lit(o)).alias(d) for c, d, o in zip(cell_keys, corner_keys, s)],
             )
             for s in shifts
         ]
     )
-    cell_keys = [f"__c{i}" for i in range(len(dims))]
-    corners = grid.select(F.col(value).alias("__v"), F.inline(moved)).groupBy(*cell_keys).agg(
+    wanted = placed.select(*cell_keys).distinct().select(*cell_keys, F.inline(asked))
+    values = grid.select(F.col(value).alias("__v"), *[F.col(d).cast("long").alias(k) for d, k in zip(dims, corner_keys)])
+    corners = wanted.join(values, corner_keys).groupBy(*cell_keys).agg(
         *[F.max(F.when(F.col("corner") == "".join(map(str, s)), F.col("__v"))).alias(f"__v{''.join(map(str, s))}") for s in shifts]
     )
-    placed = sites
-    for i, n in enumerate(names):
-        _, origin, step = axes[n]
-        at = (F.col(n).cast("double") - F.lit(float(origin))) / F.lit(float(step))
-        placed = placed.withColumn(f"__c{i}", F.floor(at).cast("long")).withColumn(f"__w{i}", at - F.floor(at))
     # the corner table has one row per cell; a cell may hold most of the points
     joined = attach(placed, corners, cell_keys)
     total: Column = F.lit(0.0)

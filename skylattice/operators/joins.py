@@ -61,11 +61,13 @@ def join_outer_many(long: DataFrame, key: str, site: str, value: str, sites: Seq
 def align_add(left: DataFrame, right: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     """Two series side by side on the union of their keys, and their sum.
 
-    A key missing on one side gives a null sum.
+    A key missing on one side gives a null sum; several rows of a key are
+    summed. One aggregation of both, as a full join cannot split a hot key.
     """
     a = left.select(*key, F.col(value).alias("a"))
     b = right.select(*key, F.col(value).alias("b"))
-    return a.join(b, list(key), "full").withColumn("total", F.col("a") + F.col("b"))
+    sides = a.unionByName(b, allowMissingColumns=True).groupBy(*key).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return sides.withColumn("total", F.col("a") + F.col("b"))
 
 
 def group_by_mapping(df: DataFrame, mapping: DataFrame, on: Sequence[str], by: Sequence[str], aggs: Sequence[Column]):

@@ -231,7 +231,8 @@ def bootstrap_weight(ids: Sequence[str], seed: int) -> Column:
     """How often a row is drawn in a bootstrap replica: Poisson(1) by hash."""
     u = hash_unit(ids, seed)
     steps, p, total = [], math.exp(-1.0), 0.0
-    for i in range(9):
+    # more than 18 draws are less likely than a double can tell
+    for i in range(18):
         total += p
         steps.append(total)
         p = p / (i + 1)

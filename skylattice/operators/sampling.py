@@ -11,14 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import run_lengths
+from ..functions.scalar import keyed_number, run_lengths
 from ..ordered import OrderedRows, attach
 
 
 def hash_unit(ids: Sequence[str], seed: int) -> Column:
     """A number in [0, 1) from the id."""
-    bits = F.shiftrightunsigned(F.xxhash64(*ids, F.lit(seed)), 11)
-    return bits.cast("double") / F.lit(float(2**53))
+    return keyed_number(*ids, seed=seed).cast("double") / F.lit(float(2**60))
 
 
 def sample_fraction(df: DataFrame, ids: Sequence[str], fraction: float, seed: int) -> DataFrame:
@@ -26,7 +25,7 @@ def sample_fraction(df: DataFrame, ids: Sequence[str], fraction: float, seed: in
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], ids: Sequence[str], seed: int) -> DataFrame:
-    hashed = df.withColumn("__h", F.xxhash64(*ids, F.lit(seed)))
+    hashed = df.withColumn("__h", keyed_number(*ids, seed=seed))
     return OrderedRows(hashed, keys, ["__h", *ids]).row_number("__rank").finish().drop("__h")
 
 
@@ -39,7 +38,7 @@ def sample_with_replacement(df: DataFrame, ids: Sequence[str], n: int, seed: int
     numbered = OrderedRows(df, [], ids).row_number("__row").finish()
     size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     draws = df.sparkSession.range(n).select(
-        F.col("id").alias("draw"), (F.pmod(F.xxhash64("id", F.lit(seed)), size) + 1).alias("__row")
+        F.col("id").alias("draw"), (keyed_number("id", seed=seed) % size + 1).alias("__row")
     )
     return draws.join(numbered, "__row").drop("__row")
 
@@ -70,7 +69,7 @@ def undersample(
 ) -> DataFrame:
     """All minority rows, a fraction of the others, in shuffled order."""
     keep = (F.col(label) == F.lit(minority)) | (hash_unit(ids, seed) < fraction)
-    return df.where(keep).orderBy(F.xxhash64(*ids, F.lit(seed + 1)), *ids)
+    return df.where(keep).orderBy(keyed_number(*ids, seed=seed + 1), *ids)
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight", balanced: bool = False) -> DataFrame:
@@ -108,7 +107,7 @@ def split_ordered(df: DataFrame, order: Sequence[str], train: float) -> DataFram
 
 
 def with_fold(df: DataFrame, ids: Sequence[str], folds: int, seed: int, out: str = "fold") -> DataFrame:
-    return df.withColumn(out, F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(folds)).cast("int"))
+    return df.withColumn(out, (keyed_number(*ids, seed=seed) % folds).cast("int"))
 
 
 def rle_pixels(df: DataFrame, encoded: str, height: str, keys: Sequence[str], max_run: int = 100_000) -> DataFrame:

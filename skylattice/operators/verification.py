@@ -18,6 +18,11 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b)
 
 
+def event(condition: Column) -> Column:
+    """The rule for nulls in all tables of events: not known is no event."""
+    return F.coalesce(condition, F.lit(False))
+
+
 def with_category(df: DataFrame, observed: str, forecast: str) -> DataFrame:
     """Hit, miss, false alarm or correct rejection of each row; a null
     observation or forecast counts as no event."""
@@ -49,7 +54,9 @@ def confusion(df: DataFrame, observed: str, forecast: str) -> DataFrame:
 
 
 def contingency(df: DataFrame, observed: Column, forecast: Column, keys: Sequence[str | Column] = ()) -> DataFrame:
-    """tp, fp, fn, tn in one aggregation."""
+    """tp, fp, fn, tn in one aggregation; a null observation or forecast
+    counts as no event."""
+    observed, forecast = event(observed), event(forecast)
     return df.groupBy(*keys).agg(
         F.count_if(observed & forecast).alias("tp"),
         F.count_if(~observed & forecast).alias("fp"),
@@ -105,6 +112,38 @@ def hit_and_false_alarm(df: DataFrame, observed: Column, forecast: Column) -> Da
     )
 
 
+def score_table(df: DataFrame, observed: Column, forecasts: dict[str, Column], keys: Sequence[str] = ()) -> DataFrame:
+    """Scores of several classifiers, one row per classifier and ``keys``.
+
+    All are counted in the same pass: a classifier adds four counters, not a
+    copy of the rows. ``_1`` is the class of events, ``_0`` that of the rest.
+    A null observation or forecast counts as no event.
+    """
+    o = event(observed)
+
+    def counts(name: str, forecast: Column) -> Column:
+        f = event(forecast)
+        cells = {"tp": o & f, "fp": ~o & f, "fn": o & ~f, "tn": ~o & ~f}
+        return F.struct(F.lit(name).alias("classifier"), *[F.count_if(c).alias(k) for k, c in cells.items()])
+
+    tables = df.groupBy(*keys).agg(*[counts(n, f).alias(f"__t{i}") for i, (n, f) in enumerate(forecasts.items())])
+    rows = tables.select(*keys, F.inline(F.array(*[f"__t{i}" for i in range(len(forecasts))])))
+    tp, fp, fn, tn = (F.col(k) for k in ("tp", "fp", "fn", "tn"))
+    h, f = hit_rate(tp, fn), false_alarm_rate(fp, tn)
+    return rows.select(
+        "*",
+        ratio(tp, tp + fp).alias("precision_1"),
+        h.alias("recall_1"),
+        ratio(tp * 2.0, tp * 2 + fp + fn).alias("f1_1"),
+        ratio(tn, tn + fn).alias("precision_0"),
+        ratio(tn, tn + fp).alias("recall_0"),
+        ratio(tn * 2.0, tn * 2 + fp + fn).alias("f1_0"),
+        h.alias("hit_rate"),
+        f.alias("false_alarm_rate"),
+        sedi(h, f).alias("sedi"),
+    )
+
+
 def balanced_accuracy(df: DataFrame, observed: str, forecast: str) -> DataFrame:
     """Mean recall over the observed classes."""
     return (
@@ -133,8 +172,10 @@ def threshold_sweep(df: DataFrame, observed: Column, score: Column) -> DataFrame
 
     Each score is put in the interval between two thresholds, the intervals
     are counted once, and running sums over the 200 counts give the table for
-    every threshold. An event is forecast when the score is above it.
+    every threshold. An event is forecast when the score is above it. A null
+    observation is no event, a null score is above no threshold.
     """
+    observed = event(observed)
     # index of the last threshold strictly below the score; -1 if none is
     guess = F.floor((score - FIRST_THRESHOLD) / THRESHOLD_STEP).cast("long")
     at = lambda i: F.lit(FIRST_THRESHOLD) + i * F.lit(THRESHOLD_STEP)

@@ -27,13 +27,18 @@ BROADCAST_ROWS = 200_000
 
 
 def order_number(df: DataFrame, name: str) -> Column:
-    """The order key as a double; never decreasing in the key."""
+    """The order key as a double; never decreasing in the key.
+
+    Strings are ordered by their bytes; their first six make the number.
+    """
     dtype = df.schema[name].dataType
     col = F.col(name)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+    if isinstance(dtype, T.StringType):
+        col = F.conv(F.rpad(F.substring(F.hex(col), 1, 12), 12, "0"), 16, 10)
+    elif isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         col = col.cast("timestamp")
     elif not isinstance(dtype, (T.TimestampType, T.NumericType)):
-        raise TypeError(f"order key {name} must be numeric, a date or a timestamp, not {dtype}")
+        raise TypeError(f"order key {name} must be numeric, a string, a date or a timestamp, not {dtype}")
     return col.cast("double")
 
 
@@ -42,19 +47,14 @@ def default_chunks(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_chunks(
-    df: DataFrame, order: str, n_chunks: int | None = None, sample: tuple[DataFrame, str] | None = None
-) -> DataFrame:
+def with_chunks(df: DataFrame, order: str, n_chunks: int | None = None) -> DataFrame:
     """Add the chunk number along ``order``.
 
     Borders are approximate quantiles of the order key, found in one pass over
-    that one column: of ``df`` itself, or of a column of another table that
-    ``df`` was aggregated from (``sample``), which saves repeating the
-    aggregation.
+    that one column.
     """
     n = n_chunks or default_chunks(df)
-    source, column = sample or (df, order)
-    keys = source.select(order_number(source, column).alias("__key")).where(F.col("__key").isNotNull())
+    keys = df.select(order_number(df, order).alias("__key")).where(F.col("__key").isNotNull())
     cuts = keys.approxQuantile("__key", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
     cuts = sorted(set(cuts))
     if not cuts:
@@ -231,18 +231,16 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per (group, prob).
 
-    Equal values are counted before the shuffle, the chunk that holds a wanted
-    rank is found from chunk counts, and only that chunk is ordered. No task
-    sees all values of a group.
+    The chunk that holds a wanted rank is found from row counts per chunk;
+    only the rows of such chunks are kept, their equal values counted before
+    the shuffle, and the distinct values of a chunk ordered. No task sees all
+    values of a group.
     """
     group = list(group)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    # borders come from the rows themselves, so they need no second aggregation
-    base = with_chunks(counts, "__v", n_chunks, (df, value))
+    known = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("__v"))
+    base = with_chunks(known, "__v", n_chunks)
     keys = [*group, CHUNK]
-    per_chunk = base.groupBy(*keys).agg(F.sum("__n").alias("__cn"))
+    per_chunk = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cn"))
     upto = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     per_chunk = per_chunk.select(
@@ -268,7 +266,9 @@ def exact_quantiles(
     need = per_chunk.select(*keys, "__before", F.filter(F.array(*wanted), inside).alias("__need")).where(
         F.size("__need") > 0
     )
-    rows = join_null_safe(base, need, keys, "inner")
+    # written, so that Spark knows its bytes and broadcasts it only where it is small
+    kept = join_null_safe(base, materialise(need), keys, "inner")
+    rows = kept.groupBy(*keys, "__v", "__before", "__need").agg(F.count(F.lit(1)).alias("__n"))
     run = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("__end", F.sum("__n").over(run) + F.col("__before"))
     here = lambda r: (r["rank"] < F.col("__end")) & (r["rank"] >= F.col("__end") - F.col("__n"))
@@ -293,12 +293,13 @@ def quantile_columns(df: DataFrame, group: Sequence[str], value: str, named: dic
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS):
     """Join one-row-per-key ``stats`` on to a large table.
 
-    ``stats`` is written once and counted. Up to ``max_rows`` rows it is
-    broadcast; beyond that both sides are shuffled with hot keys salted.
+    ``stats`` is written once and counted. Up to ``max_rows`` rows Spark picks
+    the join, as it knows the bytes that were written; beyond that both sides
+    are shuffled with hot keys salted.
     """
     stats = materialise(stats)
     if stats.count() <= max_rows:
-        return join_null_safe(df, F.broadcast(stats), keys, how)
+        return join_null_safe(df, stats, keys, how)
     return salted_join(df, stats, keys, how)
 
 

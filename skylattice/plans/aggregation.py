@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as ops
 from .catalog import Tables, in_cents, query, rounded, stamp
-from .derived import FIELDS_SQL, STATIONS, STATIONS_SQL, hourly_stations, model_fields, readings
+from .derived import FIELDS_SQL, STATIONS_SQL, hourly_stations, model_fields, readings, station_ids
 
 
 def _profiles_sql(extra: str = "") -> str:
@@ -160,12 +160,12 @@ def agg_by_category(t: Tables):
 @query(
     "agg_collapse_diff",
     """WITH a AS (SELECT year(o_orderdate) AS year, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS m FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
-            b AS (SELECT year(o_orderdate) AS year, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS m FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+            b AS (SELECT year(o_orderdate) AS year, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS m FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1)
        SELECT a.year, a.m AS mean_a, b.m AS mean_b, a.m - b.m AS difference FROM a JOIN b ON a.year = b.year""",
 )
 def agg_collapse_diff(t: Tables):
     rows = t.orders.select("o_orderstatus", F.year("o_orderdate").alias("year"), in_cents("o_totalprice").alias("price"))
-    a, b = (rows.where(F.col("o_orderstatus") == s) for s in ("O", "F"))
+    a, b = rows.where(F.col("o_orderstatus") == "O"), rows.where(F.col("o_orderstatus") != "O")
     return ops.collapsed_difference(a, b, ["year"], "price")
 
 
@@ -185,7 +185,8 @@ def agg_level_stats(t: Tables):
 @query("agg_minmax_running", "SELECT l_linenumber, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem GROUP BY 1")
 def agg_minmax_running(t: Tables):
     """Two batches of rows, the second merged with the result of the first."""
-    old, new = (t.lineitem.where(F.col("l_linestatus") == s) for s in ("F", "O"))
+    early = F.col("l_linestatus").eqNullSafe("F")
+    old, new = t.lineitem.where(early), t.lineitem.where(~early)
     first = ops.level_min_max(old, "l_linenumber", "l_extendedprice")
     return ops.level_min_max(new, "l_linenumber", "l_extendedprice", first)
 
@@ -273,10 +274,10 @@ def agg_mean_band(t: Tables):
 @query(
     "agg_complete_groups",
     f"""WITH {STATIONS_SQL} SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, station_id, value FROM stations
-        WHERE time IN (SELECT time FROM stations GROUP BY time HAVING count(DISTINCT station_id) = 5)""",
+        WHERE time IN (SELECT time FROM stations GROUP BY time HAVING count(DISTINCT station_id) = (SELECT count(DISTINCT event_type) FROM events))""",
 )
 def agg_complete_groups(t: Tables):
-    full = ops.complete_groups(hourly_stations(t), ["time"], "station_id", len(STATIONS))
+    full = ops.complete_groups(hourly_stations(t), ["time"], "station_id", len(station_ids(t)))
     return full.select(stamp("time"), "station_id", "value")
 
 
@@ -285,10 +286,11 @@ def agg_complete_groups(t: Tables):
     f"""WITH {STATIONS_SQL} SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time,
           string_agg(station_id, ',' ORDER BY station_id) AS station_id,
           string_agg(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY station_id) AS value
-        FROM stations GROUP BY time HAVING count(DISTINCT station_id) = 5""",
+        FROM stations GROUP BY time HAVING count(DISTINCT station_id) = (SELECT count(DISTINCT event_type) FROM events)""",
 )
 def agg_collect(t: Tables):
-    full = ops.complete_groups(hourly_stations(t), ["time"], "station_id", len(STATIONS))
-    lists = ops.collect_members(full, ["time"], "station_id", STATIONS, ["value"])
+    stations = station_ids(t)
+    full = ops.complete_groups(hourly_stations(t), ["time"], "station_id", len(stations))
+    lists = ops.collect_members(full, ["time"], "station_id", stations, ["value"])
     whole = F.transform("value", lambda v: F.round(v * 100).cast("long").cast("string"))
     return lists.select(stamp("time"), F.concat_ws(",", "station_id").alias("station_id"), F.concat_ws(",", whole).alias("value"))

@@ -97,8 +97,30 @@ stations AS (
   FROM events GROUP BY 1, 2)
 """
 
-# The stations, which are the five event types.
+# The event types of the given tables, which SQL must list as columns.
 STATIONS = ["click", "error", "purchase", "signup", "view"]
+#: More stations than this cannot be laid side by side as columns.
+MOST_STATIONS = 1000
+
+
+def station_ids(t: Tables) -> list[str]:
+    """The stations that report, in their order."""
+    found = t.events.where(F.col("event_type").isNotNull()).select("event_type").distinct()
+    ids = sorted(r[0] for r in found.limit(MOST_STATIONS + 1).collect())
+    if len(ids) > MOST_STATIONS:
+        raise ValueError(f"more than {MOST_STATIONS} stations")
+    return ids
+
+
+def number_sql(*ids: str, seed: int = 0) -> str:
+    """SQL for ``functions.scalar.keyed_number``."""
+    parts = ", ".join(f"CAST({i} AS VARCHAR)" for i in ids)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {parts}, '{seed}')), 1, 15) AS BIGINT)"
+
+
+def unit_sql(*ids: str, seed: int = 0) -> str:
+    """SQL for ``operators.sampling.hash_unit``."""
+    return f"({number_sql(*ids, seed=seed)} / {2**60}::DOUBLE)"
 
 
 def buoys(t: Tables) -> DataFrame:

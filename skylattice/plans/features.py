@@ -8,31 +8,30 @@ from pyspark.sql import functions as F
 from ..operators import aggregates, neighbours, sampling
 from ..operators import features as ft
 from .catalog import Tables, query, rounded, stamp
-from .derived import FIELDS_SQL, STATIONS, STATIONS_SQL, hourly_stations, model_fields
+from .derived import FIELDS_SQL, STATIONS, STATIONS_SQL, hourly_stations, model_fields, number_sql, station_ids, unit_sql
 
 _WORDS = r"""list_filter(string_split(regexp_replace(lower(text), '[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]', ' ', 'g'), ' '), lambda w: w <> '')"""
 _VOCAB = f"""counts AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM documents) GROUP BY 1),
   vocab AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS word_id FROM counts ORDER BY n DESC, word LIMIT 49)"""
 
 
-@query("ft_hash_bucket", "SELECT source, count(*) AS n, 1 AS n_buckets, true AS in_range FROM documents GROUP BY 1")
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+@query("ft_hash_bucket", f"SELECT doc_id, source, CAST({number_sql('source')} % 10 AS INTEGER) AS bucket FROM documents")
 def ft_hash_bucket(t: Tables):
-    """Every source has one bucket of the ten."""
-    hashed = t.documents.select("source", ft.hash_bucket(F.col("source")).alias("bucket"))
-    return hashed.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("bucket").alias("n_buckets"), F.every(F.col("bucket").between(0, 9)).alias("in_range")
-    )
+    return t.documents.select("doc_id", "source", ft.hash_bucket(F.col("source")).alias("bucket"))
 
 
 @query(
     "ft_onehot",
-    """SELECT event_id, CAST(event_type = 'click' AS INTEGER) AS event_type_click, CAST(event_type = 'view' AS INTEGER) AS event_type_view,
-              list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) - 1 AS at FROM events""",
+    f"""SELECT event_id, {', '.join(f"CAST(event_type = '{w}' AS INTEGER) AS event_type_{w}" for w in _KINDS)},
+              list_position([{', '.join(f"'{w}'" for w in _KINDS)}], event_type) - 1 AS at FROM events""",
 )
 def ft_onehot(t: Tables):
-    words = ft.one_hot_words(t.events, "event_type", ["click", "view"])
+    words = ft.one_hot_words(t.events, "event_type", _KINDS)
     hot = ft.one_hot_inferred(words, "event_type", "hot").withColumn("a", vector_to_array("hot"))
-    return hot.select("event_id", "event_type_click", "event_type_view", (F.array_position("a", F.lit(1.0)) - 1).cast("int").alias("at"))
+    return hot.select("event_id", *[f"event_type_{w}" for w in _KINDS], (F.array_position("a", F.lit(1.0)) - 1).cast("int").alias("at"))
 
 
 @query(
@@ -136,62 +135,69 @@ def ft_assemble(t: Tables):
 
 @query(
     "ft_mask_target",
-    f"""WITH {STATIONS_SQL} SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, sum(CAST(round(reports) AS BIGINT))::BIGINT AS reports,
-          1 AS n_hidden, true AS zeroed FROM stations GROUP BY time HAVING count(*) = 5""",
+    f"""WITH {STATIONS_SQL}, f AS (SELECT *, strftime(time, '%Y-%m-%d %H:%M:%S') AS hour FROM stations WHERE time IN
+          (SELECT time FROM stations GROUP BY time HAVING count(DISTINCT station_id) = (SELECT count(DISTINCT event_type) FROM events))),
+        m AS (SELECT *, station_id = list_extract([{', '.join(f"'{s}'" for s in STATIONS)}], {number_sql('hour', seed=5)} % {len(STATIONS)} + 1) AS hidden FROM f)
+        SELECT hour AS time, station_id, hidden, CASE WHEN hidden THEN 0 ELSE value END AS value, CASE WHEN hidden THEN 0 ELSE reports END AS reports,
+          CASE WHEN hidden THEN value END AS target_value, CASE WHEN hidden THEN reports END AS target_reports FROM m""",
 )
 def ft_mask_target(t: Tables):
-    """Hours in which all stations report: one is hidden, its input values are
-    0, and input and target together hold the reports of all."""
-    full = aggregates.complete_groups(hourly_stations(t), ["time"], "station_id", len(STATIONS))
-    masked = ft.mask_one_station(full, ["time"], "station_id", STATIONS, ["value", "reports"], 5)
-    hidden = F.col("hidden")
-    return masked.groupBy("time").agg(
-        F.sum((F.col("reports") + F.coalesce("target_reports", F.lit(0.0))).cast("long")).alias("reports"),
-        F.count_if(hidden).alias("n_hidden"),
-        F.every(~hidden | ((F.col("value") == 0) & (F.col("reports") == 0) & F.col("target_value").isNotNull())).alias("zeroed"),
-    ).withColumn("time", stamp("time"))
+    """Hours in which all stations report: one is hidden."""
+    stations = station_ids(t)
+    full = aggregates.complete_groups(hourly_stations(t), ["time"], "station_id", len(stations))
+    masked = ft.mask_one_station(full, ["time"], "station_id", stations, ["value", "reports"], 5)
+    return masked.select(stamp("time"), "station_id", "hidden", "value", "reports", "target_value", "target_reports")
 
 
 @query(
     "ft_poly",
-    """SELECT s_suppkey, round(s_acctbal * s_acctbal, 2) AS s_acctbal_squared, round(s_acctbal * s_nationkey, 2) AS product FROM supplier""",
+    """SELECT s_suppkey, round(s_acctbal * s_acctbal, 2) AS s_acctbal_squared, round(s_acctbal, 2) AS x, round(s_acctbal * s_acctbal, 2) AS xx,
+              s_nationkey::DOUBLE AS y, round(s_acctbal * s_nationkey, 2) AS xy, (s_nationkey * s_nationkey)::DOUBLE AS yy FROM supplier""",
 )
 def ft_poly(t: Tables):
-    """Squared term beside the full expansion; terms run x, x2, y, xy, y2."""
+    """Squared term beside the full expansion."""
     rows = ft.add_square(t.supplier, "s_acctbal")
     poly = ft.polynomial(rows, ["s_acctbal", "s_nationkey"]).withColumn("a", vector_to_array("poly"))
-    return rounded(poly.select("s_suppkey", "s_acctbal_squared", F.col("a")[3].alias("product")), 2)
+    terms = [F.col("a")[i].alias(n) for i, n in enumerate(("x", "xx", "y", "xy", "yy"))]
+    return rounded(poly.select("s_suppkey", "s_acctbal_squared", *terms), 2)
 
 
 # --- samples and splits --------------------------------------------------
 
 
-@query("sm_frac")
+@query("sm_frac", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {unit_sql('o_orderkey', seed=3)} < 0.1::DOUBLE")
 def sm_frac(t: Tables):
     return sampling.sample_fraction(t.orders, ["o_orderkey"], 0.1, 3).select("o_orderkey", "o_totalprice")
 
 
-@query("sm_replace", "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS draw, true AS real FROM orders")
+@query(
+    "sm_replace",
+    f"""WITH k AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS r, count(*) OVER () AS n FROM orders),
+            d AS (SELECT r - 1 AS draw, {number_sql('r - 1', seed=3)} % n + 1 AS r FROM k)
+       SELECT draw, o_orderkey, o_totalprice FROM d JOIN k ON d.r = k.r""",
+)
 def sm_replace(t: Tables):
-    """As many draws as there are orders; every drawn row is one of them."""
+    """As many draws as there are orders."""
     drawn = sampling.sample_with_replacement(t.orders, ["o_orderkey"], t.orders.count(), 3)
-    known = t.orders.select("o_orderkey", F.col("o_totalprice").alias("price"))
-    return drawn.join(known, "o_orderkey", "left").select("draw", F.coalesce(F.col("price") == F.col("o_totalprice"), F.lit(False)).alias("real"))
+    return drawn.select("draw", "o_orderkey", "o_totalprice")
 
 
 @query(
     "sm_stratified",
-    """SELECT o_orderstatus, part, CASE part WHEN 'test' THEN CAST(floor(n * 0.1::DOUBLE) AS BIGINT) WHEN 'validation' THEN CAST(floor(n * 0.1::DOUBLE) AS BIGINT)
-              ELSE n - 2 * CAST(floor(n * 0.1::DOUBLE) AS BIGINT) END AS n
-       FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1), unnest(['test', 'validation', 'train']) AS u(part)""",
+    f"""WITH h AS (SELECT o_orderkey, o_orderstatus, {number_sql('o_orderkey', seed=5)} AS h FROM orders),
+            k AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, o_orderkey) AS r,
+                    CAST(floor(count(*) OVER (PARTITION BY o_orderstatus) * 0.1::DOUBLE) AS BIGINT) AS tenth FROM h)
+       SELECT o_orderkey, o_orderstatus, CASE WHEN r <= tenth THEN 'test' WHEN r <= 2 * tenth THEN 'validation' ELSE 'train' END AS part FROM k""",
 )
 def sm_stratified(t: Tables):
-    """Sizes of the sets per class."""
     sets = sampling.stratified_sets(t.orders, "o_orderstatus", ["o_orderkey"], 0.1, 0.1, 5)
-    return sets.groupBy("o_orderstatus", "part").agg(F.count(F.lit(1)).alias("n"))
+    return sets.select("o_orderkey", "o_orderstatus", "part")
 
 
-@query("sm_undersample")
+@query(
+    "sm_undersample",
+    f"SELECT event_id, event_type, value FROM events WHERE event_type = 'signup' OR {unit_sql('event_id', seed=9)} < 0.05::DOUBLE",
+)
 def sm_undersample(t: Tables):
     return sampling.undersample(t.events, "event_type", "signup", ["event_id"], 0.05, 9).select("event_id", "event_type", "value")
 
@@ -225,19 +231,18 @@ def sm_class_weight(t: Tables):
     return rounded(sampling.class_weights(rows, "event_type", "balanced", True).select("event_id", "weight", "balanced"), 9)
 
 
-@query("sp_random", "SELECT o_orderkey, true AS placed, true AS near FROM orders")
+@query("sp_random", f"SELECT o_orderkey, CASE WHEN {unit_sql('o_orderkey', seed=1)} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM orders")
 def sp_random(t: Tables):
-    """Every row is in one part, and train has about 80 % of them."""
-    split = sampling.split_random(t.orders, ["o_orderkey"], 0.8, 1)
-    share = split.agg(F.avg((F.col("part") == "train").cast("double")).alias("s")).scalar()
-    return split.select("o_orderkey", F.col("part").isin("train", "test").alias("placed"), share.between(0.75, 0.85).alias("near"))
+    return sampling.split_random(t.orders, ["o_orderkey"], 0.8, 1).select("o_orderkey", "part")
 
 
-@query("sp_group", "SELECT conv_id, count(*) AS n, 1 AS n_parts FROM conversations GROUP BY 1")
+@query(
+    "sp_group",
+    f"SELECT conv_id, turn, CASE WHEN {unit_sql('conv_id', seed=1)} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM conversations",
+)
 def sp_group(t: Tables):
     """All turns of a conversation are in one part."""
-    split = sampling.split_by_group(t.conversations, ["conv_id"], 0.8, 1)
-    return split.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("n_parts"))
+    return sampling.split_by_group(t.conversations, ["conv_id"], 0.8, 1).select("conv_id", "turn", "part")
 
 
 @query(
@@ -258,12 +263,9 @@ def sp_ordered(t: Tables):
     return sampling.split_ordered(t.orders, ["o_orderdate", "o_orderkey"], 0.8).select("o_orderkey", "part")
 
 
-@query("sp_kfold", "SELECT o_orderkey, true AS in_range, 5 AS n_folds FROM orders")
+@query("sp_kfold", f"SELECT o_orderkey, CAST({number_sql('o_orderkey', seed=2)} % 5 AS INTEGER) AS fold FROM orders")
 def sp_kfold(t: Tables):
-    """Every row has one of five folds, and all five are used."""
-    folds = sampling.with_fold(t.orders, ["o_orderkey"], 5, 2)
-    used = folds.agg(F.count_distinct("fold").alias("n")).scalar()
-    return folds.select("o_orderkey", F.col("fold").between(0, 4).alias("in_range"), used.alias("n_folds"))
+    return sampling.with_fold(t.orders, ["o_orderkey"], 5, 2).select("o_orderkey", "fold")
 
 
 @query(

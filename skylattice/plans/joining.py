@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import grid, joins, neighbours, reshape
 from .catalog import Tables, in_cents, query, rounded, stamp
-from .derived import BUOYS_SQL, FIELDS_SQL, STATIONS, STATIONS_SQL, buoys, hourly_stations, model_fields
+from .derived import BUOYS_SQL, FIELDS_SQL, STATIONS, STATIONS_SQL, buoys, hourly_stations, model_fields, station_ids
 
 
 @query(
@@ -47,21 +47,22 @@ def join_outer_common(t: Tables):
         FROM stations GROUP BY time""",
 )
 def join_outer_reduce(t: Tables):
-    wide = joins.join_outer_many(hourly_stations(t), "time", "station_id", "value", STATIONS)
+    wide = joins.join_outer_many(hourly_stations(t), "time", "station_id", "value", station_ids(t))
     return wide.withColumn("time", stamp("time"))
 
 
 @query(
     "join_align_index",
-    """WITH a AS (SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1, 2),
-            b AS (SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+    """WITH a AS (SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2),
+            b AS (SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS n FROM events WHERE event_type NOT IN ('click', 'view') GROUP BY 1, 2)
        SELECT coalesce(a.day, b.day)::VARCHAR AS day, coalesce(a.user_id, b.user_id) AS user_id, a.n AS a, b.n AS b, a.n + b.n AS total
        FROM a FULL JOIN b ON a.day = b.day AND a.user_id = b.user_id""",
 )
 def join_align_index(t: Tables):
-    daily = t.events.groupBy(F.to_date("ts").cast("string").alias("day"), "user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    clicks, views = (daily.where(F.col("event_type") == e) for e in ("click", "view"))
-    return joins.align_add(clicks, views, ["day", "user_id"], "n")
+    """Daily counts of looking at things, and of all other events."""
+    looked = F.col("event_type").isin("click", "view")
+    daily = t.events.groupBy(F.to_date("ts").cast("string").alias("day"), "user_id", looked.alias("looked")).agg(F.count(F.lit(1)).alias("n"))
+    return joins.align_add(daily.where("looked"), daily.where("NOT looked"), ["day", "user_id"], "n")
 
 
 @query(
@@ -103,13 +104,13 @@ def join_broadcast_dim(t: Tables):
 
 @query(
     "join_grid_diff",
-    f"""WITH {FIELDS_SQL} SELECT a.y, a.x, a.q - b.q AS difference
-        FROM fields a JOIN fields b ON a.y = b.y AND a.x = b.x AND a.level = 7 AND b.level = 1""",
+    f"""WITH {FIELDS_SQL} SELECT a.level, a.y, a.x, a.q - b.q AS difference
+        FROM fields a JOIN fields b ON a.y = b.y AND a.x = b.x AND a.level = b.level + 1""",
 )
 def join_grid_diff(t: Tables):
-    fields = model_fields(t)
-    top, low = (fields.where(F.col("level") == k).select("y", "x", "q") for k in (7, 1))
-    return joins.grid_difference(top, low, ["y", "x"], "q")
+    """Every level against the one below it."""
+    fields = model_fields(t).select("level", "y", "x", "q")
+    return joins.grid_difference(fields, fields.withColumn("level", F.col("level") + 1), ["level", "y", "x"], "q")
 
 
 @query(
@@ -214,11 +215,12 @@ def union_all(t: Tables):
 
 @query(
     "union_merge_dim",
-    f"WITH {FIELDS_SQL} SELECT CASE level WHEN 1 THEN 10 WHEN 2 THEN 20 WHEN 3 THEN 30 END AS height, y, x, q FROM fields WHERE level <= 3",
+    f"WITH {FIELDS_SQL} SELECT CASE WHEN level <= 3 THEN 10 ELSE 20 END AS height, level, y, x, q FROM fields",
 )
 def union_merge_dim(t: Tables):
-    fields = model_fields(t)
-    parts = {10 * k: fields.where(F.col("level") == k).select("y", "x", "q") for k in (1, 2, 3)}
+    """The lower and the upper half of the levels, merged along a new dimension."""
+    fields = model_fields(t).select("level", "y", "x", "q")
+    parts = {10: fields.where(F.col("level") <= 3), 20: fields.where(F.col("level") > 3)}
     return reshape.merge_dimension(parts, "height")
 
 
@@ -288,12 +290,11 @@ def flatten_dims(t: Tables):
 
 @query(
     "onehot_rows",
-    """SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS c0, CASE WHEN label = 3 THEN 1 ELSE 0 END AS c3,
-              CASE WHEN label = 9 THEN 1 ELSE 0 END AS c9, 10 AS size FROM embeddings""",
+    f"""SELECT vec_id, {', '.join(f"CASE WHEN label = {i} THEN 1 ELSE 0 END AS c{i}" for i in range(10))}, 10 AS size FROM embeddings""",
 )
 def onehot_rows(t: Tables):
     hot = t.embeddings.select("vec_id", reshape.one_hot_levels(F.col("label"), 10).alias("h"))
-    return hot.select("vec_id", *[F.col("h")[i].alias(f"c{i}") for i in (0, 3, 9)], F.size("h").alias("size"))
+    return hot.select("vec_id", *[F.col("h")[i].alias(f"c{i}") for i in range(10)], F.size("h").alias("size"))
 
 
 @query(

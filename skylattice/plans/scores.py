@@ -69,6 +69,30 @@ def mt_sedi(t: Tables):
     return rounded(rates.select(ops.sedi(F.col("hit_rate"), F.col("false_alarm_rate")).alias("sedi")))
 
 
+_SUITE = "\nUNION ALL ".join(
+    f"""SELECT part, '{name}' AS classifier, count_if(o AND value > {limit})::BIGINT AS tp, count_if(NOT o AND value > {limit})::BIGINT AS fp,
+        count_if(o AND NOT value > {limit})::BIGINT AS fn, count_if(NOT o AND NOT value > {limit})::BIGINT AS tn FROM s GROUP BY 1"""
+    for name, limit in (("low", 50), ("high", 200))
+)
+
+
+@query(
+    "mt_suite",
+    f"""WITH s AS (SELECT CASE WHEN day(ts) <= 20 THEN 'train' ELSE 'test' END AS part, event_type IN ('purchase', 'signup') AS o, value FROM events),
+            c AS ({_SUITE}), r AS (SELECT *, tp / (tp + fn) AS h, fp / (fp + tn) AS f FROM c)
+       SELECT part, classifier, tp, fp, fn, tn, round(tp / (tp + fp), 9) AS precision_1, round(h, 9) AS recall_1, round(2.0 * tp / (2 * tp + fp + fn), 9) AS f1_1,
+              round(tn / (tn + fn), 9) AS precision_0, round(tn / (tn + fp), 9) AS recall_0, round(2.0 * tn / (2 * tn + fp + fn), 9) AS f1_0,
+              round(h, 9) AS hit_rate, round(f, 9) AS false_alarm_rate,
+              round(CASE WHEN h > 0 AND h < 1 AND f > 0 AND f < 1 THEN
+                (ln(f) - ln(h) - ln(1 - f) + ln(1 - h)) / (ln(f) + ln(h) + ln(1 - f) + ln(1 - h)) END, 9) AS sedi FROM r""",
+)
+def mt_suite(t: Tables):
+    """Two classifiers on the days of training and of testing."""
+    rows = t.events.withColumn("part", F.when(F.day("ts") <= 20, "train").otherwise("test"))
+    forecasts = {"low": F.col("value") > 50, "high": F.col("value") > 200}
+    return rounded(ops.score_table(rows, F.col("event_type").isin("purchase", "signup"), forecasts, ["part"]), 9)
+
+
 @query(
     "mt_threshold_sweep",
     """WITH s AS (SELECT event_type IN ('purchase', 'signup') AS o, value / 500 AS score FROM events),
@@ -163,10 +187,10 @@ def mt_r2_mse(t: Tables):
 
 @query(
     "mt_map_diff",
-    f"""WITH {FIELDS_SQL} SELECT a.y, a.x, a.cloud AS forecast, b.cloud AS observed, a.cloud - b.cloud AS error
-        FROM fields a JOIN fields b ON a.y = b.y AND a.x = b.x AND a.level = 2 AND b.level = 1""",
+    f"""WITH {FIELDS_SQL} SELECT a.level, a.y, a.x, a.cloud AS forecast, b.cloud AS observed, a.cloud - b.cloud AS error
+        FROM fields a JOIN fields b ON a.y = b.y AND a.x = b.x AND a.level = b.level + 1""",
 )
 def mt_map_diff(t: Tables):
-    fields = model_fields(t)
-    forecast, observed = (fields.where(F.col("level") == k) for k in (2, 1))
-    return ops.map_difference(forecast, observed, ["y", "x"], "cloud")
+    """Every level forecast by the one below it."""
+    fields = model_fields(t).select("level", "y", "x", "cloud")
+    return ops.map_difference(fields, fields.withColumn("level", F.col("level") + 1), ["level", "y", "x"], "cloud")

@@ -8,7 +8,7 @@ from .. import sources as io
 from ..operators import aggregates, sampling
 from ..session import scratch_path
 from .catalog import Tables, query, rounded
-from .derived import FIELDS_SQL, model_fields
+from .derived import FIELDS_SQL, model_fields, unit_sql
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string"
 
@@ -63,8 +63,9 @@ def src_yearly_union(t: Tables):
 @query("src_csv_glob", "SELECT doc_id, quality, toxic FROM labels")
 def src_csv_glob(t: Tables):
     path = scratch_path(t.spark, "glob")
-    for part in (0, 1):
-        io.write_csv(t.labels.where(F.col("quality") == part), f"{path}/labels_{part}")
+    good = F.col("quality").eqNullSafe(1)
+    for part, rows in enumerate((~good, good)):
+        io.write_csv(t.labels.where(rows), f"{path}/labels_{part}")
     return io.read_csv(t.spark, f"{path}/labels_*/*.csv", "doc_id long, quality int, toxic int")
 
 
@@ -88,9 +89,9 @@ def src_csv_defaults(t: Tables):
     return io.read_csv_lenient(t.spark, path, schema, ["c_custkey", "c_acctbal", "c_mktsegment"], {"c_mktsegment": "NONE"})
 
 
-@query("src_parquet", "SELECT p_partkey, p_brand, p_size FROM part WHERE p_size > 10")
+@query("src_parquet", "SELECT p_partkey, p_brand, p_size FROM part")
 def src_parquet(t: Tables):
-    return io.read_parquet(t.spark, f"{t.folder}/part.parquet", ["p_partkey", "p_brand", "p_size"], F.col("p_size") > 10)
+    return io.read_parquet(t.spark, f"{t.folder}/part.parquet", ["p_partkey", "p_brand", "p_size"])
 
 
 @query(
@@ -145,8 +146,9 @@ def src_regex_text(t: Tables):
 def src_filename_coord(t: Tables):
     """Three members in files named by their number; one also has it as data."""
     path = scratch_path(t.spark, "members")
-    for status, member in (("O", 3), ("F", 6), ("P", 15)):
-        part = t.orders.where(F.col("o_orderstatus") == status).select(
+    opened, filled = (F.col("o_orderstatus").eqNullSafe(s) for s in ("O", "F"))
+    for rows, member in ((opened, 3), (filled, 6), (~opened & ~filled, 15)):
+        part = t.orders.where(rows).select(
             "o_totalprice", F.when(F.lit(member == 15), F.lit(15)).cast("int").alias("realization")
         )
         part.write.parquet(f"{path}/run_{member:03d}")
@@ -214,9 +216,15 @@ def snk_stats(t: Tables):
     return rounded(io.read_statistics(t.spark, path))
 
 
-@query("snk_labels", "SELECT doc_id, quality, toxic FROM labels")
+@query(
+    "snk_labels",
+    f"SELECT doc_id, quality, toxic, CASE WHEN {unit_sql('doc_id', seed=11)} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM labels",
+)
 def snk_labels(t: Tables):
     """Both written sets together are the labels, each row once."""
     path = scratch_path(t.spark, "labels")
     io.write_label_sets(sampling.split_random(t.labels, ["doc_id"], 0.8, 11), path)
-    return io.read_csv(t.spark, [f"{path}/train", f"{path}/test"], "doc_id long, quality int, toxic int")
+    train, test = (
+        io.read_csv(t.spark, f"{path}/{part}", "doc_id long, quality int, toxic int").withColumn("part", F.lit(part)) for part in ("train", "test")
+    )
+    return train.unionByName(test)

@@ -3,7 +3,9 @@
 import numpy as np
 import pytest
 
-from skylattice.operators import aggregates, features, models, neighbours, reshape
+from pyspark.sql import functions as F
+
+from skylattice.operators import aggregates, features, grid, joins, models, neighbours, reshape, verification
 
 
 def test_pivots_keep_keys_without_a_listed_label(spark):
@@ -32,6 +34,45 @@ def test_null_label_has_a_null_code(spark, kind, values):
     assert got == {last: 0, first: 1, None: None}
 
 
+def test_a_null_is_no_event_in_every_table(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (None, 1), (None, None), (0, 0)], "o int, f int")
+    o, f = F.col("o") == 1, F.col("f") == 1
+    counts = {"tp": 1, "fp": 1, "fn": 1, "tn": 2}
+    assert verification.contingency(df, o, f).first().asDict() == counts
+    row = verification.score_table(df, o, {"a": f}).first().asDict()
+    assert {k: row[k] for k in counts} == counts and (row["precision_1"], row["f1_0"]) == (0.5, 2 / 3)
+    names = {"truePositive": "tp", "falsePositive": "fp", "falseNegative": "fn", "trueNegative": "tn"}
+    got = verification.with_category(df, "o", "f").groupBy("result_category").count().collect()
+    assert {names[r["result_category"]]: r["count"] for r in got} == counts
+
+
+def test_rows_are_numbered_along_text(spark):
+    texts = ["", "b", "a", "abcdefgh", "abcdefga", "é", "z", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["row_index"] for r in reshape.with_row_index(df, ["t"]).collect()}
+    known = sorted((t for t in texts if t is not None), key=str.encode)
+    assert got == {t: i for i, t in enumerate([None, *known])}
+
+
+def test_one_hot_gives_nulls_a_place(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
+    got = {r["v"]: r["hot"].toArray().tolist() for r in features.one_hot_inferred(df, "v", "hot").collect()}
+    assert got == {"a": [1, 0, 0], "b": [0, 1, 0], None: [0, 0, 1]}
+
+
+def test_alignment_keeps_keys_of_either_side(spark):
+    a, b = (spark.createDataFrame(rows, "k int, v long") for rows in ([(1, 2), (None, 3)], [(1, 5), (2, 7)]))
+    got = {r["k"]: (r["a"], r["b"], r["total"]) for r in joins.align_add(a, b, ["k"], "v").collect()}
+    assert got == {1: (2, 5, 7), 2: (None, 7, None), None: (3, None, None)}
+
+
+def test_sites_outside_the_grid_stay(spark):
+    cells = spark.createDataFrame([(y, x, float(10 * y + x)) for y in (0, 1) for x in (0, 1)], "y int, x int, v double")
+    sites = spark.createDataFrame([(1, 0.5, 0.25), (2, 1.0, 1.0), (3, 0.5, 1.5), (4, None, 0.0)], "id int, py double, px double")
+    got = grid.interpolate_sites(sites, cells, {"py": ("y", 0.0, 1.0), "px": ("x", 0.0, 1.0)}, "v")
+    assert {r["id"]: r["interpolated"] for r in got.collect()} == {1: 5.25, 2: 11.0, 3: None, 4: None}
+
+
 def test_scores_give_labels(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id int, f array<double>")
     got = models.score_batches(df, "f", np.eye(2), np.zeros(2), ["id"], [5, 9]).collect()

@@ -113,17 +113,25 @@ def contaminated(
     spots = asked.select("n_item", shingle_hashes(F.col("item_words")).alias("hs"))
     spots = spots.select("n_item", "hs", F.posexplode("hs").alias("q", "hash"))
     spots = cut(spots.select("n_item", "q", "hash", F.when(F.col("q") > 0, F.get("hs", F.col("q") - 1)).alias("before")).distinct())
-    if spots.count() <= BROADCAST_SHINGLES:
-        spots = F.broadcast(spots)
+    few = spots.count() <= BROADCAST_SHINGLES
+    # a text's words go along with each of its shingles only where these are not shuffled
+    carried = ["found"] if few else []
     rows = df.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text_hash"), plain_words(F.col(text)).alias("found"))
-    rows = rows.select("*", shingle_hashes(F.col("found")).alias("own"))
     # the outer form: Spark would filter by the size of ``own`` before it is made, and make it twice
-    hits = rows.select("key", "text_hash", "found", "own", F.posexplode_outer("own").alias("p", "hash")).join(spots, "hash")
+    spread = rows.select("*", shingle_hashes(F.col("found")).alias("own")).select("*", F.posexplode_outer("own").alias("p", "hash"))
+    spread = spread.select(
+        "key", "text_hash", *carried, F.size("found").alias("n_found"), "p", "hash", F.get("own", F.col("p") - 1).alias("previous")
+    )
+    hits = spread.join(F.broadcast(spots) if few else spots, "hash")
     # only where a common run begins
-    fresh = ~F.coalesce(F.get("own", F.col("p") - 1) == F.col("before"), F.lit(False))
-    most = F.greatest(F.size("found") - F.col("n_item"), F.lit(0))
+    fresh = ~F.coalesce(F.col("previous") == F.col("before"), F.lit(False))
+    most = F.greatest(F.col("n_found") - F.col("n_item"), F.lit(0))
     start = F.greatest(F.least(F.col("p") - F.col("q"), most), F.lit(0))
-    windows = hits.where(fresh).select("key", "text_hash", start.alias("start"), F.col("n_item").alias("size"), "found")
+    windows = hits.where(fresh).select("key", "text_hash", *carried, start.alias("start"), F.col("n_item").alias("size"))
+    if not few:
+        texts = rows.select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), "found")
+        same = F.col("key").eqNullSafe(F.col("__key")) & (F.col("text_hash") == F.col("__hash"))
+        windows = windows.distinct().join(texts, same)
     windows = windows.select("key", "text_hash", "start", "size", F.slice("found", F.col("start") + 1, F.col("size")).alias("window"))
     windows = windows.dropDuplicates(["key", "text_hash", "start", "size"])
     # written with its fingerprint, which every block of the index would work out again

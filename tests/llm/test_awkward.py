@@ -30,7 +30,9 @@ def test_line_dedup_counts_near_the_threshold_exactly(spark):
     assert sorted(r["doc_id"] for r in got) == [n * 1000 + s for n in (5, 6, 300) for s in range(1, n)]
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("broadcast_shingles", [0, decontamination.BROADCAST_SHINGLES])
+def test_decontamination(spark, monkeypatch, broadcast_shingles):
+    monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", broadcast_shingles)
     item = "zero one two three four five six seven eight nine ten eleven"
     bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, "too short"), (None, item)], "item_id long, text string")
     docs = fixtures.frame(spark, fixtures.rows() + [(20, f"before it all, {item.upper()}. and after", "en", "a", 1, *["clash"] * fixtures.EXTRA), (None, item, None, None, None, *["clash"] * fixtures.EXTRA)])

@@ -37,6 +37,12 @@ def test_sql(spark, name):
     assert differences(queries.registry()[name](spark, FOLDER), FOLDER, queries.oracle()[name]) is None
 
 
+def test_many_item_shingles(spark, monkeypatch):
+    few = sorted(map(tuple, queries.op1_decontaminate(spark, FOLDER).collect()))
+    monkeypatch.setattr(queries.decontamination, "BROADCAST_SHINGLES", 0)
+    assert few and sorted(map(tuple, queries.op1_decontaminate(spark, FOLDER).collect())) == few
+
+
 def random_text(rng, alphabet):
     return "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14)))
 

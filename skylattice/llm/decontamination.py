@@ -108,7 +108,10 @@ def contaminated(
     asked = cut(
         asked.where(F.size("item_words") >= SHINGLE)
         .distinct()
-        .select("item_id", "item_words", F.size("item_words").alias("n_item"), simhash(F.col("item_words")).alias("item_fp"))
+        .select(
+            "item_id", "item_words", F.size("item_words").alias("n_item"),
+            simhash(F.col("item_words")).alias("item_fp"), shingles(F.col("item_words")).alias("item_shingles"),
+        )
     )
     spots = asked.select("n_item", shingle_hashes(F.col("item_words")).alias("hs"))
     spots = spots.select("n_item", "hs", F.posexplode("hs").alias("q", "hash"))
@@ -134,10 +137,11 @@ def contaminated(
         windows = windows.distinct().join(texts, same)
     windows = windows.select("key", "text_hash", "start", "size", F.slice("found", F.col("start") + 1, F.col("size")).alias("window"))
     windows = windows.dropDuplicates(["key", "text_hash", "start", "size"])
-    # written with its fingerprint, which every block of the index would work out again
-    windows = cut(windows.withColumn("fp", simhash(F.col("window"))))
-    close = within_radius(windows, asked)
-    rated = close.withColumn("similarity", weighted_jaccard(shingles(F.col("window")), shingles(F.col("item_words"))))
+    # written with fingerprint and shingles, which every block of the index and every comparison would work out again
+    window = F.col("window")
+    windows = cut(windows.select("key", "text_hash", "start", "size", simhash(window).alias("fp"), shingles(window).alias("shingles")))
+    close = within_radius(windows, asked.drop("item_words"))
+    rated = close.withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item_shingles")))
     best = rated.where(F.col("similarity") >= similarity).groupBy("key", "text_hash", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), F.col("size").alias("n"))).alias("top")
     )

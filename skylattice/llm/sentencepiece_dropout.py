@@ -27,6 +27,8 @@ from sentencepiece import SentencePieceProcessor
 from .common import spare
 
 BLANK = "▁"
+#: Segmentations over which rows are dealt.
+VARIANTS = 4
 #: Chunks whose identifiers a worker keeps, over all variants; beyond that it starts anew.
 KEPT_CHUNKS = 700_000
 #: Chunks up to this length are merged with a list for an agenda, longer ones with a heap.
@@ -211,7 +213,7 @@ def codec(path: str, seed: int, dropout: float, variants: int) -> Codec:
     return Codec(path, seed, dropout, variants)
 
 
-def encode(df: DataFrame, path: str, variant_of: Column, text: str = "text", out: str = "ids", seed: int = 0, dropout: float = 0.1, variants: int = 1) -> DataFrame:
+def encode(df: DataFrame, path: str, variant_of: Column, text: str = "text", out: str = "ids", seed: int = 0, dropout: float = 0.1, variants: int = VARIANTS) -> DataFrame:
     """``df`` with the piece identifiers of ``text`` in an array column ``out``.
 
     ``variant_of`` is any column expression; its hash picks one of
@@ -243,7 +245,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return df.withColumn(out, run(F.col(ids)))
 
 
-def encode_checked(df: DataFrame, path: str, variant_of: Column, text: str = "text", seed: int = 0, dropout: float = 0.1, variants: int = 1) -> DataFrame:
+def encode_checked(df: DataFrame, path: str, variant_of: Column, text: str = "text", seed: int = 0, dropout: float = 0.1, variants: int = VARIANTS) -> DataFrame:
     """``df`` with ``ids``, ``n_pieces`` and ``lossless``: whether decoding the
     identifiers gave the text back. Both are null for a null text.
 

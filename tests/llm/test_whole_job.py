@@ -4,7 +4,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from skylattice.llm import near_copies
+from skylattice.llm import near_copies, queries
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 FOLDER = "/root/testdata/sf0.001"
@@ -52,3 +52,14 @@ def test_near_copies_of_similarity_eight_tenths_are_found(spark, monkeypatch):
         assert [got[i] for i in range(len(texts))] == expected
     kept = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, frame, FOLDER).collect()}
     assert kept == set(expected)
+
+
+def test_a_word_has_several_segmentations(spark, tmp_path):
+    """Through op4's query and the last stage, equal texts of many documents."""
+    frame = spark.createDataFrame(rows_of(["international understanding of meteorological observations"] * 60), SCHEMA)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    stored = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for done in (queries.op4_sentencepiece(spark, str(tmp_path)), corpus_pipeline.encoded(spark, stored, FOLDER)):
+        got = done.collect()
+        assert all(r["lossless"] for r in got)
+        assert len({tuple(r["ids"]) for r in got}) > 1

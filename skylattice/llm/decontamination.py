@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..ordered import salted_join
 from .common import cut, spare
 
 SHINGLE = 5
@@ -109,13 +110,13 @@ def contaminated(
         asked.where(F.size("item_words") >= SHINGLE)
         .distinct()
         .select(
-            "item_id", "item_words", F.size("item_words").alias("n_item"),
-            simhash(F.col("item_words")).alias("item_fp"), shingles(F.col("item_words")).alias("item_shingles"),
+            F.monotonically_increasing_id().alias("item"), "item_id", "item_words", F.size("item_words").alias("n_item"),
+            shingles(F.col("item_words")).alias("item_shingles"),
         )
     )
-    spots = asked.select("n_item", shingle_hashes(F.col("item_words")).alias("hs"))
-    spots = spots.select("n_item", "hs", F.posexplode("hs").alias("q", "hash"))
-    spots = cut(spots.select("n_item", "q", "hash", F.when(F.col("q") > 0, F.get("hs", F.col("q") - 1)).alias("before")).distinct())
+    spots = asked.select("item", "n_item", shingle_hashes(F.col("item_words")).alias("hs"))
+    spots = spots.select("item", "n_item", "hs", F.posexplode("hs").alias("q", "hash"))
+    spots = cut(spots.select("item", "n_item", "q", "hash", F.when(F.col("q") > 0, F.get("hs", F.col("q") - 1)).alias("before")))
     few = spots.count() <= BROADCAST_SHINGLES
     # a text's words go along with each of its shingles only where these are not shuffled
     carried = ["found"] if few else []
@@ -130,18 +131,19 @@ def contaminated(
     fresh = ~F.coalesce(F.col("previous") == F.col("before"), F.lit(False))
     most = F.greatest(F.col("n_found") - F.col("n_item"), F.lit(0))
     start = F.greatest(F.least(F.col("p") - F.col("q"), most), F.lit(0))
-    windows = hits.where(fresh).select("key", "text_hash", *carried, start.alias("start"), F.col("n_item").alias("size"))
+    windows = hits.where(fresh).select("key", "text_hash", *carried, "item", start.alias("start"), F.col("n_item").alias("size"))
     if not few:
         texts = rows.select(F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), "found")
         same = F.col("key").eqNullSafe(F.col("__key")) & (F.col("text_hash") == F.col("__hash"))
         windows = windows.distinct().join(texts, same)
-    windows = windows.select("key", "text_hash", "start", "size", F.slice("found", F.col("start") + 1, F.col("size")).alias("window"))
-    windows = windows.dropDuplicates(["key", "text_hash", "start", "size"])
-    # written with fingerprint and shingles, which every block of the index and every comparison would work out again
-    window = F.col("window")
-    windows = cut(windows.select("key", "text_hash", "start", "size", simhash(window).alias("fp"), shingles(window).alias("shingles")))
-    close = within_radius(windows, asked.drop("item_words"))
-    rated = close.withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item_shingles")))
+    windows = windows.select("key", "text_hash", "item", "start", "size", F.slice("found", F.col("start") + 1, F.col("size")).alias("window"))
+    windows = windows.dropDuplicates(["key", "text_hash", "item", "start"])
+    # written with shingles, which every comparison would work out again
+    windows = cut(windows.select("key", "text_hash", "item", "start", "size", shingles(F.col("window")).alias("shingles")))
+    # every window is held against the item that made it, however far apart their fingerprints are
+    items = asked.select("item", "item_id", "item_shingles")
+    met = windows.join(F.broadcast(items), "item") if few else salted_join(windows, items, ["item"])
+    rated = met.withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item_shingles")))
     best = rated.where(F.col("similarity") >= similarity).groupBy("key", "text_hash", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), F.col("size").alias("n"))).alias("top")
     )

@@ -3,8 +3,10 @@
 import itertools
 import random
 
+import pytest
+
 import corpus_pipeline
-from skylattice.llm import near_copies, queries
+from skylattice.llm import decontamination, near_copies, queries
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 FOLDER = "/root/testdata/sf0.001"
@@ -63,3 +65,15 @@ def test_a_word_has_several_segmentations(spark, tmp_path):
         got = done.collect()
         assert all(r["lossless"] for r in got)
         assert len({tuple(r["ids"]) for r in got}) > 1
+
+
+@pytest.mark.parametrize("broadcast_shingles", [0, decontamination.BROADCAST_SHINGLES])
+def test_items_with_a_repeated_word_for_a_tail_are_found(spark, monkeypatch, broadcast_shingles):
+    """Similarity 41/51, fingerprints often far apart."""
+    monkeypatch.setattr(decontamination, "BROADCAST_SHINGLES", broadcast_shingles)
+    rng = random.Random(6)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(50)] for _ in range(40)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame(rows_of([" ".join(["before", *w[:45], *["same"] * 5]) for w in items]), SCHEMA)
+    got = sorted((r["doc_id"], r["item_id"], r["similarity"], r["start"]) for r in decontamination.contaminated(docs, bench).collect())
+    assert got == [(i, i, 41 / 51, 1) for i in range(40)]

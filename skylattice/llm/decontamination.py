@@ -1,15 +1,12 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by exact comparison of item-sized windows.
 
 1. Windows: a text window as long as an item that shares a run of word
    shingles with it, laid so that the run falls on the same words. A window
    without a common shingle has similarity 0, so nothing is lost by not
    looking at the others; a run gives one window, at its first shingle.
-2. Each window and each item gets a 64-bit SimHash of its words.
-3. Multi-index: fingerprints are cut in one block more than the radius.
-   Two within the radius have an equal block (pigeonhole), so an equality
-   join on (size, block, value) finds every such pair.
-4. Candidates within the radius are verified by the exact weighted Jaccard
-   similarity of their shingles, weighted by how often each occurs.
+2. Each window meets the item of its run and no other, and is held against it
+   by the exact weighted Jaccard similarity of their shingles, weighted by how
+   often each occurs.
 """
 
 from __future__ import annotations
@@ -21,9 +18,6 @@ from ..ordered import salted_join
 from .common import cut, spare
 
 SHINGLE = 5
-BLOCKS = 16
-RADIUS = BLOCKS - 1
-_BLOCK_BITS = 64 // BLOCKS
 #: Item shingles (a few dozen bytes each) that are sent to every task; more are joined by a shuffle.
 BROADCAST_SHINGLES = 500_000
 
@@ -46,46 +40,6 @@ def shingles(found: Column) -> Column:
     return F.transform(places, lambda i: F.concat_ws(" ", F.slice(found, i, SHINGLE)))
 
 
-def simhash(found: Column) -> Column:
-    """A bit is set if it is set in over half of the words' hashes."""
-    hashes = F.transform(found, lambda w: F.xxhash64(w))
-
-    def bit(values: Column, b: Column) -> Column:
-        ones = F.aggregate(values, F.lit(0), lambda n, h: n + F.call_function("getbit", h, b).cast("int"))
-        power = F.call_function("shiftleft", F.lit(1).cast("long"), b)
-        return F.when(2 * ones > F.size(values), power).otherwise(F.lit(0).cast("long"))
-
-    def fold(values: Column) -> Column:
-        bits = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: bit(values, b))
-        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, v: a.bitwiseOR(v))
-
-    return F.get(F.transform(F.array(hashes), fold), F.lit(0))
-
-
-def block(fingerprint: Column, b: Column) -> Column:
-    return F.call_function("shiftrightunsigned", fingerprint, b * _BLOCK_BITS).bitwiseAND((1 << _BLOCK_BITS) - 1)
-
-
-def by_block(df: DataFrame, fingerprint: str) -> DataFrame:
-    """Each row once per block, with the block's number and value."""
-    rows = df.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
-    return rows.withColumn("value", block(F.col(fingerprint), F.col("block")))
-
-
-def within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
-    """Pairs of equal size with fingerprints at most ``RADIUS`` bits apart.
-
-    A pair is taken at the first block in which it agrees, so none comes twice.
-    """
-    index = by_block(items, "item_fp").withColumnsRenamed({"n_item": "size"})
-    pairs = by_block(windows, "fp").join(index, ["size", "block", "value"])
-    apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
-    agreeing = F.filter(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), lambda b: block(apart, b) == 0)
-    return pairs.where((F.get(agreeing, F.lit(0)) == F.col("block")) & (F.bit_count(apart) <= RADIUS)).withColumn(
-        "hamming", F.bit_count(apart)
-    )
-
-
 def weighted_jaccard(a: Column, b: Column) -> Column:
     """Sum of the lesser over sum of the greater number of occurrences."""
     times = lambda x, s: F.size(F.filter(x, lambda y: y == s))

@@ -77,3 +77,11 @@ def test_items_with_a_repeated_word_for_a_tail_are_found(spark, monkeypatch, bro
     docs = spark.createDataFrame(rows_of([" ".join(["before", *w[:45], *["same"] * 5]) for w in items]), SCHEMA)
     got = sorted((r["doc_id"], r["item_id"], r["similarity"], r["start"]) for r in decontamination.contaminated(docs, bench).collect())
     assert got == [(i, i, 41 / 51, 1) for i in range(40)]
+
+
+def test_short_lines_on_many_sites_are_boilerplate_in_the_pipeline(spark):
+    sites = [(i, f"own words of text {i}\nAll rights reserved.\n\nHome", "en", f"s{i}", 9) for i in range(5)]
+    few = [(9, "Seen here only", "en", "s0", 9), (10, "Seen here only", "en", "s1", 9)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.without_boilerplate(spark, spark.createDataFrame(sites + few, SCHEMA), FOLDER).collect()}
+    assert got[0] == sites[0][1] and got[9] == got[10] == "Seen here only"
+    assert all(got[i] == f"own words of text {i}\n" for i in range(1, 5))

@@ -12,19 +12,23 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     decontamination,
+    hard_negatives,
     kneser_ney,
     language_id,
     line_dedup,
+    quality_classifier,
     quality_rules,
     sentencepiece_dropout,
     sharding,
     simhash_dedup,
+    token_alignment,
     token_counts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 8
 TOKEN_LIMIT = 2048
+LEAST_QUALITY = 0.3
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,13 +100,35 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = token_alignment.link_statistics(documents(spark, folder).select("doc_id", "text"), *paths)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps", "n_shared")
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    table = spark.read.parquet(f"{folder}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    known = table.where(hard_negatives.complete(F.col("embedding"), F.col("label")))
+    vectors = known.select("vec_id", label.alias("label"), hard_negatives.whole_numbers(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(vectors, F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
+
+
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held = documents(spark, folder), fold(5) == 0
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~held)
+    scored = quality_classifier.score(docs, quality_classifier.fit(labels, docs))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 _QUERIES = (
     op1_decontaminate, op2_chat_format, op3_shards, op4_sentencepiece, op5_simhash, op6_quality,
-    op7_line_dedup, op8_language, op9_token_counts, op10_kneser_ney, pipeline,
+    op7_line_dedup, op8_language, op9_token_counts, op10_kneser_ney, op11_token_alignment, op12_hard_negatives,
+    op13_quality_classifier, pipeline,
 )
 
 
@@ -169,6 +195,22 @@ SELECT d.doc_id, t.text, coalesce(t.n_removed, 0)::BIGINT AS n_removed FROM docu
 """
 
 
+_OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, list_inner_product(a.e, x.e)::BIGINT AS score
+      FROM v a JOIN v x ON a.vec_id <> x.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
 def oracle() -> dict[str, str]:
     stop = ", ".join(f"'{w}'" for w in sorted({w for ws in quality_rules.STOP_WORDS.values() for w in ws}))
-    return {"op1_decontaminate": _OP1, "op6_quality": _OP6.replace("{stop}", stop), "op7_line_dedup": _OP7}
+    return {"op1_decontaminate": _OP1, "op6_quality": _OP6.replace("{stop}", stop), "op7_line_dedup": _OP7, "op12_hard_negatives": _OP12}

@@ -173,7 +173,8 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
                 if not level:
                     break
             score += np.array(value)[place]
-    return Trees(start, np.array(roots, dtype=np.int64), *(np.array(a) for a in (feature, limit, left, right, value)), depth)
+    whole = lambda a: np.array(a, dtype=np.int64)
+    return Trees(start, whole(roots), whole(feature), np.array(limit, dtype=np.float64), whole(left), whole(right), np.array(value, dtype=np.float64), depth)
 
 
 def _add_leaf(feature, limit, left, right, value, gradient: float, weight: float, rate: float) -> None:

@@ -38,14 +38,11 @@ def shift_return(
 ) -> DataFrame:
     """``x / previous x - 1``. With ``fill_first`` gaps are filled forward
     before the change is taken, so a gap reads as no change."""
-    rows = OrderedRows(df, keys, order)
-    source = value
-    if fill_first:
-        rows.nearest_known({"__filled": (F.col(value), F.col(value).isNotNull(), False)})
-        source = "__filled"
-    rows.previous({source: "__before"})
-    change = F.when(F.col("__before") != 0, F.col(source) / F.col("__before") - 1)
-    return rows.finish().withColumn(out, change).drop("__before", "__filled")
+    known = F.col(value).isNotNull() if fill_first else F.lit(True)
+    rows = OrderedRows(df, keys, order).nearest_known({"__before": (F.col(value), known, False)}, strict=True).finish()
+    now = F.coalesce(value, "__before") if fill_first else F.col(value)
+    change = F.when(F.col("__before") != 0, now / F.col("__before") - 1)
+    return rows.withColumn(out, change).drop("__before")
 
 
 def rolling_std(
@@ -128,18 +125,14 @@ def interpolate(
     Rows count as equally spaced. A gap at the end holds the last value, a gap
     at the start stays null.
     """
-    rows = OrderedRows(df, keys, order).row_number("__pos")
     known = F.col(value).isNotNull()
-    at = F.struct(F.col(value).alias("x"), F.col("__pos").alias("p"))
-    both = rows.nearest_known({"__lo": (at, known, False), "__hi": (at, known, True)}).finish()
-    lo, hi = F.col("__lo"), F.col("__hi")
-    share = (F.col("__pos") - lo["p"]) / (hi["p"] - lo["p"])
-    filled = (
-        F.when(known, F.col(value))
-        .when(lo.isNotNull() & hi.isNotNull(), lo["x"] + (hi["x"] - lo["x"]) * share)
-        .when(lo.isNotNull(), lo["x"])
-    )
-    return both.withColumn(out, filled).drop("__pos", "__lo", "__hi")
+    spec = {"__lo": (F.col(value), known, False), "__hi": (F.col(value), known, True)}
+    rows = OrderedRows(df, keys, order).row_number("__pos")
+    both = rows.nearest_known(spec, {"__lo": "__lo_at", "__hi": "__hi_at"}).finish()
+    lo, hi, lo_at, hi_at = (F.col(c) for c in ("__lo", "__hi", "__lo_at", "__hi_at"))
+    share = (F.col("__pos") - lo_at) / (hi_at - lo_at)
+    filled = F.when(known, F.col(value)).when(lo.isNotNull() & hi.isNotNull(), lo + (hi - lo) * share).when(lo.isNotNull(), lo)
+    return both.withColumn(out, filled).drop("__pos", "__lo", "__hi", "__lo_at", "__hi_at")
 
 
 def zscore_within(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -1,28 +1,30 @@
 """Order-dependent work without ever holding a whole group in one task.
 
 ``Window.partitionBy(series)`` sends a series to one task. A series may hold a
-third of all rows, so the functions here cut every series in chunks along its
-order key, let each (series, chunk) be worked on alone, and carry a small
-summary (at most one row per series and chunk) over the chunk borders.
+third of all rows, so scans here cut the rows of all series, in order, in even
+partitions, work on each alone and carry one row per partition over the
+borders (``OrderedRows``). Quantiles cut values in chunks at approximate
+quantiles and order only the chunk that holds the wanted rank.
 
-Chunk borders are approximate quantiles of the order key over *all* rows, so a
-chunk holds about ``rows / n_chunks`` rows however the rows are spread over
-series or time. Only the balance is approximate; every result is exact.
+Only the balance is approximate; every result is exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .session import materialise
 
 CHUNK = "__chunk"
-PART = "__part"
 BROADCAST_ROWS = 200_000
 
 
@@ -78,110 +80,242 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 class OrderedRows:
-    """Rows of every group in a total order, worked on chunk by chunk.
-
-    ``order[0]`` decides the chunks; the other order columns break ties and
-    should make the order unique.
-
-    Rows are shuffled once, by a hash of (group, chunk), and all steps of a
-    chain work on that partitioning. Summaries of the first step are
-    aggregated before the shuffle.
+    """Scans over the rows of every group in a total order.
+
+    Rows are dealt by range of the whole key - group, order, and a tie breaker
+    of the row's own - and sorted, so partitions are even however few order
+    values, nulls or groups there are. One pass over each partition finds what
+    can be found inside it. Only the group that a partition begins with can
+    hang on rows before it (the group it ends with on rows behind it), so one
+    summary row per partition carries the rest, and goes to all tasks: as many
+    rows as there are partitions.
+
+    Steps are named first and done together by :meth:`finish`. Equal rows may
+    change places; nulls in group columns are a group, nulls in order columns
+    come first.
     """
 
-    def __init__(self, df: DataFrame, group: Sequence[str], order: Sequence[str], n_chunks: int | None = None):
-        self.group = list(group)
-        self.order = list(order)
-        self.keys = [PART, *self.group, CHUNK]
-        self.source = with_chunks(df, order[0], n_chunks).withColumn(PART, F.xxhash64(*self.group, CHUNK))
-        self.df = self.source.repartition(PART)
-        self.inside = Window.partitionBy(*self.keys).orderBy(*self.order)
-        # at most n_chunks rows per group
-        self.across = Window.partitionBy(*self.group).orderBy(CHUNK)
-
-    def _place(self) -> Column:
-        return F.struct(*self.order)
-
-    def _carried(self, summary: DataFrame, df: DataFrame) -> DataFrame:
-        """Bring a row per (group, chunk) to the rows. The join is on the hash
-        alone, so that it needs no other shuffle; the keys are checked too."""
-        renamed = summary.withColumnsRenamed({k: f"__r_{k}" for k in self.keys})
-        mine = F.struct(*[F.col(k).alias(k) for k in self.keys[1:]])
-        theirs = F.struct(*[F.col(f"__r_{k}").alias(k) for k in self.keys[1:]])
-        # both orders together mean equal, nulls too; written as an equality
-        # it would become a join key and move the rows again
-        on = (F.col(PART) == F.col(f"__r_{PART}")) & (mine >= theirs) & (mine <= theirs)
-        return df.join(renamed, on, "left").drop(*[f"__r_{k}" for k in self.keys])
-
-    def _advance(self, df: DataFrame) -> "OrderedRows":
-        self.df = self.source = df
-        return self
+    def __init__(self, df: DataFrame, group: Sequence[str], order: Sequence[str], n_parts: int | None = None):
+        self.df, self.group, self.order = df, list(group), list(order)
+        self.n_parts = n_parts or default_chunks(df)
+        self.number: str | None = None
+        self.fills: list[Fill] = []
+        self.taken = {c.lower() for c in df.columns}
 
-    def finish(self) -> DataFrame:
-        return self.df.drop(CHUNK, PART)
+    def _name(self, name: str) -> str:
+        while name.lower() in self.taken:
+            name = f"_{name}"
+        self.taken.add(name.lower())
+        return name
 
     def row_number(self, out: str = "row_no") -> "OrderedRows":
         """1-based position in the group."""
-        counts = self.source.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
-        before = self.across.rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(*self.keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-        rows = self._carried(offsets, self.df)
-        return self._advance(rows.withColumn(out, F.row_number().over(self.inside) + F.col("__before")).drop("__before"))
-
-    def running_sum(self, value: Column, out: str) -> "OrderedRows":
-        """Sum of ``value`` from the group's first row to this one."""
-        sums = self.source.groupBy(*self.keys).agg(F.sum(value).alias("__s"))
-        before = self.across.rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sums.select(*self.keys, F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__before"))
-        run = F.sum(value).over(self.inside.rowsBetween(Window.unboundedPreceding, 0))
-        rows = self._carried(offsets, self.df)
-        return self._advance(rows.withColumn(out, F.coalesce(run, F.lit(0)) + F.col("__before")).drop("__before"))
+        self.number = out
+        return self
 
     def previous(self, columns: dict[str, str], forward: bool = False) -> "OrderedRows":
         """Values of the row just before (after, if ``forward``) this one.
 
         ``columns`` maps source column to output column.
         """
-        row = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
-        edge = F.min_by if forward else F.max_by
-        step = F.lead if forward else F.lag
-        ends = self.source.groupBy(*self.keys).agg(edge(row, self._place()).alias("__row"))
-        ends = ends.select(*self.keys, step("__row", 1).over(self.across).alias("__edge"))
-        near = F.coalesce(step(row, 1).over(self.inside), F.col("__edge"))
-        rows = self._carried(ends, self.df).withColumn("__near", near)
-        for i, out in enumerate(columns.values()):
-            rows = rows.withColumn(out, F.col(f"__near._{i}"))
-        return self._advance(rows.drop("__near", "__edge"))
-
-    def nearest_known(self, columns: dict[str, tuple[Column, Column, bool]]) -> "OrderedRows":
-        """Nearest row, this one included, at which a condition holds.
+        row = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+        self.fills.append(Fill(row, {out: f"v{i}" for i, out in enumerate(columns.values())}, forward, True))
+        return self
+
+    def nearest_known(
+        self, columns: dict[str, tuple[Column, Column, bool]], places: dict[str, str] | None = None, strict: bool = False
+    ) -> "OrderedRows":
+        """Nearest row, this one included unless ``strict``, at which a condition holds.
 
         ``columns`` maps an output to (value, condition, forward): looking
-        back for ``forward`` False, ahead for True. All outputs share one
-        summary, so the rows are gone over once.
+        back for ``forward`` False, ahead for True. ``places`` maps outputs
+        to columns for the position of that row in its group.
         """
+        for out, (value, condition, forward) in columns.items():
+            row = F.when(condition, F.struct(value.alias("v")))
+            self.fills.append(Fill(row, {out: "v"}, forward, strict, (places or {}).get(out)))
+        return self
+
+    def parts(self) -> tuple[DataFrame, str]:
+        """The rows dealt by range and sorted, and the column that numbers
+        them: the partition above bit 33, the place in it below."""
+        at, salt, first = self._name("__at"), self._name("__salt"), self._name("__hash")
+        content = [c for c, kind in self.df.dtypes if "map<" not in kind and "variant" not in kind]
+        keys = [*self.group, *self.order, first, salt]
+        marked = self.df.withColumns({first: F.xxhash64(*content), salt: F.monotonically_increasing_id()})
+        rows = marked.repartitionByRange(self.n_parts, *keys).sortWithinPartitions(*keys).drop(first, salt)
+        return rows.withColumn(at, F.monotonically_increasing_id()), at
+
+    def finish(self) -> DataFrame:
+        """The rows with the outputs of all steps."""
+        rows, at = self.parts()
+        columns = list(self.df.columns)
+        counted = self.number is not None or any(f.place for f in self.fills)
+        pos, head = self._name("__pos"), {fwd: self._name(f"__head_{int(fwd)}") for fwd in (False, True)}
+        local = [self._name(f"__found_{k}") for k in range(len(self.fills))]
+        if not self.group and not self.fills:
+            # all rows are one group: the place in the partition is enough
+            rows = rows.withColumns({pos: F.col(at).bitwiseAND(_PLACE) + 1, head[False]: F.lit(True)})
+            ways = [False]
+        else:
+            ways = [False, True] if any(f.forward for f in self.fills) else [False]
+            for way in ways:
+                mine = [k for k, f in enumerate(self.fills) if f.forward == way]
+                own = {local[k]: self.fills[k].row for k in mine}
+                rows = rows.withColumns(own) if own else rows
+                if way:
+                    rows = rows.sortWithinPartitions(F.desc(at))
+                run = _Pass(self.group, [(local[k], self.fills[k].strict, bool(self.fills[k].place)) for k in mine], pos, head[way], way)
+                rows = rows.mapInArrow(run, run.schema(rows.schema))
+        part = self._name("__part")
+        table = materialise(rows).withColumn(part, F.shiftright(at, 33))
+        carried = self._carries(table, part, at, pos, head, local, ways)
+        done = table.join(F.broadcast(carried), part)
+        offset = F.when(F.col(head[False]), F.col("__c_n")).otherwise(F.lit(0).cast("long"))
+        outputs = {}
+        if self.number is not None:
+            outputs[self.number] = F.col(pos) + offset
+        for k, f in enumerate(self.fills):
+            here, there = F.col(local[k]), F.when(F.col(head[f.forward]), F.col(f"__c_{k}"))
+            for out, field in f.outputs.items():
+                outputs[out] = F.when(here.isNotNull(), here["row"][field]).otherwise(there["row"][field])
+            if f.place:
+                outputs[f.place] = F.when(here.isNotNull(), here["place"] + offset).otherwise(there["place"])
+        kept = [F.col(c) for c in columns if c not in outputs]
+        return done.select(*kept, *[c.alias(n) for n, c in outputs.items()])
+
+    def _carries(self, table, part, at, pos, head, local, ways) -> DataFrame:
+        """For each partition what the group it begins with has before it, and
+        the group it ends with behind it. Windows here run over one row per
+        partition."""
+        key = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(self.group)]) if self.group else F.struct(F.lit(0).alias("g0"))
+        seen = []
+        for k, f in enumerate(self.fills):
+            # what the outermost row has, itself included
+            own = F.when(f.row.isNotNull(), F.struct(f.row.alias("row"), (F.col(pos) if f.place else F.lit(None).cast("long")).alias("place")))
+            value = F.coalesce(own, F.col(local[k])) if f.strict else F.col(local[k])
+            seen.append((F.min_by if f.forward else F.max_by)(value, at).alias(f"__e_{k}"))
+        ends = table.groupBy(part).agg(
+            F.min_by(key, at).alias("__first"), F.max_by(key, at).alias("__last"), F.max_by(F.col(pos), at).alias("__n"), *seen
+        )
+        for way in ways:
+            enters, leaves = ("__last", "__first") if way else ("__first", "__last")
+            along = Window.orderBy(F.desc(part) if way else F.asc(part))
+            goes_on = F.coalesce(F.col(enters).eqNullSafe(F.lag(leaves).over(along)), F.lit(False))
+            ends = ends.withColumn("__on", goes_on)
+            # partitions that end with one and the same group
+            new = F.when(F.col("__on") & F.col("__first").eqNullSafe(F.col("__last")), 0).otherwise(1)
+            ends = ends.withColumn("__run", F.sum(new).over(along))
+            upto = Window.partitionBy("__run").orderBy(F.desc(part) if way else F.asc(part)).rowsBetween(Window.unboundedPreceding, 0)
+            before = lambda c: F.when(F.col("__on"), F.lag(c).over(along))
+            if not way:
+                ends = ends.withColumn("__s_n", F.sum("__n").over(upto)).withColumn("__c_n", F.coalesce(before("__s_n"), F.lit(0)))
+            for k, f in enumerate(self.fills):
+                if f.forward != way:
+                    continue
+                found = F.col(f"__e_{k}")
+                if f.place:
+                    # partitions count from their own first row; what a partition
+                    # shows to the one before it lies in the group it begins with
+                    whole = F.col("__first").eqNullSafe(F.col("__last"))
+                    moved = F.when(F.lit(way) | whole, F.col("__c_n")).otherwise(F.lit(0))
+                    found = F.when(found.isNotNull(), F.struct(found["row"].alias("row"), (found["place"] + moved).alias("place")))
+                ends = ends.withColumn(f"__s_{k}", F.last(found, ignorenulls=True).over(upto))
+                ends = ends.withColumn(f"__c_{k}", before(f"__s_{k}"))
+        # one row per partition; written, as the windows above need one task
+        return materialise(ends.select(part, "__c_n", *[f"__c_{k}" for k in range(len(self.fills))]))
+
+
+@dataclass
+class Fill:
+    """A row (struct, null where there is nothing) that the rows behind it take
+    until the next one, its fields by output, and how it is looked for."""
+
+    row: Column
+    outputs: dict[str, str]
+    forward: bool
+    strict: bool
+    place: str | None = None
+
+
+#: Bits of a row's place in its partition.
+_PLACE = 2**33 - 1
+
+
+class _Pass:
+    """One pass over a sorted partition, batch by batch.
+
+    Adds the position in the group, as far as the partition knows it, whether
+    the row's group is the one the partition begins with, and replaces each
+    fill's struct by the last one before (or at) the row. What is kept from
+    batch to batch is one row.
+    """
 
-        def known(out: str) -> Column:
-            value, cond, _ = columns[out]
-            return F.when(cond, F.struct(value.alias("v")))
-
-        def edge(out: str, forward: bool) -> Column:
-            pick = F.min_by if forward else F.max_by
-            return pick(known(out), F.when(columns[out][1], self._place())).alias(f"__e_{out}")
-
-        def pick(value: Column, spec: WindowSpec, forward: bool, here: int) -> Column:
-            if forward:
-                return F.first(value, ignorenulls=True).over(spec.rowsBetween(here, Window.unboundedFollowing))
-            return F.last(value, ignorenulls=True).over(spec.rowsBetween(Window.unboundedPreceding, -here))
-
-        ends = self.source.groupBy(*self.keys).agg(*[edge(o, fwd) for o, (_, _, fwd) in columns.items()])
-        carried = [pick(F.col(f"__e_{o}"), self.across, fwd, 1).alias(f"__c_{o}") for o, (_, _, fwd) in columns.items()]
-        rows = self._carried(ends.select(*self.keys, *carried), self.df)
-        for out in columns:
-            rows = rows.withColumn(f"__s_{out}", known(out))
-        for out, (_, _, forward) in columns.items():
-            here = pick(F.col(f"__s_{out}"), self.inside, forward, 0)
-            rows = rows.withColumn(out, F.coalesce(here, F.col(f"__c_{out}"))["v"])
-        return self._advance(rows.drop(*[f"__c_{o}" for o in columns], *[f"__s_{o}" for o in columns]))
+    def __init__(self, group: list[str], fills: list[tuple[str, bool, bool]], pos: str, head: str, backward: bool):
+        self.group, self.fills, self.pos, self.head, self.backward = group, fills, pos, head, backward
+
+    def schema(self, before: T.StructType) -> T.StructType:
+        fields = []
+        names = {name for name, _, _ in self.fills}
+        for f in before.fields:
+            wide = T.StructType([T.StructField("row", f.dataType), T.StructField("place", T.LongType())])
+            fields.append(T.StructField(f.name, wide if f.name in names else f.dataType))
+        if not self.backward:
+            fields.append(T.StructField(self.pos, T.LongType()))
+        return T.StructType([*fields, T.StructField(self.head, T.BooleanType())])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[pa.Array] | None = None
+        kept: dict[str, pa.Array] = {}
+        count, in_head = 0, True
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = [batch.column(batch.schema.get_field_index(g)) for g in self.group]
+            new = np.zeros(n, dtype=bool)
+            for k, column in enumerate(keys):
+                new[1:] |= differs(column.slice(0, n - 1), column.slice(1))
+                if last is not None:
+                    new[:1] |= differs(last[k], column.slice(0, 1))
+            last = [column.slice(n - 1) for column in keys]
+            place = np.arange(n)
+            # where the row's group begins in this batch; -1 if before it
+            begin = np.maximum.accumulate(np.where(new, place, -1))
+            heads = (begin < 0) & in_head
+            in_head = bool(heads[-1])
+            columns = {f: batch.column(i) for i, f in enumerate(batch.schema.names)}
+            if not self.backward:
+                columns[self.pos] = pa.array(np.where(begin < 0, count + place + 1, place - begin + 1))
+                count = int(n + count if begin[-1] < 0 else n - begin[-1])
+            for name, strict, placed in self.fills:
+                columns[name] = self._filled(columns, name, strict, placed, begin, kept)
+            columns[self.head] = pa.array(heads)
+            yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
+
+    def _filled(self, columns, name: str, strict: bool, placed: bool, begin: np.ndarray, kept: dict[str, pa.Array]) -> pa.Array:
+        row, n = columns[name], len(begin)
+        number = columns[self.pos] if placed else pa.nulls(n, pa.int64())
+        valid = row.is_valid().to_numpy(zero_copy_only=False)
+        own = pa.StructArray.from_arrays([row, number], names=["row", "place"], mask=pa.array(~valid))
+        before = kept.get(name, pa.nulls(1, own.type))
+        known = np.maximum.accumulate(np.where(valid, np.arange(n), -1))
+        # 0 is what an earlier batch has left, which is for its last group alone
+        at = lambda k: np.where(k >= np.maximum(begin, 0), k + 1, np.where(begin < 0, 0, -1))
+        seen = at(np.concatenate([[-1], known[:-1]])) if strict else at(known)
+        both = pa.concat_arrays([before, own])
+        end = at(known)[-1:]
+        kept[name] = both.take(pa.array(end, mask=end < 0))
+        return both.take(pa.array(seen, mask=seen < 0))
+
+
+def differs(one: pa.Array, two: pa.Array) -> np.ndarray:
+    """Where two columns are not the same value; nulls and NaNs equal themselves."""
+    same = pc.fill_null(pc.equal(one, two), False)
+    same = pc.or_(same, pc.and_(one.is_null(), two.is_null()))
+    if pa.types.is_floating(one.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(one), pc.is_nan(two)), False))
+    return ~same.to_numpy(zero_copy_only=False)
 
 
 def index_rows(df: DataFrame, n: Column, out: str, per_row: int = 10_000) -> DataFrame:

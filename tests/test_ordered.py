@@ -53,12 +53,6 @@ def test_row_number(df, pdf, chunks):
     same(by_id(got, "r"), grouped(pdf).cumcount().sort_index() + 1)
 
 
-@pytest.mark.parametrize("chunks", [2, 9])
-def test_running_sum(df, pdf, chunks):
-    got = ordered.OrderedRows(df, ["series"], ["t", "id"], chunks).running_sum(F.col("id"), "s").finish()
-    same(by_id(got, "s"), grouped(pdf)["id"].cumsum().sort_index())
-
-
 @pytest.mark.parametrize("chunks", [2, 40])
 @pytest.mark.parametrize("forward", [False, True])
 def test_neighbour_row(df, pdf, chunks, forward):
@@ -193,3 +187,92 @@ def test_outer_merge_is_the_full_join(spark):
     got = joins.join_outer_common(left, right).select("k", "a", "b").collect()
     want = left.join(right, "k", "full").select("k", "a", "b").collect()
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
+# --- scans over sorted partitions ----------------------------------------
+
+
+def part_sizes(df, group, order, n):
+    rows, at = ordered.OrderedRows(df, group, order, n).parts()
+    sizes = rows.groupBy(F.shiftright(at, 33)).count().collect()
+    assert sum(r["count"] for r in sizes) == df.count()
+    return [r["count"] for r in sizes]
+
+
+@pytest.mark.parametrize(
+    "key",
+    [
+        "id % 3",
+        "if(id % 2 = 0, id, null)",
+        "concat('https://example.org/one/prefix/', id)",
+        "1",
+    ],
+    ids=["three values", "half null", "one prefix", "one value"],
+)
+def test_partitions_are_even(spark, key):
+    """Ties, nulls and equal string starts do not make a large partition."""
+    df = spark.range(100_000, numPartitions=4).select("id", F.expr(key).alias("k"))
+    for group, order in (([], ["k"]), (["k"], ["k"])):
+        sizes = part_sizes(df, group, order, 16)
+        assert len(sizes) == 16 and max(sizes) < 2 * 100_000 / 16
+
+
+def test_small_groups_make_no_summaries(spark, monkeypatch):
+    """1,500 groups over 8 partitions: 8 rows are carried."""
+    written = []
+    plain = ordered.materialise
+    monkeypatch.setattr(ordered, "materialise", lambda d: written.append(plain(d)) or written[-1])
+    df = spark.range(6000).select("id", (F.col("id") % 1500).alias("k"))
+    got = ordered.OrderedRows(df, ["k"], ["id"], 8).row_number("n").previous({"id": "before"}).finish()
+    assert got.where("n <> floor(id / 1500) + 1 OR coalesce(before, id - 1500) <> id - 1500").count() == 0
+    assert [t.count() for t in written] == [6000, 8]
+
+
+def plain_scan(rows):
+    """Everything a scan offers, by going through each group; rows are (group, time, id, value)."""
+    nan = lambda x: "nan" if x is not None and x != x else x
+    out = {}
+    groups = {}
+    for r in rows:
+        groups.setdefault(nan(r[0]), []).append(r)
+    for members in groups.values():
+        members.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for i, r in enumerate(members):
+            back = [(m[3], j + 1) for j, m in enumerate(members[: i + 1]) if m[3] is not None]
+            strict = [x for x in back if x[1] <= i]
+            ahead = [(m[3], j + 1) for j, m in enumerate(members) if j >= i and m[3] is not None]
+            none = (None, None)
+            before = members[i - 1][3] if i else None
+            after = members[i + 1][3] if i + 1 < len(members) else None
+            out[r[2]] = (i + 1, before, after, *(back[-1] if back else none), strict[-1][0] if strict else None, *(ahead[0] if ahead else none))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["double", "string"])
+@pytest.mark.parametrize("parts", [1, 3, 17])
+def test_all_scans_at_once(spark, kind, parts):
+    """A hot group of few known values, null and NaN groups, null times, ties, single rows."""
+    rng = np.random.default_rng(parts)
+    names = {"double": [1.5, -0.5, None, float("nan")], "string": ["hot", "b", None, ""]}[kind]
+    rows = []
+    for i in range(400):
+        group = names[0] if rng.random() < 0.6 else names[rng.integers(1, 4)]
+        time = None if rng.random() < 0.1 else int(rng.integers(0, 40))
+        rows.append((group, time, i, None if rng.random() < (0.99 if group == names[0] else 0.5) else f"v{i}"))
+    if kind == "double":
+        rows += [(float(100 + i), 0, 400 + i, f"v{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, f"g {kind}, t long, id long, v string").repartition(4)
+    value, known = F.col("v"), F.col("v").isNotNull()
+    scan = ordered.OrderedRows(df, ["g"], ["t", "id"], parts).row_number("n").previous({"v": "before"}).previous({"v": "after"}, True)
+    scan = scan.nearest_known({"back": (value, known, False), "ahead": (value, known, True)}, {"back": "back_at", "ahead": "ahead_at"})
+    got = scan.nearest_known({"strict": (value, known, False)}, strict=True).finish().collect()
+    wanted = plain_scan(rows)
+    names = ("n", "before", "after", "back", "back_at", "strict", "ahead", "ahead_at")
+    assert {r["id"]: tuple(r[c] for c in names) for r in got} == wanted
+
+
+def test_scan_of_nothing_and_of_clashing_names(spark):
+    df = spark.createDataFrame([(1, 2, "a"), (1, 3, "b")], "`__at` long, `__pos` long, `__part` string")
+    got = ordered.OrderedRows(df, ["__at"], ["__pos"], 2).row_number("n").previous({"__part": "p"}).finish()
+    assert sorted(map(tuple, got.select("__at", "__pos", "__part", "n", "p").collect())) == [(1, 2, "a", 1, None), (1, 3, "b", 2, "a")]
+    assert ordered.OrderedRows(df.limit(0), ["__at"], ["__pos"], 2).row_number("n").previous({"__part": "p"}).finish().count() == 0

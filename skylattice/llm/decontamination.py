@@ -112,7 +112,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
 
     ``options`` are those of :func:`contaminated`.
     """
-    mark = spare(df, "mark")
-    found = contaminated(df, benchmark, key, text, **options).select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(mark) == F.col("__hash"))
+    mark, its_key, its_hash = (spare(df, n) for n in ("mark", "its_key", "its_hash"))
+    found = contaminated(df, benchmark, key, text, **options).select(F.col(key).alias(its_key), F.col("text_hash").alias(its_hash)).distinct()
+    same = F.col(key).eqNullSafe(F.col(its_key)) & (F.col(mark) == F.col(its_hash))
     return df.withColumn(mark, F.xxhash64(F.col(text))).join(found, same, "left_anti").drop(mark)

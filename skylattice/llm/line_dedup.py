@@ -44,17 +44,18 @@ def spread_lines(lines: DataFrame, sites: int) -> DataFrame:
 
 
 def remove_boilerplate(
-    df: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", sites: int = 5, min_words: int = 4, removed: str = "n_removed"
+    df: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", sites: int = 5, min_words: int = 1, removed: str = "n_removed"
 ) -> DataFrame:
     """``df`` with boilerplate lines taken out of ``text`` and their number in ``removed``.
 
-    Lines of fewer than ``min_words`` words are never removed. A null text
+    Lines of fewer than ``min_words`` words are never removed; by default every
+    line that has a word is judged. A null text
     stays null with 0 lines removed; a text that loses all lines becomes
     empty. Rows equal in key, site and text are treated alike, and a null key
     or site is a value like any other, except that a null site does not count
     as a site. A column named ``removed`` is replaced, all others stay.
     """
-    row, gone = spare(df, "row"), spare(df, "gone")
+    row, gone, its_key, its_row = (spare(df, n) for n in ("row", "gone", "its_key", "its_row"))
     marked = df.withColumn(row, F.xxhash64(F.col(site), F.col(text)))
     parts = F.split(F.col(text), "\n")
     lines = marked.select(
@@ -70,11 +71,11 @@ def remove_boilerplate(
     # struct order treats nulls as values: neither before nor after means equal
     again = (F.col("place") < F.col("first")) | (F.col("place") > F.col("first"))
     extra = lines.join(spread, ["h", "g"]).where(again)
-    per_row = extra.groupBy(F.col("place.key").alias("__key"), F.col("place.row").alias("__row")).agg(F.collect_set("place.at").alias(gone))
-    joined = marked.join(per_row, F.col(key).eqNullSafe(F.col("__key")) & (F.col(row) == F.col("__row")), "left")
+    per_row = extra.groupBy(F.col("place.key").alias(its_key), F.col("place.row").alias(its_row)).agg(F.collect_set("place.at").alias(gone))
+    joined = marked.join(per_row, F.col(key).eqNullSafe(F.col(its_key)) & (F.col(row) == F.col(its_row)), "left")
     all_places = F.sequence(F.lit(0), F.size(parts) - 1)
     rest = F.transform(F.array_except(all_places, F.col(gone)), lambda i: F.get(parts, i))
     cleaned = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.concat_ws("\n", rest))
     count = F.when(F.col(gone).isNull(), F.lit(0)).otherwise(F.size(gone)).cast("long")
     out = joined.withColumns({removed: count, text: cleaned})
-    return out.drop(row, gone, "__key", "__row")
+    return out.drop(row, gone, its_key, its_row)

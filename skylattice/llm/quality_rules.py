@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, words
+from .common import WORD, spare, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -90,9 +90,10 @@ def measures(df: DataFrame, text: str) -> DataFrame:
     """``df`` with the counts and ratios the rules use."""
     content = F.coalesce(F.col(text), F.lit(""))
     blanks = " \t\n\x0b\x0c\r"
-    df = df.withColumn("__words", words(F.col(text)))
-    df = df.withColumn("__lines", F.filter(F.split(content, "\n"), lambda line: line.rlike(WORD)))
-    found, lines = F.col("__words"), F.col("__lines")
+    own_words, own_lines = spare(df, "own_words"), spare(df, "own_lines")
+    df = df.withColumn(own_words, words(F.col(text)))
+    df = df.withColumn(own_lines, F.filter(F.split(content, "\n"), lambda line: line.rlike(WORD)))
+    found, lines = F.col(own_words), F.col(own_lines)
     stop = sorted({w for ws in STOP_WORDS.values() for w in ws})
     counts = df.withColumns(
         {
@@ -106,7 +107,7 @@ def measures(df: DataFrame, text: str) -> DataFrame:
             "n_bullets": F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*•]"))).cast("long"),
             "n_ellipses": F.size(F.filter(lines, lambda x: x.rlike(r"(?:\.\.\.|…)\s*$"))).cast("long"),
         }
-    ).drop("__words", "__lines")
+    ).drop(own_words, own_lines)
     per = lambda n, of: F.coalesce(F.try_divide(F.col(n), F.col(of)), F.lit(0.0))
     return counts.withColumns(
         {

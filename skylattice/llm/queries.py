@@ -185,7 +185,7 @@ _OP7 = rf"""
 WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
              unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS same,
-        len(regexp_extract_all(line, {_WORD})) >= 4 AS asked FROM l),
+        len(regexp_extract_all(line, {_WORD})) >= 1 AS asked FROM l),
 b AS (SELECT same FROM k WHERE asked GROUP BY same HAVING count(DISTINCT source) >= 5),
 g AS (SELECT k.*, asked AND b.same IS NOT NULL AND row_number() OVER (PARTITION BY asked, k.same ORDER BY doc_id, pos) > 1 AS gone
       FROM k LEFT JOIN b ON k.same = b.same),

@@ -14,7 +14,7 @@ one task, which reports a spanning forest of the links, not the pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -208,17 +208,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", bloc
     return prints.join(named, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", grouped_by: Callable[[DataFrame, str, str], DataFrame] = near_duplicates) -> DataFrame:
-    """``df`` with one row of each component of ``grouped_by``: the one of the least key, of rows
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each component: the one of the least key, of rows
     with that key the one whose content has the least hash. Columns and rows
     kept are unchanged; of fully equal rows one stays. In a component without
     any key the least content hash stays."""
-    mark = spare(df, "mark")
+    mark, k, h = (spare(df, n) for n in ("mark", "k", "h"))
     content = F.xxhash64(*[F.col(c) for c in df.columns])
     marked = df.withColumn(mark, content)
     rows = marked.select(F.struct(F.col(key).alias("k"), F.col(mark).alias("h")).alias("id"), F.col(text).alias("text"))
-    grouped = grouped_by(rows, "id", "text")
-    winners = grouped.select(F.col("component_id.k").alias("__k"), F.col("component_id.h").alias("__h")).distinct()
-    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col(mark) == F.col("__h"))
+    grouped = near_duplicates(rows, "id", "text")
+    winners = grouped.select(F.col("component_id.k").alias(k), F.col("component_id.h").alias(h)).distinct()
+    same = F.col(key).eqNullSafe(F.col(k)) & (F.col(mark) == F.col(h))
     kept = marked.join(winners, same, "left_semi")
     return kept.dropDuplicates([key, mark]).drop(mark)

@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, key string, row string, gone string, mark string, fp string, k string, h string,"
-    " c string, at string, part string, place string, number string, shard string, slot string, ids string, score string, lang_pred string, kept string, n_tokens string"
+    " c string, at string, part string, place string, number string, shard string, slot string, ids string, score string, lang_pred string, kept string, n_tokens string,"
+    " __key string, __hash string, __row string, __k string, __h string, __words string, __lines string, its_key string, its_row string, its_hash string,"
+    " own_words string, own_lines string, __lang_pred string, __lang_score string, __n_removed string"
 )
-EXTRA = 19
+EXTRA = 34
 LINE = "this very line stands on many sites"
 
 

@@ -1,12 +1,11 @@
 """Cases that operators once cut short."""
 
-import itertools
 import random
 
 import pytest
 
 import corpus_pipeline
-from skylattice.llm import decontamination, near_copies, queries
+from skylattice.llm import decontamination, queries
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 FOLDER = "/root/testdata/sf0.001"
@@ -16,46 +15,6 @@ def rows_of(texts):
     return [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
 
 
-def shingles(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def expected_groups(texts):
-    """Text number to least number of its component, all pairs looked at."""
-    group = list(range(len(texts)))
-    sets = [shingles(t) for t in texts]
-    for a, b in itertools.combinations(range(len(texts)), 2):
-        if (len(sets[a] & sets[b]) / len(sets[a] | sets[b]) if sets[a] or sets[b] else 1) >= 0.8:
-            low, high = sorted((group[a], group[b]))
-            group = [low if g == high else g for g in group]
-    return group
-
-
-def test_near_copies_of_similarity_eight_tenths_are_found(spark, monkeypatch):
-    """Texts with words replaced, a group of many near copies and a common passage."""
-    rng = random.Random(5)
-    word = lambda: f"w{rng.randrange(4000)}"
-    texts, passage = ["", "one", "one", " "], [word() for _ in range(30)]
-    for _ in range(40):
-        base = [word() for _ in range(rng.choice((9, 60, 300)))]
-        texts.append(" ".join(base))
-        for _ in range(2):
-            texts.append(" ".join([word() if rng.random() < 0.025 else w for w in base]))
-    hub = [word() for _ in range(200)]
-    texts += [" ".join([*hub[:k], "x", *hub[k:]]) for k in range(0, 200, 3)]
-    texts += [" ".join([*passage, *[word() for _ in range(rng.randint(0, 20))]]) for _ in range(40)]
-    expected = expected_groups(texts)
-    assert 20 < len(set(expected)) < len(texts) - 60
-    frame = spark.createDataFrame(rows_of(texts), SCHEMA)
-    for often in (near_copies.OFTEN, 1):
-        monkeypatch.setattr(near_copies, "OFTEN", often)
-        got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(frame).collect()}
-        assert [got[i] for i in range(len(texts))] == expected
-    kept = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, frame, FOLDER).collect()}
-    assert kept == set(expected)
-
-
 def test_a_word_has_several_segmentations(spark, tmp_path):
     """Through op4's query and the last stage, equal texts of many documents."""
     frame = spark.createDataFrame(rows_of(["international understanding of meteorological observations"] * 60), SCHEMA)

@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import decontamination, language_id, line_dedup, near_copies, sentencepiece_dropout, simhash_dedup
-from skylattice.llm.common import cut
+from skylattice.llm import decontamination, language_id, line_dedup, sentencepiece_dropout, simhash_dedup
+from skylattice.llm.common import cut, spare
 
 #: A document whose language is less certain than this is rejected.
 LEAST_SCORE = 0.4
@@ -23,23 +23,23 @@ LEAST_SCORE = 0.4
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, by a network that learns from their labels."""
     network = language_id.fit(docs)
-    # extra columns get names that documents cannot have by chance
-    rated = language_id.predict(docs, network, out="__lang_pred", score="__lang_score")
-    sure = (F.col("__lang_pred") != language_id.UNKNOWN) & (F.col("__lang_score") >= LEAST_SCORE)
+    lang, score = spare(docs, "lang_pred"), spare(docs, "score")
+    rated = language_id.predict(docs, network, out=lang, score=score)
+    sure = (F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_SCORE)
     return rated.where(sure).select(docs.columns)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines of any length that stand on many sites."""
-    cleaned = line_dedup.remove_boilerplate(docs, min_words=1, removed="__n_removed")
+    cleaned = line_dedup.remove_boilerplate(docs, removed=spare(docs, "n_removed"))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned.select(docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by exact similarity; op5's fingerprints and radius are its own."""
-    return simhash_dedup.keep_one(docs, grouped_by=near_copies.near_copies)
+    """One document of each group of near copies, by three-word shingles and at most three differing bits."""
+    return simhash_dedup.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

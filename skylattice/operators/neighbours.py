@@ -1,59 +1,36 @@
-"""Exact nearest neighbours, and the graph built from them.
+"""Nearest neighbours, and what is made of them.
 
 Rows have an integer id and a feature array. A reference table of proven
-small size is sent to every task. A larger one is cut in cells of bounded
-size; a point first searches its own cell, and then only those cells that
-can still hold something nearer. Both ways give the same rows.
+small size is sent to every task. A larger one is searched through a tree of
+pivots (``pivot_tree``), with the same result, or approximately through
+hashed projections (``projections``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..ordered import OrderedRows, attach
+from ..ordered import OrderedRows, attach, index_rows
 from ..session import materialise
+from . import pivot_tree, projections
+from .pivot_tree import PAIR_SCHEMA, matrix, nearest_pairs
 from .sampling import hash_unit
 
+#: Reference rows that are sent to every task, and bytes of their features.
 MAX_BROADCAST_REFS = 20_000
+MAX_BROADCAST_BYTES = 16_000_000
 CELL_ROWS = 4_000
-MAX_CELLS = 100_000
-BOX_DIMS = 4
 
 
-def _nearest(points: np.ndarray, refs: np.ndarray, k: int, block: int = 2_000_000):
-    """Positions and distances of the k nearest refs of each point; equal
-    distances keep the order of ``refs``."""
-    step = max(1, block // max(1, refs.size))
-    take = min(k, len(refs))
-    for lo in range(0, len(points), step):
-        diff = points[lo : lo + step, None, :] - refs[None, :, :]
-        dist = np.sqrt((diff * diff).sum(axis=2))
-        near = np.argsort(dist, axis=1, kind="stable")[:, :take]
-        yield near, np.take_along_axis(dist, near, axis=1)
-
-
-def _pairs(ids: np.ndarray, points: np.ndarray, ref_ids: np.ndarray, refs: np.ndarray, k: int) -> pd.DataFrame:
-    if not len(ids) or not len(ref_ids):
-        return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-    parts = list(_nearest(points, refs, k))
-    near, dist = np.vstack([p[0] for p in parts]), np.vstack([p[1] for p in parts])
-    return pd.DataFrame(
-        {"id": np.repeat(ids, near.shape[1]), "neighbour": ref_ids[near.ravel()], "distance": dist.ravel()}
-    )
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype="float64") for v in column]) if len(column) else np.empty((0, 1))
-
-
-PAIR_SCHEMA = "id long, neighbour long, distance double"
+def _rooted(df: DataFrame, within: str | None) -> DataFrame:
+    node = F.lit("all") if within is None else F.concat(F.lit("="), F.col(within).cast("string"))
+    kept = df if within is None else df.where(F.col(within).isNotNull())
+    return kept.select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("features"), node.alias("node"))
 
 
 def nearest(
@@ -63,138 +40,60 @@ def nearest(
     exclude_self: bool = False,
     max_broadcast: int = MAX_BROADCAST_REFS,
     cell_rows: int = CELL_ROWS,
+    within: str | None = None,
+    method: str = "exact",
+    **options,
 ) -> DataFrame:
     """The k nearest ``refs`` of each point: (id, neighbour, distance, rank).
 
-    Both tables have columns ``id`` and ``features``. Equal distances go to
-    the smaller id. ``exclude_self`` leaves out the pair of equal ids.
+    Both tables have columns ``id`` and ``features``, all of one length; ids
+    are unique. Equal distances go to the smaller id. ``exclude_self`` leaves
+    out the pair of equal ids. With ``within``, a column of both tables, only
+    rows of equal values meet; a null meets nothing. ``method`` "hashed" looks
+    only where projections fall together (``options`` are those of
+    ``projections.approximate_nearest``): what it returns has true distances,
+    but a neighbour can be missed.
     """
-    points = points.select(F.col("id").cast("long"), F.col("features").cast("array<double>"))
-    refs = materialise(refs.select(F.col("id").cast("long"), F.col("features").cast("array<double>")))
-    n = refs.count()
-    if n <= max_broadcast:
-        return _by_broadcast(points, refs, k, exclude_self)
-    pairs = _by_cells(points, refs, n, k + 1 if exclude_self else k, cell_rows)
-    if exclude_self:
-        pairs = pairs.where(F.col("id") != F.col("neighbour"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
+    if method not in ("exact", "hashed"):
+        raise ValueError(f"method must be exact or hashed, not {method}")
+    points, refs = _rooted(points, within), materialise(_rooted(refs, within))
+    wanted, rows = k + 1 if exclude_self else k, max(cell_rows, 4 * (k + 1))
+    if method == "hashed":
+        pairs = projections.approximate_nearest(points, refs, wanted, rows, **options)
+    else:
+        size = refs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("features")), F.lit(0)).alias("numbers")).first()
+        if size["n"] <= max_broadcast and 8 * size["numbers"] <= MAX_BROADCAST_BYTES:
+            return _by_broadcast(points, refs, k, exclude_self)
+        pairs = pivot_tree.search(pivot_tree.grow(refs, wanted, rows), materialise(points), wanted)
+    if not exclude_self:
+        return pairs
+    return pivot_tree.best(pairs.drop("rank").where(F.col("id") != F.col("neighbour")), k)
 
 
 def _by_broadcast(points: DataFrame, refs: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     """Every task holds the refs; its points leave it with their final ranks,
     so nothing is shuffled."""
-    rows = refs.orderBy("id").toPandas()  # at most max_broadcast rows, counted before
-    sent = points.sparkSession.sparkContext.broadcast((rows["id"].to_numpy("int64"), _matrix(rows["features"])))
+    held = refs.orderBy("node", "id").toPandas()  # bounded in rows and bytes by the caller
+    parts = {node: (part["id"].to_numpy("int64"), matrix(part["features"])) for node, part in held.groupby("node")}
+    sent = points.sparkSession.sparkContext.broadcast(parts)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ref_ids, matrix = sent.value
-        for pdf in batches:
-            ids = pdf["id"].to_numpy("int64")
-            pairs = _pairs(ids, _matrix(pdf["features"]), ref_ids, matrix, k + int(exclude_self))
-            # the pairs of a point are together, nearest first
-            pairs["__at"] = np.repeat(np.arange(len(ids)), len(pairs) // max(1, len(ids)))
-            if exclude_self:
-                pairs = pairs[pairs["id"] != pairs["neighbour"]]
-            pairs["rank"] = pairs.groupby("__at").cumcount().to_numpy("int32") + np.int32(1)
-            yield pairs.loc[pairs["rank"] <= k, ["id", "neighbour", "distance", "rank"]]
+        for batch in batches:
+            for node, pdf in batch.groupby("node"):
+                if node not in sent.value:
+                    continue
+                ids = pdf["id"].to_numpy("int64")
+                pairs = nearest_pairs(ids, matrix(pdf["features"]), *sent.value[node], k + int(exclude_self))
+                # the pairs of a point are together, nearest first
+                pairs["__at"] = np.repeat(np.arange(len(ids)), len(pairs) // max(1, len(ids)))
+                if exclude_self:
+                    pairs = pairs[pairs["id"] != pairs["neighbour"]]
+                pairs["rank"] = pairs.groupby("__at").cumcount().to_numpy("int32") + np.int32(1)
+                yield pairs.loc[pairs["rank"] <= k, ["id", "neighbour", "distance", "rank"]]
 
     return points.mapInPandas(search, PAIR_SCHEMA + ", rank int")
 
 
-def _cells(refs: DataFrame, n: int, k: int, cell_rows: int) -> DataFrame:
-    """Refs with a cell number; every cell has at most ``rows`` of them.
-
-    Strips of about equal size along the first feature, cut along the second
-    one by exact position. Of refs at one and the same place only the k with
-    the smallest ids can be among anyone's k nearest, so the others are left
-    out first.
-    """
-    rows = max(cell_rows, 4 * k, math.ceil(n / MAX_CELLS))
-    first = OrderedRows(refs, ["features"], ["id"]).row_number("__r").finish().where(F.col("__r") <= k).drop("__r")
-    first = first.withColumn("__x", F.get("features", F.lit(0))).withColumn(
-        "__y", F.coalesce(F.get("features", F.lit(1)), F.lit(0.0))
-    )
-    strips = max(2, round(math.sqrt(n / rows)))
-    cuts = sorted(set(first.approxQuantile("__x", [i / strips for i in range(1, strips)], 0.1 / strips)))
-    split = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__x", outputCol="__strip")
-    placed = OrderedRows(split.transform(first), ["__strip"], ["__y", "id"]).row_number("__r").finish()
-    part = F.floor((F.col("__r") - 1) / rows).cast("long")
-    return materialise(
-        placed.select("id", "features", (F.col("__strip").cast("long") * 2**32 + part).alias("cell"))
-    )
-
-
-def _by_cells(points: DataFrame, refs: DataFrame, n: int, k: int, cell_rows: int) -> DataFrame:
-    cells = _cells(refs, n, k, cell_rows)
-    dims = min(BOX_DIMS, len(refs.first()["features"]))
-    edges = [F.min(F.get("features", F.lit(i))).alias(f"lo{i}") for i in range(dims)]
-    edges += [F.max(F.get("features", F.lit(i))).alias(f"hi{i}") for i in range(dims)]
-    boxes = cells.groupBy("cell").agg(*edges).toPandas()  # at most about MAX_CELLS + strips rows
-    sent = points.sparkSession.sparkContext.broadcast(
-        (
-            boxes["cell"].to_numpy("int64"),
-            boxes[[f"lo{i}" for i in range(dims)]].to_numpy("float64"),
-            boxes[[f"hi{i}" for i in range(dims)]].to_numpy("float64"),
-        )
-    )
-
-    def box_distances(matrix: np.ndarray) -> Iterator[np.ndarray]:
-        """Least possible distance of each point to each cell, row by row."""
-        _, lo, hi = sent.value
-        for row in matrix[:, :dims]:
-            gap = np.maximum(np.maximum(lo - row, row - hi), 0.0)
-            yield np.sqrt((gap * gap).sum(axis=1))
-
-    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = sent.value[0]
-        for pdf in batches:
-            at = [names[int(d.argmin())] for d in box_distances(_matrix(pdf["features"]))]
-            yield pdf.assign(cell=np.array(at, dtype="int64"))
-
-    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = sent.value[0]
-        for pdf in batches:
-            for start in range(0, len(pdf), 256):
-                part = pdf.iloc[start : start + 256]
-                take, cell = [], []
-                bounds = part["bound"].to_numpy("float64")
-                for i, d in enumerate(box_distances(_matrix(part["features"]))):
-                    hit = names[(d <= bounds[i]) & (names != part["home"].iloc[i])]
-                    take.append(np.full(len(hit), i))
-                    cell.append(hit)
-                out = part.iloc[np.concatenate(take)][["id", "features"]]
-                yield out.assign(cell=np.concatenate(cell).astype("int64"))
-
-    def search(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("id")
-        return _pairs(
-            left["id"].to_numpy("int64"), _matrix(left["features"]), right["id"].to_numpy("int64"), _matrix(right["features"]), k
-        )
-
-    def visit(visitors: DataFrame) -> DataFrame:
-        """Search each visitor in its cell; crowded cells are copied so that
-        no task gets more than about ``cell_rows`` visitors."""
-        crowd = visitors.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("copies"))
-        crowd = materialise(crowd)  # one row per cell
-        salted = visitors.join(crowd, "cell").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("copies")).cast("int"))
-        copied = cells.join(crowd, "cell").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-        return (
-            salted.drop("copies")
-            .groupBy("cell", "salt")
-            .cogroup(copied.drop("copies").groupBy("cell", "salt"))
-            .applyInPandas(search, PAIR_SCHEMA)
-        )
-
-    at_home = materialise(points.mapInPandas(home, "id long, features array<double>, cell long"))
-    first = materialise(visit(at_home))
-    full = first.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("d"))
-    bounds = full.select("id", F.when(F.col("n") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("bound"))
-    wider = at_home.withColumnRenamed("cell", "home").join(bounds, "id")
-    second = visit(materialise(wider.mapInPandas(others, "id long, features array<double>, cell long")))
-    return first.unionByName(second)
-
-
 def predict_by_neighbours(
     points: DataFrame, refs: DataFrame, label: str, k: int, classify: bool = True, exclude_self: bool = False
 ) -> DataFrame:
@@ -219,36 +118,32 @@ def predict_by_neighbours(
 def smote(df: DataFrame, label: str, k: int, seed: int) -> DataFrame:
     """New minority rows between neighbours, until all classes are as large as
     the largest one. ``df`` has ``id``, ``features`` and an integer label; the
-    new rows have (draw, label, features)."""
-    sizes = [r for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()]  # one row per class
-    most = max(r["n"] for r in sizes)
-    if alone := [r[label] for r in sizes if r["n"] == 1 < most]:
-        raise ValueError(f"no neighbour to go towards in classes of one row: {alone}")
-    out = None
-    for row in sorted(sizes, key=lambda r: r[label]):
-        need = most - row["n"]
-        if need == 0:
-            continue
-        members = materialise(df.where(F.col(label) == row[label]).select("id", "features"))
-        pairs = materialise(nearest(members, members, k, exclude_self=True))
-        numbered = OrderedRows(members, [], ["id"]).row_number("__row").finish()
-        draw = df.sparkSession.range(need).select(
-            F.col("id").alias("draw"),
-            (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(row["n"])) + 1).alias("__row"),
-            (F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(min(k, row["n"] - 1))) + 1).cast("int").alias("rank"),
-            hash_unit(["id"], seed + 2).alias("u"),
-        )
-        based = draw.join(numbered, "__row").join(pairs.select("id", "rank", "neighbour"), ["id", "rank"])
-        other = members.select(F.col("id").alias("neighbour"), F.col("features").alias("there"))
-        made = attach(based, other, ["neighbour"], "inner").select(
-            "draw",
-            F.lit(row[label]).alias(label),
-            F.zip_with("features", "there", lambda a, b: a + F.col("u") * (b - a)).alias("features"),
-        )
-        out = made if out is None else out.unionByName(made)
-    if out is None:
-        out = df.limit(0).select(F.col("id").alias("draw"), label, "features")
-    return out
+    new rows have (draw, label, features).
+
+    A class's draws are numbered from 0. Numbers keyed by label and draw say
+    which of its rows, in the order of ids, is taken, to which neighbour the
+    new row goes, and how far. All classes are searched and drawn together.
+    """
+    rows = materialise(df.where(F.col(label).isNotNull()).select("id", F.col("features").cast("array<double>").alias("features"), label))
+    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
+    sizes = materialise(sizes.withColumn("need", F.max("size").over(Window.partitionBy(F.lit(0))) - F.col("size")))  # one row per class
+    small = sizes.where(F.col("need") > 0)
+    if alone := [r[label] for r in small.where(F.col("size") == 1).limit(20).collect()]:
+        raise ValueError(f"no neighbour to go towards in classes of one row: {sorted(alone)}")
+    members = materialise(attach(rows, small, [label], "inner"))
+    pairs = materialise(nearest(members, members, k, exclude_self=True, within=label))
+    numbered = OrderedRows(members.select("id", "features", label), [label], ["id"]).row_number("row_no").finish()
+    unit = lambda n: hash_unit([label, "draw"], seed + n)
+    draw = index_rows(small, F.col("need"), "draw").select(
+        label, "draw",
+        (F.floor(unit(0) * F.col("size")) + 1).alias("row_no"),
+        (F.floor(unit(1) * F.least(F.lit(k), F.col("size") - 1)) + 1).cast("int").alias("rank"),
+        unit(2).alias("u"),
+    )
+    based = draw.join(numbered, [label, "row_no"]).join(pairs.select("id", "rank", "neighbour"), ["id", "rank"])
+    other = members.select(F.col("id").alias("neighbour"), F.col("features").alias("there"))
+    towards = F.zip_with("features", "there", lambda a, b: a + F.col("u") * (b - a))
+    return attach(based, other, ["neighbour"], "inner").select("draw", label, towards.alias("features"))
 
 
 def edges(nodes: DataFrame, k: int, removed: DataFrame | None = None) -> DataFrame:

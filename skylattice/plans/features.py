@@ -221,6 +221,29 @@ def sm_smote(t: Tables):
     return both.groupBy("rare").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width"))
 
 
+@query(
+    "sm_smote_rows",
+    f"""WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, CAST(label <= 1 AS INTEGER) AS rare FROM embeddings),
+            s AS (SELECT rare, count(*) AS size FROM e GROUP BY 1),
+            w AS (SELECT rare, size, (SELECT max(size) FROM s) - size AS need FROM s),
+            m AS (SELECT e.*, row_number() OVER (PARTITION BY e.rare ORDER BY id) AS row_no FROM e JOIN w ON e.rare = w.rare WHERE need > 0),
+            d AS (SELECT a.id, b.id AS nb, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS r
+                  FROM m a JOIN m b ON a.rare = b.rare AND a.id <> b.id),
+            g AS (SELECT rare, size, unnest(range(0, need)) AS draw FROM w WHERE need > 0),
+            u AS (SELECT rare, draw, floor({unit_sql('rare', 'draw', seed=13)} * size) + 1 AS row_no, floor({unit_sql('rare', 'draw', seed=14)} * least(5, size - 1)) + 1 AS r, {unit_sql('rare', 'draw', seed=15)} AS u FROM g),
+            x AS (SELECT u.draw, u.rare, list_transform(range(1, 65), lambda i: a.v[i] + u.u * (b.v[i] - a.v[i])) AS f
+                  FROM u JOIN m a ON u.rare = a.rare AND u.row_no = a.row_no JOIN d ON d.id = a.id AND d.r = u.r JOIN m b ON b.id = d.nb)
+       SELECT draw, rare, round(f[1], 9) AS first, round(f[64], 9) AS last, round(list_sum(f), 7) AS total FROM x""",
+)
+def sm_smote_rows(t: Tables):
+    """The new rows themselves."""
+    new = neighbours.smote(_vectors(t), "rare", 5, 13)
+    total = F.aggregate("features", F.lit(0.0), lambda s, x: s + x)
+    return new.select(
+        "draw", "rare", F.round(F.get("features", F.lit(0)), 9).alias("first"), F.round(F.get("features", F.lit(63)), 9).alias("last"), F.round(total, 7).alias("total")
+    )
+
+
 @query(
     "sm_class_weight",
     """WITH c AS (SELECT event_type, count(*) AS k FROM events GROUP BY 1), n AS (SELECT count(*) AS n, count(DISTINCT event_type) AS m FROM events)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skylattice.operators import neighbours
+from skylattice.operators import neighbours, pivot_tree, projections
 
 
 def brute(points, refs, k, exclude_self):
@@ -81,3 +81,96 @@ def test_edges_and_messages(spark):
     assert {(r.src, r.dst, r.weight) for r in edge.collect()} == {(0, 1, 1.0), (1, 0, 1.0)}
     got = {r.id: r.sum_load for r in neighbours.sum_messages(edge, nodes, ["load"]).collect()}
     assert got == {0: 2.0, 1: 1.0, 2: 0.0}
+
+
+def clustered(n, dims, clusters, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dims)) * 4
+    return centres[rng.integers(0, clusters, n)] + rng.normal(size=(n, dims)) * 0.3
+
+
+def brute_pairs(points, refs, k):
+    d = np.sqrt(((points[:, None, :] - refs[None, :, :]) ** 2).sum(axis=2))
+    return {(i, int(j), n + 1) for i, row in enumerate(np.argsort(d, axis=1, kind="stable")[:, :k]) for n, j in enumerate(row)}
+
+
+def test_tree_in_many_dimensions(spark):
+    """64 dimensions: exact, few cells visited, no cell above its size."""
+    rows = clustered(3000, 64, 60, 1)
+    rows[:300] = rows[0]  # a crowded place
+    df = make(spark, dict(enumerate(rows))).withColumn("node", F.lit("all"))
+    tree = pivot_tree.grow(df, 5, 60)
+    sizes = [r["count"] for r in tree.cells.groupBy("node").count().collect()]
+    assert max(sizes) <= 60 and len(sizes) > 40 and tree.depth > 1
+    asked = make(spark, dict(enumerate(rows[::5]))).withColumn("node", F.lit("all"))
+    got = {(r.id, r.neighbour, r["rank"]) for r in pivot_tree.search(tree, asked, 5).collect()}
+    assert got == brute_pairs(rows[::5], rows, 5)
+    assert tree.visited < 0.1 * tree.possible
+    print(tree.visited, tree.possible, tree.rounds)
+
+
+def test_bounds_never_rule_out_a_nearer_row():
+    rng = np.random.default_rng(2)
+    for dims in (1, 2, 16):
+        refs, points = rng.normal(size=(400, dims)), rng.normal(size=(50, dims)) * 2
+        pivots = refs[:9]
+        own = pivot_tree.distances(refs, pivots)
+        child = own.argmin(axis=1)
+        low, high = (np.array([f(own[child == j, j]) for j in range(9)]) for f in (np.min, np.max))
+        _, bound = pivot_tree.lower_bounds(points, pivots, low, high)
+        true = pivot_tree.distances(points, refs)
+        for j in range(9):
+            assert (bound[:, j] <= true[:, child == j].min(axis=1)).all()
+        assert (bound > 0).any()
+
+
+def test_neighbours_within_a_class(spark):
+    rng = np.random.default_rng(3)
+    rows, label = rng.normal(size=(400, 3)), rng.integers(0, 3, 400)
+    df = make(spark, dict(enumerate(rows))).join(spark.createDataFrame([(i, int(x) if i % 50 else None) for i, x in enumerate(label)], "id long, c int"), "id")
+    want = set()
+    for c in range(3):
+        at = [i for i in range(400) if label[i] == c and i % 50]
+        want |= {(at[i], at[j], n) for i, j, n in brute_pairs(rows[at], rows[at], 4)}
+    for bound in (0, 1000):
+        got = neighbours.nearest(df, df, 4, max_broadcast=bound, cell_rows=25, within="c")
+        assert {(r.id, r.neighbour, r["rank"]) for r in got.collect()} == want
+
+
+def test_wide_references_are_not_sent_to_all_tasks(spark, monkeypatch):
+    """The bound is on bytes too."""
+    monkeypatch.setattr(neighbours, "MAX_BROADCAST_BYTES", 100 * 8 * 8 - 1)
+    monkeypatch.setattr(neighbours, "_by_broadcast", None)
+    rows = clustered(100, 8, 5, 4)
+    got = neighbours.nearest(make(spark, dict(enumerate(rows))), make(spark, dict(enumerate(rows))), 2, cell_rows=30)
+    assert {(r.id, r.neighbour, r["rank"]) for r in got.collect()} == brute_pairs(rows, rows, 2)
+
+
+@pytest.mark.parametrize("dims", [2, 64])
+def test_hashed_neighbours(spark, dims):
+    """Recall against the exact search, true distances, bounded cells."""
+    rows = clustered(1500, dims, 30, 5)
+    rows[:200] = rows[0]
+    df = make(spark, dict(enumerate(rows)))
+    exact = {(i, j) for i, j, _ in brute_pairs(rows, rows, 5)}
+    got = neighbours.nearest(df, df, 5, method="hashed", cell_rows=50).collect()
+    assert len(exact & {(r.id, r.neighbour) for r in got}) >= 0.9 * len(exact)
+    for r in got[::50]:
+        assert r.distance == pytest.approx(np.linalg.norm(rows[r.id] - rows[r.neighbour]))
+    assert len({(r.id, r.neighbour) for r in got}) == len(got) and max(r["rank"] for r in got) == 5
+    with pytest.raises(ValueError):
+        neighbours.nearest(df, df, 5, method="other")
+    assert neighbours.nearest(df, df.limit(0), 5, method="hashed").count() == 0
+
+
+def test_probes_are_the_nearest_cells():
+    tool = projections.Projections(3, 0.7, 2, 4, 0)
+    rows = np.random.default_rng(0).normal(size=(20, 3))
+    places, probes = tool.places(rows), tool.probes(rows, 3)
+    assert probes.shape == (20, 2, 4, 4)
+    for i in range(20):
+        for t in range(2):
+            own = np.floor(places[i, t])
+            steps = sorted((abs(places[i, t, p] - own[p] - (side > 0)), p, side) for p in range(4) for side in (-1, 1))[:3]
+            want = {tuple(own + np.eye(4)[p] * side) for _, p, side in steps} | {tuple(own)}
+            assert {tuple(x) for x in probes[i, t]} == want

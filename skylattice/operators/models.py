@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 
 from ..ordered import OrderedRows, exact_quantiles
 from ..session import materialise
+from . import gram
+from .gram import student_t
 from .sampling import hash_unit, with_fold
 from .verification import r2_mse
 
@@ -66,31 +68,6 @@ def coefficients(spark: SparkSession, model: Model, features: Sequence[str]) ->
     return small_table(spark, rows, "term string, estimate double")
 
 
-def student_t(prob: float, dof: int) -> float:
-    """Quantile of Student's t, by bisection on its integrated density."""
-    if dof > 1000:
-        # expansion in 1/dof around the normal quantile
-        from statistics import NormalDist
-
-        z = NormalDist().inv_cdf(prob)
-        g1 = (z**3 + z) / 4
-        g2 = (5 * z**5 + 16 * z**3 + 3 * z) / 96
-        g3 = (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384
-        return z + g1 / dof + g2 / dof**2 + g3 / dof**3
-    scale = math.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2)) / math.sqrt(dof * math.pi)
-
-    def area(t: float) -> float:
-        x = np.linspace(0.0, t, 4001)
-        y = scale * (1 + x * x / dof) ** (-(dof + 1) / 2)
-        return 0.5 + float(((y[:-1:2] + 4 * y[1::2] + y[2::2]) * (x[1] - x[0]) / 3).sum())
-
-    lo, hi = 0.0, 1e4 if dof < 3 else 100.0
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if area(mid) < prob else (lo, mid)
-    return (lo + hi) / 2
-
-
 def linear_fit_summary(df: DataFrame, x: str, y: str) -> DataFrame:
     """One-row table of a straight-line fit: coefficients with standard
     errors, residual spread and the sums needed for intervals."""
@@ -141,44 +118,13 @@ def linear_intervals(df: DataFrame, x: str, y: str, level: float = 0.95) -> tupl
     return table, rows
 
 
-def spline_columns(x: str, knots: Sequence[float]) -> list[Column]:
-    """Cubic spline basis of a column: powers and one cubic per inner knot,
-    scaled by the knot range."""
-    lo, hi = knots[0], knots[-1]
-    width = (hi - lo) or 1.0
-    z = (F.col(x) - F.lit(lo)) / F.lit(width)
-    cols = [z, z * z, z * z * z]
-    cols += [F.pow(F.greatest(z - F.lit((k - lo) / width), F.lit(0.0)), F.lit(3.0)) for k in knots[1:-1]]
-    return [c.alias(f"s_{x}_{i}") for i, c in enumerate(cols)]
-
-
-def additive_model(
-    df: DataFrame,
-    smooth: Sequence[str],
-    label: str,
-    interactions: Sequence[tuple[str, str]] = (),
-    knots: int = 5,
-    ridge: float = 1e-3,
-):
-    """Sum of smooth terms and products, as one ridge regression.
-
-    Knots are exact quantiles. Returns the fitted pipeline and a function that
-    adds the basis columns to a table.
-    """
-    probs = [i / (knots - 1) for i in range(knots)]
-    at: dict[str, list[float]] = {}
-    for s in smooth:
-        rows = exact_quantiles(df, [], s, probs).collect()  # one row per knot
-        at[s] = sorted({float(r["quantile"]) for r in rows})
-
-    def expand(rows: DataFrame) -> DataFrame:
-        extra = [c for s in smooth for c in spline_columns(s, at[s])]
-        extra += [(F.col(a) * F.col(b)).alias(f"i_{a}_{b}") for a, b in interactions]
-        return rows.select("*", *extra)
-
-    wide = expand(df)
-    names = [c for c in wide.columns if c not in df.columns]
-    return linear_regression(wide, names, label, ridge), expand
+def linear_terms(df: DataFrame, terms: dict[str, Column], y: str, level: float = 0.95) -> tuple[DataFrame, DataFrame]:
+    """Least squares on any number of terms: the coefficient table with
+    intervals, and the rows with fit, residual, leverage, standardised residual,
+    confidence and prediction interval."""
+    fit = gram.gram_sums(df, terms, F.col(y))[None].fit()
+    table = small_table(df.sparkSession, gram.term_table(fit, level), "term string, estimate double, se double, lower double, upper double")
+    return table, gram.with_intervals(df, fit, terms, F.col(y), level)
 
 
 # --- classifiers and regressors -----------------------------------------
@@ -366,13 +312,12 @@ def search(
     df: DataFrame, estimator: Estimator, grid: list[dict], evaluator, ids: Sequence[str], folds: int, seed: int, parallelism: int = 4
 ) -> DataFrame:
     """Mean cross-validated score of every parameter map, best first."""
-    rows = with_fold(df, ids, folds, seed, "__fold").persist()
+    rows = materialise(with_fold(df, ids, folds, seed, "__fold"))
     maps = [{estimator.getParam(k): v for k, v in point.items()} for point in grid]
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="__fold", parallelism=parallelism
     )
     model = cv.fit(rows)
-    rows.unpersist()
     order = sorted(zip(model.avgMetrics, grid), key=lambda p: p[0], reverse=evaluator.isLargerBetter())
     table = [(i + 1, ", ".join(f"{k}={v}" for k, v in sorted(g.items())), float(s)) for i, (s, g) in enumerate(order)]
     return small_table(df.sparkSession, table, "place int, params string, score double")
@@ -401,21 +346,35 @@ def cross_validate(
     folds: int,
     seed: int,
 ) -> DataFrame:
-    """r2 of every feature set, model and fold."""
+    """r2 of every feature set, model and fold.
+
+    Plain linear models have their training sums by subtraction: all sets and
+    folds of them take one pass. Other models are fitted fold by fold.
+    """
     rows = materialise(with_fold(df, ids, folds, seed, "__fold"))
     evaluate = RegressionEvaluator(labelCol=label, metricName="r2")
+    plain = [n for n, make in models.items() if _least_squares(make())]
     table = []
+    if plain:
+        columns = list(dict.fromkeys(c for cs in feature_sets.values() for c in cs))
+        grams = gram.gram_sums(rows, {c: F.col(c) for c in columns}, F.col(label), "__fold")
+        table += [(s, n, f, r2) for n in plain for s, f, r2 in gram.fold_scores(grams, feature_sets)]
     for set_name, columns in feature_sets.items():
-        vec = with_vector(rows, columns).persist()
-        for model_name, make in models.items():
+        others = [n for n in models if n not in plain]
+        vec = materialise(with_vector(rows, columns)) if others else rows
+        for model_name in others:
             for f in range(folds):
-                fitted = make().fit(vec.where(F.col("__fold") != f))
+                fitted = models[model_name]().fit(vec.where(F.col("__fold") != f))
                 score = evaluate.evaluate(fitted.transform(vec.where(F.col("__fold") == f)))
                 table.append((set_name, model_name, f, float(score)))
-        vec.unpersist()
     return small_table(df.sparkSession, table, "features string, model string, fold int, r2 double")
 
 
+def _least_squares(model: Estimator) -> bool:
+    """Whether a model is a linear regression without penalty or weights."""
+    return isinstance(model, LinearRegression) and not model.getRegParam() and model.getFitIntercept() and not model.isSet("weightCol") and model.getLoss() == "squaredError"
+
+
 def permutation_importance(
     df: DataFrame, model: Model, features: Sequence[str], label: str, ids: Sequence[str], seed: int
 ) -> DataFrame:

@@ -132,11 +132,14 @@ def rle_pixels(df: DataFrame, encoded: str, height: str, keys: Sequence[str], ma
 def pure_tiles(pixels: DataFrame, image: str, label: str, size: int) -> DataFrame:
     """Grid-aligned tiles filled by one label.
 
-    ``pixels`` has one row per (image, label, x, y); each task counts its own
-    pixels first, so a large image is not gathered.
+    ``pixels`` has rows (image, label, x, y); a repeated pixel counts once.
+    Each task counts its own pixels first, so a large image is not gathered.
+    ``tiles.grid_tiles`` does the same from runs, without pixels.
     """
     return (
-        pixels.groupBy(
+        pixels.select(image, label, "x", "y")
+        .distinct()
+        .groupBy(
             image, label, F.floor(F.col("x") / size).cast("long").alias("tile_x"), F.floor(F.col("y") / size).cast("long").alias("tile_y")
         )
         .agg(F.count(F.lit(1)).alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, neighbours, sampling
+from ..operators import aggregates, neighbours, sampling, tiles
 from ..operators import features as ft
 from .catalog import Tables, query, rounded, stamp
 from .derived import FIELDS_SQL, STATIONS, STATIONS_SQL, hourly_stations, model_fields, number_sql, station_ids, unit_sql
@@ -299,7 +299,12 @@ def sp_kfold(t: Tables):
        SELECT image, label, CAST(floor(x / 8) AS BIGINT) AS tile_x, CAST(floor(y / 8) AS BIGINT) AS tile_y FROM x GROUP BY 1, 2, 3, 4 HAVING count(*) = 64""",
 )
 def tile_pure(t: Tables):
-    masks = (
+    return tiles.grid_tiles(tiles.columns_of_runs(_masks(t), "encoded", "height", "image", "label"), 8)
+
+
+def _masks(t: Tables):
+    """One run per supplier and line number, in images of 40 rows."""
+    return (
         t.lineitem.groupBy(F.col("l_suppkey").alias("image"), F.col("l_linenumber").alias("label"))
         .agg(F.min("l_partkey").alias("start"), F.min("l_quantity").cast("int").alias("length"))
         .select(
@@ -309,4 +314,9 @@ def tile_pure(t: Tables):
             F.lit(40).alias("height"),
         )
     )
-    return sampling.pure_tiles(sampling.rle_pixels(masks, "encoded", "height", ["image", "label"]), "image", "label", 8)
+
+
+@query("tile_pure_any")
+def tile_pure_any(t: Tables):
+    """Tiles at any place, none of which could be added."""
+    return tiles.place_tiles(_masks(t), "encoded", "height", "image", "label", 8, 5)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import correlation
 from ..operators import models as ops
-from ..operators import neighbours, sampling
+from ..operators import neighbours, sampling, splines
 from .catalog import Tables, query, rounded
-from .derived import BUOYS_SQL, buoys
+from .derived import BUOYS_SQL, buoys, number_sql
 
 COLUMNS = ["l_quantity", "l_discount", "l_tax"]
 
@@ -70,10 +70,52 @@ def ml_linreg_bands(t: Tables):
     return rounded(rows.select("l_orderkey", "l_partkey", "l_linenumber", "fit", "residual", "conf_lower", "pred_upper"), 1)
 
 
+_SUMS = """count(*) AS n, avg(l_extendedprice) AS my, avg(x) AS mx, avg(z) AS mz, count(*) * var_pop(x) AS xx, count(*) * var_pop(z) AS zz,
+    count(*) * covar_pop(x, z) AS xz, count(*) * covar_pop(x, l_extendedprice) AS xy, count(*) * covar_pop(z, l_extendedprice) AS zy,
+    count(*) * var_pop(l_extendedprice) AS yy"""
+_TWO = f"""r AS (SELECT *, l_quantity AS x, l_quantity * l_quantity AS z FROM lineitem), s AS (SELECT {_SUMS} FROM r),
+  b AS (SELECT *, xx * zz - xz * xz AS det, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS b1, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS b2 FROM s),
+  f AS (SELECT *, my - b1 * mx - b2 * mz AS b0, (yy - b1 * xy - b2 * zy) / (n - 3) AS s2, n - 3 AS dof, 1.959963984540054 AS z95 FROM b),
+  q AS (SELECT *, z95 + (z95 ** 3 + z95) / 4 / dof + (5 * z95 ** 5 + 16 * z95 ** 3 + 3 * z95) / 96 / dof ** 2 AS t FROM f)"""
+
+
+def _squared():
+    return {"quantity": F.col("l_quantity"), "squared": F.col("l_quantity") * F.col("l_quantity")}
+
+
+@query(
+    "ml_linreg_terms",
+    f"""WITH {_TWO}, c AS (SELECT 'intercept' AS term, b0 AS estimate, sqrt(s2 * (1 / n + (mx * mx * zz + mz * mz * xx - 2 * mx * mz * xz) / det)) AS se, t FROM q
+          UNION ALL SELECT 'quantity', b1, sqrt(s2 * zz / det), t FROM q UNION ALL SELECT 'squared', b2, sqrt(s2 * xx / det), t FROM q)
+        SELECT term, round(estimate, 4) AS estimate, round(se, 4) AS se, round(estimate - t * se, 4) AS lower, round(estimate + t * se, 4) AS upper FROM c""",
+)
+def ml_linreg_terms(t: Tables):
+    """A squared term, with intervals."""
+    table, _ = ops.linear_terms(t.lineitem, _squared(), "l_extendedprice")
+    return rounded(table, 4)
+
+
+@query(
+    "ml_linreg_residuals",
+    f"""WITH {_TWO}, p AS (SELECT r.*, b0 + b1 * r.x + b2 * r.z AS fit, s2, t,
+          1 / n + ((r.x - mx) ** 2 * zz + (r.z - mz) ** 2 * xx - 2 * (r.x - mx) * (r.z - mz) * xz) / det AS lever FROM r, q)
+        SELECT l_orderkey, l_partkey, l_linenumber, round(fit, 1) AS fit, round(lever, 12) AS leverage, round((l_extendedprice - fit) / sqrt(s2 * (1 - lever)), 6) AS standardised,
+          round(fit - t * sqrt(s2 * lever), 1) AS conf_lower, round(fit + t * sqrt(s2 * (1 + lever)), 1) AS pred_upper FROM p""",
+)
+def ml_linreg_residuals(t: Tables):
+    _, rows = ops.linear_terms(t.lineitem, _squared(), "l_extendedprice")
+    fine = {"leverage": 12, "standardised": 6}
+    columns = [F.round(c, fine.get(c, 1)).alias(c) for c in ("fit", "leverage", "standardised", "conf_lower", "pred_upper")]
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", *columns)
+
+
 @query("ml_gam")
 def ml_gam(t: Tables):
-    model, expand = ops.additive_model(t.lineitem, ["l_quantity", "l_discount"], "l_extendedprice", [("l_quantity", "l_tax")])
-    scored = model.transform(expand(t.lineitem))
+    """Smooth terms with penalties from the data, one of them cyclic, and a product."""
+    rows = t.lineitem.withColumn("day", F.dayofyear("l_shipdate"))
+    smooths = [splines.Smooth("l_quantity"), splines.Smooth("l_discount", 6), splines.Smooth("day", 8, cyclic=True, low=1.0, high=366.0)]
+    model = splines.additive(rows, smooths, "l_extendedprice", {"quantity_tax": F.col("l_quantity") * F.col("l_tax")})
+    scored = rows.withColumn("prediction", model.predicted())
     return rounded(scored.groupBy("l_linenumber").agg(F.avg("prediction").alias("mean_prediction"), F.avg("l_extendedprice").alias("mean_price")), 2)
 
 
@@ -230,6 +272,25 @@ def ml_cross_validate(t: Tables):
     return rounded(ops.cross_validate(rows, sets, models, "l_extendedprice", ["id"], 5, 51))
 
 
+_LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+@query(
+    "ml_cross_validate_linear",
+    f"""WITH r AS (SELECT *, l_quantity AS x, l_discount AS z, {number_sql(*_LINE_KEY, seed=51)} % 5 AS fold FROM lineitem),
+          f AS (SELECT unnest(range(0, 5)) AS held), s AS (SELECT held, {_SUMS} FROM r JOIN f ON fold <> held GROUP BY held),
+          b AS (SELECT *, xy / xx AS b, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS b1, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS b2 FROM s),
+          p AS (SELECT held, l_extendedprice AS y, my + b * (x - mx) AS one, my + b1 * (x - mx) + b2 * (z - mz) AS two FROM r JOIN b ON fold = held)
+        SELECT 'quantity' AS features, 'linear' AS model, held::INT AS fold, round(1 - sum((y - one) ** 2) / (count(*) * var_pop(y)), 6) AS r2 FROM p GROUP BY held
+        UNION ALL SELECT 'both', 'linear', held::INT, round(1 - sum((y - two) ** 2) / (count(*) * var_pop(y)), 6) FROM p GROUP BY held""",
+)
+def ml_cross_validate_linear(t: Tables):
+    """All folds and feature sets from one pass of sums."""
+    sets = {"quantity": ["l_quantity"], "both": ["l_quantity", "l_discount"]}
+    models = {"linear": lambda: ops.regressor("linear", "l_extendedprice")}
+    return rounded(ops.cross_validate(t.lineitem, sets, models, "l_extendedprice", _LINE_KEY, 5, 51))
+
+
 @query("ml_perm_importance")
 def ml_perm_importance(t: Tables):
     # supplier and part make the id unique; equal line items share it

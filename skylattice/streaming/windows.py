@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.verification import event
+
 
 def windowed_counts(df: DataFrame, ts: str, keys: Sequence[str], width: str, lateness: str) -> DataFrame:
     """Counts per key and time window; late rows up to ``lateness`` count."""
@@ -35,8 +37,9 @@ def windowed_means(df: DataFrame, ts: str, keys: Sequence[str], value: str, widt
 def windowed_contingency(
     df: DataFrame, ts: str, observed: str, forecast: str, width: str, lateness: str
 ) -> DataFrame:
-    """Contingency counts per time window."""
-    o, f = F.col(observed) == 1, F.col(forecast) == 1
+    """Contingency counts per time window; a null side counts as no event, as
+    in the batch tables."""
+    o, f = event(F.col(observed) == 1), event(F.col(forecast) == 1)
     return (
         df.withWatermark(ts, lateness)
         .groupBy(F.window(ts, width).alias("w"))

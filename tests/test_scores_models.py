@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skylattice.functions import scalar, units
-from skylattice.operators import models, verification
+from skylattice.operators import models, splines, verification
 
 
 def test_sweep_is_the_loop(spark):
@@ -67,8 +67,8 @@ def test_student_t():
 def test_smooth_terms_follow_a_curve(spark):
     df = spark.range(300).select((F.col("id") / 50).alias("x"), (F.col("id") % 7 * 1.0).alias("z"))
     df = df.withColumn("y", F.sin("x") + 0.1 * F.col("z"))
-    model, expand = models.additive_model(df, ["x"], "y", [("x", "z")], knots=7, ridge=1e-6)
-    r2 = verification.r2_mse(model.transform(expand(df)), F.col("y"), F.col("prediction")).first().r2
+    model = splines.additive(df, [splines.Smooth("x", 7)], "y", {"product": F.col("x") * F.col("z")})
+    r2 = verification.r2_mse(df.withColumn("prediction", model.predicted()), F.col("y"), F.col("prediction")).first().r2
     assert r2 > 0.9
 
 

@@ -53,3 +53,13 @@ def test_contingency(spark):
     r = got.agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]).first()
     assert sum(r) == batch.count()
     assert r.tp == batch.where("event_type = 'purchase' AND value > 50").count()
+
+
+def test_contingency_counts_nulls_as_no_event(spark):
+    """The rule of the batch tables."""
+    from skylattice.operators import verification
+
+    rows = spark.createDataFrame([("2024-01-01", 1, 1), ("2024-01-02", None, 1), ("2024-01-03", 1, None)], "ts string, o int, f int").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = windows.windowed_contingency(rows, "ts", "o", "f", "30 days", "1 hour").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]).first()
+    want = verification.contingency(rows, F.col("o") == 1, F.col("f") == 1).first()
+    assert tuple(got) == tuple(want[c] for c in ("tp", "fp", "fn", "tn")) == (1, 1, 1, 0)

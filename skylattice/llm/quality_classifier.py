@@ -187,13 +187,12 @@ def _add_leaf(feature, limit, left, right, value, gradient: float, weight: float
 
 
 def sample(labels: DataFrame, docs: DataFrame, key: str, text: str, label: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled documents (text, y) by the order of a hash."""
+    """Documents (h, k, y, text) of at most ``rows`` labels by the order of a hash."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
     known = known.distinct().withColumn("h", F.xxhash64("k", "y"))
     # no more than this many, so it may be sent to all tasks
     some = F.broadcast(cut(known.orderBy("h", "k", "y").limit(rows)))
-    found = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(some, "k")
-    return found.orderBy("h", "k", "y", F.xxhash64("text")).limit(rows).select("text", "y")
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(some, "k").select("h", "k", "y", "text")
 
 
 def fit(labels: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS, **options) -> Trees:
@@ -203,8 +202,10 @@ def fit(labels: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "te
     without a label are left out; a document with both labels counts once with
     each. Only statistics of at most ``rows`` rows come to the driver.
     """
-    seen = sample(labels, docs, key, text, label, rows)
-    found = seen.mapInPandas(_with_statistics, "y int, x array<double>").toArrow()
+    seen = sample(labels, docs, key, text, label, rows).withColumn("k", F.xxhash64("k", "text"))
+    known = seen.mapInPandas(_with_statistics, "h long, k long, y int, x array<double>")
+    # a key may stand on more than one document
+    found = known.orderBy("h", "k", "y").limit(rows).toArrow()
     x = np.array(found["x"].to_pylist(), dtype=np.float64).reshape(len(found), len(NAMES))
     # rows come in no fixed order; sums should
     order = np.lexsort((*x.T, found["y"].to_numpy()))
@@ -213,7 +214,7 @@ def fit(labels: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "te
 
 def _with_statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"y": batch["y"], "x": [statistics(t) for t in batch["text"]]})
+        yield pd.DataFrame({**{c: batch[c] for c in ("h", "k", "y")}, "x": [statistics(t) for t in batch["text"]]})
 
 
 def score(df: DataFrame, trees: Trees, text: str = "text", out: str = "score") -> DataFrame:

@@ -35,7 +35,7 @@ from ..ordered import OrderedRows, exact_quantiles
 from ..session import materialise
 from . import gram
 from .gram import student_t
-from .sampling import hash_unit, with_fold
+from .sampling import draw_counts, hash_unit, with_fold
 from .verification import r2_mse
 
 
@@ -189,12 +189,15 @@ def bootstrap_weight(ids: Sequence[str], seed: int) -> Column:
 
 
 def bagged(df: DataFrame, make: Callable[[str], Estimator], ids: Sequence[str], replicas: int, seed: int) -> list[Model]:
-    """Members fitted on bootstrap replicas, drawn as row weights so that the
-    table is not copied."""
-    models = []
+    """Members fitted on bootstrap replicas of exactly the table's size, drawn
+    as row weights so that rows are not copied."""
+    n, models = df.count(), []
+    # Arrow has arrays, but no vectors
+    plain = df.withColumn("features", vector_to_array("features"))
     for i in range(replicas):
-        weighted = df.withColumn("__w", bootstrap_weight(ids, seed + i)).where(F.col("__w") > 0)
-        models.append(make("__w").fit(weighted))
+        drawn = draw_counts(plain, ids, n, seed + i, "__w")
+        weighted = drawn.withColumns({"features": array_to_vector("features"), "__w": F.col("__w").cast("double")})
+        models.append(make("__w").fit(materialise(weighted)))
     return models
 
 

@@ -6,13 +6,19 @@ class in one task.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import keyed_number, run_lengths
-from ..ordered import OrderedRows, attach
+from ..ordered import OrderedRows, attach, index_rows
+from ..session import materialise
 
 
 def hash_unit(ids: Sequence[str], seed: int) -> Column:
@@ -43,6 +49,74 @@ def sample_with_replacement(df: DataFrame, ids: Sequence[str], n: int, seed: int
     return draws.join(numbered, "__row").drop("__row")
 
 
+#: Rows of a chunk, about; and children of a node of the tree above the chunks.
+CHUNK_ROWS = 20_000
+FAN_BITS = 6
+
+
+def _split_draws(n: int, sizes: list[int], *key) -> list[int]:
+    """``n`` draws dealt to parts in proportion to their sizes: a chain of
+    binomials, each of what is left, from numbers keyed by ``key``."""
+    rng = np.random.default_rng(int(hashlib.md5("|".join(map(str, key)).encode()).hexdigest(), 16))
+    total = sum(sizes)
+    return rng.multinomial(n, [s / total for s in sizes]).tolist() if total else [0] * len(sizes)
+
+
+def _draws_by_chunk(sizes: DataFrame, n: int, seed: int, bits: int) -> DataFrame:
+    """(chunk, draws) from (chunk, m): ``n`` is split down a tree over the bits
+    of the chunk's number, a few bits at a level."""
+    steps = [*range(0, bits, FAN_BITS), bits]
+    level = sizes.groupBy(F.lit(0).cast("long").alias("node")).agg(F.sum("m").alias("m")).withColumn("draws", F.lit(n).cast("long"))
+
+    @F.udf("array<bigint>")
+    def deal(draws: int, node: int, depth: int, below: list[int]) -> list[int]:
+        return _split_draws(draws, below, seed, depth, node)
+
+    for above, here in zip(steps, steps[1:]):
+        children = sizes.groupBy(F.shiftright("chunk", bits - here).alias("child")).agg(F.sum("m").alias("m"))
+        children = children.withColumn("node", F.shiftright("child", here - above))
+        # at most 2 ** FAN_BITS children a node
+        gathered = children.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("child", "m"))).alias("below"))
+        dealt = level.select("node", "draws").join(gathered, "node")
+        dealt = dealt.withColumn("parts", deal("draws", "node", F.lit(above), F.col("below.m")))
+        level = materialise(dealt.select(F.inline(F.arrays_zip(F.col("below.child").alias("node"), F.col("below.m").alias("m"), F.col("parts").alias("draws")))))
+    return level.select(F.col("node").alias("chunk"), "draws")
+
+
+def draw_counts(df: DataFrame, ids: Sequence[str], n: int, seed: int, out: str = "drawn", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """How often each row is drawn when exactly ``n`` rows are drawn with
+    replacement; rows that are not drawn are left out.
+
+    A row's chunk is the head of a number keyed by its id. The draws are split
+    over the chunks by keyed binomials, and each chunk deals its own to its
+    rows, in the order of number and id: no draw meets a row by a join, and
+    nothing depends on how the rows are spread over tasks. Rows with equal
+    ids are rows of their own. An empty table gives no rows.
+    """
+    numbered = df.withColumn("__number", keyed_number(*ids, seed=seed))
+    size = df.count()
+    bits = max(0, math.ceil(math.log2(max(1, size) / chunk_rows)))
+    chunked = numbered.withColumn("__chunk", F.shiftright("__number", 60 - bits))
+    sizes = materialise(chunked.groupBy(F.col("__chunk").alias("chunk")).agg(F.count(F.lit(1)).alias("m")))
+    draws = _draws_by_chunk(sizes, n, seed, bits).where(F.col("draws") > 0).withColumnRenamed("chunk", "__chunk")
+    shape = T.StructType([*df.schema.fields, T.StructField(out, T.LongType())])
+    names, order = df.columns, ["__number", *ids]
+
+    def deal(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in order])
+        counts = np.array(_split_draws(rows["draws"][0].as_py(), [1] * len(rows), seed, "rows", rows["__chunk"][0].as_py()))
+        hit = pa.array(np.flatnonzero(counts))
+        return rows.select(names).take(hit).append_column(out, pa.array(counts[counts > 0]))
+
+    return attach(chunked, draws, ["__chunk"], "inner").groupBy("__chunk").applyInArrow(deal, shape)
+
+
+def resample(df: DataFrame, ids: Sequence[str], n: int, seed: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Exactly ``n`` rows drawn with replacement, each as often as it was drawn."""
+    counts = draw_counts(df, ids, n, seed, "__drawn", chunk_rows)
+    return index_rows(counts, F.col("__drawn"), "__copy").drop("__drawn", "__copy")
+
+
 def stratified_sets(
     df: DataFrame, label: str, ids: Sequence[str], test: float, validation: float, seed: int, out: str = "part"
 ) -> DataFrame:

@@ -182,6 +182,14 @@ def sm_replace(t: Tables):
     return drawn.select("draw", "o_orderkey", "o_totalprice")
 
 
+@query("sm_resample")
+def sm_resample(t: Tables):
+    """How often each event is drawn when as many are drawn as there are: the
+    number of events by the number of times."""
+    counts = sampling.draw_counts(t.events.select("event_id", "event_type"), ["event_id"], t.events.count(), 19)
+    return counts.groupBy("drawn").agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_type").alias("n_types"))
+
+
 @query(
     "sm_stratified",
     f"""WITH h AS (SELECT o_orderkey, o_orderstatus, {number_sql('o_orderkey', seed=5)} AS h FROM orders),

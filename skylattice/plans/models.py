@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import correlation
 from ..operators import models as ops
-from ..operators import neighbours, sampling, splines
+from ..operators import neighbours, pooling, sampling, splines
 from .catalog import Tables, query, rounded
 from .derived import BUOYS_SQL, buoys, number_sql
 
@@ -288,7 +288,7 @@ def ml_cross_validate_linear(t: Tables):
     """All folds and feature sets from one pass of sums."""
     sets = {"quantity": ["l_quantity"], "both": ["l_quantity", "l_discount"]}
     models = {"linear": lambda: ops.regressor("linear", "l_extendedprice")}
-    return rounded(ops.cross_validate(t.lineitem, sets, models, "l_extendedprice", _LINE_KEY, 5, 51))
+    return rounded(ops.cross_validate(t.lineitem, sets, models, "l_extendedprice", _LINE_KEY, 5, 51), 6)
 
 
 @query("ml_perm_importance")
@@ -323,6 +323,22 @@ def ml_partial_pool(t: Tables):
     return rounded(ops.partial_pool(t.events, "user_id", "value"))
 
 
+@query(
+    "ml_partial_pool_em",
+    """WITH RECURSIVE g AS (SELECT user_id, count(value) AS n, avg(value) AS mean, var_samp(value) AS v FROM events GROUP BY 1 HAVING count(value) > 1 AND var_samp(value) > 0),
+         e AS (SELECT 0 AS i, user_id, n, mean, (n - 1) * v AS squares, v AS own, avg(mean) OVER () AS centre, var_samp(mean) OVER () AS scatter FROM g
+           UNION ALL SELECT i + 1, user_id, n, mean, squares, (squares + n * ((mean - c - m) ** 2 + u)) / n, c, s FROM (
+             SELECT *, sum(n / own * (mean - m)) OVER () / sum(n / own) OVER () AS c, avg(m * m + u) OVER () AS s FROM (
+               SELECT *, scatter * n * (mean - centre) / (own + n * scatter) AS m, scatter * own / (own + n * scatter) AS u FROM e WHERE i < 25)))
+       SELECT user_id, n, round(mean, 4) AS mean, round(sqrt(own), 4) AS sigma, round(scatter * n * (mean - centre) / (own + n * scatter), 4) AS offset,
+              round(centre + scatter * n * (mean - centre) / (own + n * scatter), 4) AS pooled FROM e WHERE i = 25""",
+)
+def ml_partial_pool_em(t: Tables):
+    """Twenty-five rounds, whatever the tolerance."""
+    rows, _ = pooling.pooled_means(t.events, "user_id", "value", tolerance=0.0, most=25)
+    return rounded(rows)
+
+
 _EDGES = f"""{BUOYS_SQL}, d AS (SELECT a.id AS src, b.id AS dst, sqrt((a.longitude - b.longitude) ** 2 + (a.latitude - b.latitude) ** 2) AS w FROM buoys a, buoys b),
   k AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY w, dst) AS r FROM d),
   edges AS (SELECT src, dst, round(w, 2) AS weight FROM k WHERE r <= 3 AND src <> dst AND NOT (src = 2 * dst))"""

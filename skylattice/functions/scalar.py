@@ -14,6 +14,11 @@ HEAT_CAPACITY_AIR = 1005.0
 TEMPERATURE_RANGE_K = (140.0, 320.0)
 MAX_SPECIFIC_HUMIDITY = 0.025
 MAX_PRESSURE_PA = 106000.0
+TYPICAL_VERTICAL_WIND = 0.1
+FIRST_CALM_LEVEL = 51
+MAX_MASS_FLUX = 3.0
+MAX_CONDENSATE = 1.0e-4
+MAX_RATE = {"stratiform_rain": 3.0e-4, "stratiform_snow": 2.0e-4, "convective_rain": 1.0e-3, "convective_snow": 3.0e-4}
 
 
 def wind_u(direction: Column, speed: Column) -> Column:
@@ -71,6 +76,34 @@ def scaled_pressure(p: Column) -> Column:
     return p / F.lit(MAX_PRESSURE_PA)
 
 
+def clipped(value: Column, low: float, high: float) -> Column:
+    """The value, held between both ends; null and NaN stay what they are."""
+    held = F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    return F.when(value.isNull() | F.isnan(value.cast("double")), value).otherwise(held)
+
+
+def scaled_vertical_wind(w: Column, level: Column) -> Column:
+    """In units of a typical wind, between -1 and 1; zero in the calm levels on
+    top, whatever the wind there."""
+    scaled = clipped(w / F.lit(TYPICAL_VERTICAL_WIND), -1.0, 1.0)
+    return F.when(level >= FIRST_CALM_LEVEL, F.lit(0.0)).otherwise(scaled)
+
+
+def scaled_mass_flux(flux: Column) -> Column:
+    """Share of the greatest flux, between 0 and 1."""
+    return clipped(flux / F.lit(MAX_MASS_FLUX), 0.0, 1.0)
+
+
+def scaled_condensate(q: Column) -> Column:
+    """Liquid or ice water."""
+    return q / F.lit(MAX_CONDENSATE)
+
+
+def scaled_rate(rate: Column, kind: str) -> Column:
+    """Precipitation of one kind, each by a rate of its own."""
+    return rate / F.lit(MAX_RATE[kind])
+
+
 def season(month: Column) -> Column:
     return (
         F.when(month.isin(12, 1, 2), "djf")

@@ -31,6 +31,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import keyed_number
 from ..ordered import OrderedRows, exact_quantiles
 from ..session import materialise
 from . import gram
@@ -388,7 +389,7 @@ def permutation_importance(
     """
     spark = df.sparkSession
     plain = OrderedRows(df, [], ids).row_number("__row").finish()
-    hashed = df.select(*features, *ids).withColumn("__h", F.xxhash64(*ids, F.lit(seed)))
+    hashed = df.select(*features, *ids).withColumn("__h", keyed_number(*ids, seed=seed))
     mixed = OrderedRows(hashed, [], ["__h", *ids]).row_number("__row").finish()
     other = mixed.select("__row", *[F.col(f).alias(f"__x_{f}") for f in features])
     both = materialise(plain.join(other, "__row"))

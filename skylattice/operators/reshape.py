@@ -92,6 +92,26 @@ def flatten_dimensions(
     return df.groupBy(*sample_dims, level).agg(*cols).select(sample, level, *features)
 
 
+def training_rows(
+    profiles: DataFrame, sample: Sequence[str], level: str, levels: Sequence[int], inputs: Sequence[str], targets: Sequence[str], surface: DataFrame, fields: Sequence[str]
+) -> DataFrame:
+    """One row per sample: ``inputs`` (all levels of the first profile, then of
+    the next, then the surface fields) and ``targets`` (all levels of each).
+
+    ``profiles`` has a row per sample and level, ``surface`` one per sample.
+    A sample without one of ``levels``, with a null in a profile or a surface
+    field, or without a surface row has no training row; other levels are not
+    looked at. Of repeated levels the greatest value counts.
+    """
+    at = [F.max(F.when(F.col(level) == F.lit(n), F.col(c).cast("double"))).alias(f"__{c}_{n}") for c in [*inputs, *targets] for n in levels]
+    wide = profiles.where(F.col(level).isin(list(levels))).groupBy(*sample).agg(*at)
+    row = wide.join(surface.select(*sample, *[F.col(f).cast("double").alias(f"__f_{f}") for f in fields]), list(sample))
+    inside = [*(f"__{c}_{n}" for c in inputs for n in levels), *(f"__f_{f}" for f in fields)]
+    outside = [f"__{c}_{n}" for c in targets for n in levels]
+    whole = row.dropna(subset=[*inside, *outside])
+    return whole.select(*sample, F.array(*inside).alias("inputs"), F.array(*outside).alias("targets"))
+
+
 def one_hot_levels(label: Column, n: int) -> Column:
     """Class label to an array of ``n`` zeros with one 1."""
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (i == label).cast("int"))

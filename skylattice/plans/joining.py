@@ -288,6 +288,23 @@ def flatten_dims(t: Tables):
     return reshape.flatten_dimensions(long, ["y", "x"], "level", "variable", ["q", "w"], "value")
 
 
+@query(
+    "ft_training_rows",
+    f"""WITH {FIELDS_SQL}, p AS (SELECT y, x, list(humidity ORDER BY level) AS h, list(temperature ORDER BY level) AS c, list(cloud ORDER BY level) AS o
+            FROM fields WHERE level <= 3 GROUP BY 1, 2 HAVING count(*) = 3),
+          r AS (SELECT y, x, list_concat(h, list_concat(c, [s_acctbal, s_nationkey::DOUBLE])) AS i, o FROM p JOIN supplier ON s_suppkey = y)
+        SELECT y, x, len(i) AS n_inputs, round(list_sum(list_transform(range(1, 9), lambda k: k * i[k])), 6) AS inputs, round(o[1] + 10 * o[2] + 100 * o[3], 6) AS targets FROM r""",
+)
+def ft_training_rows(t: Tables):
+    """Three levels of two profiles and two surface fields, with the cloud of all three levels; elements weighed by their place."""
+    surface = t.supplier.select(F.col("s_suppkey").alias("y"), "s_acctbal", "s_nationkey")
+    places = model_fields(t).select("y", "x").distinct()
+    rows = reshape.training_rows(model_fields(t), ["y", "x"], "level", [1, 2, 3], ["humidity", "temperature"], ["cloud"], places.join(surface, "y"), ["s_acctbal", "s_nationkey"])
+    weigh = lambda c: F.aggregate(F.transform(c, lambda v, k: v * (k + 1)), F.lit(0.0), lambda s, v: s + v)
+    targets = F.aggregate(F.transform("targets", lambda v, k: v * F.pow(F.lit(10.0), k)), F.lit(0.0), lambda s, v: s + v)
+    return rows.select("y", "x", F.size("inputs").cast("long").alias("n_inputs"), F.round(weigh(F.col("inputs")), 6).alias("inputs"), F.round(targets, 6).alias("targets"))
+
+
 @query(
     "onehot_rows",
     f"""SELECT vec_id, {', '.join(f"CASE WHEN label = {i} THEN 1 ELSE 0 END AS c{i}" for i in range(10))}, 10 AS size FROM embeddings""",

@@ -119,13 +119,22 @@ def ml_gam(t: Tables):
     return rounded(scored.groupBy("l_linenumber").agg(F.avg("prediction").alias("mean_prediction"), F.avg("l_extendedprice").alias("mean_price")), 2)
 
 
-def _classified(t: Tables, kind: str, label: str, **params):
-    rows = _classes(t)
-    model = ops.classifier(kind, label, **params).fit(rows)
-    scored = model.transform(rows)
+def _held_out(rows, *ids: str):
+    """Rows to learn from, and the others (three in ten), by a number of their id."""
+    parted = sampling.split_random(rows, list(ids), 0.7, 23)
+    return parted.where("part = 'train'").drop("part"), parted.where("part = 'test'").drop("part")
+
+
+def _table(scored, label: str):
     return scored.groupBy(F.col(label).cast("int").alias("observed"), F.col("prediction").cast("int").alias("forecast")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _classified(t: Tables, kind: str, label: str, **params):
+    """Contingency table of rows that the model has not seen."""
+    seen, held = _held_out(_classes(t), "vec_id")
+    return _table(ops.classifier(kind, label, **params).fit(seen).transform(held), label)
+
+
 @query("ml_logreg")
 def ml_logreg(t: Tables):
     return _classified(t, "logistic", "label", maxIter=20, regParam=0.01)
@@ -144,11 +153,9 @@ def ml_tree(t: Tables):
 @query("ml_forest")
 def ml_forest(t: Tables):
     """With balanced class weights."""
-    rows = sampling.class_weights(_classes(t), "event", "weight", balanced=True)
-    model = ops.classifier("forest", "event", "weight", numTrees=10, maxDepth=5).fit(rows)
-    return model.transform(rows).groupBy(F.col("event").cast("int").alias("observed"), F.col("prediction").cast("int").alias("forecast")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    seen, held = _held_out(_classes(t), "vec_id")
+    weighted = sampling.class_weights(seen, "event", "weight", balanced=True)
+    return _table(ops.classifier("forest", "event", "weight", numTrees=10, maxDepth=5).fit(weighted).transform(held), "event")
 
 
 @query("ml_tree_regress")
@@ -163,14 +170,16 @@ def ml_tree_regress(t: Tables):
 
 @query("ml_gbt")
 def ml_gbt(t: Tables):
-    rows = _line_vectors(t)
-    scored = ops.regressor("gbt", "l_extendedprice", maxIter=5, maxDepth=3).fit(rows).transform(rows)
+    seen, held = _held_out(_line_vectors(t), "id")
+    scored = ops.regressor("gbt", "l_extendedprice", maxIter=5, maxDepth=3).fit(seen).transform(held)
     return rounded(scored.groupBy("l_returnflag").agg(F.avg("prediction").alias("mean_prediction"), F.count(F.lit(1)).alias("n")), 2)
 
 
 @query("ml_mlp")
 def ml_mlp(t: Tables):
-    return _classified(t, "mlp", "label", layers=[64, 16, 10], maxIter=30)
+    """As wide as the vectors and the labels are."""
+    sizes = t.embeddings.agg(F.max(F.size("embedding")).alias("width"), F.max("label").alias("last")).first()
+    return _classified(t, "mlp", "label", layers=[sizes["width"], 16, sizes["last"] + 1], maxIter=30)
 
 
 def _labelled(t: Tables):
@@ -241,7 +250,19 @@ def ml_explained_variance(t: Tables):
     return rounded(ops.explained_variance(t.spark, model))
 
 
-@query("ml_chain")
+_THREE = """s AS (SELECT avg(l_extendedprice) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3,
+    var_pop(l_quantity) AS a, covar_pop(l_quantity, l_discount) AS b, covar_pop(l_quantity, l_tax) AS c, var_pop(l_discount) AS d, covar_pop(l_discount, l_tax) AS e,
+    var_pop(l_tax) AS f, covar_pop(l_quantity, l_extendedprice) AS p, covar_pop(l_discount, l_extendedprice) AS q, covar_pop(l_tax, l_extendedprice) AS r FROM lineitem),
+  t AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM s),
+  k AS (SELECT my, m1, m2, m3, ((d * f - e * e) * p + (c * e - b * f) * q + (b * e - c * d) * r) / det AS b1,
+    ((c * e - b * f) * p + (a * f - c * c) * q + (b * c - a * e) * r) / det AS b2, ((b * e - c * d) * p + (b * c - a * e) * q + (a * d - b * b) * r) / det AS b3 FROM t)"""
+
+
+@query(
+    "ml_chain",
+    f"""WITH {_THREE} SELECT l_linenumber, round(avg(my + b1 * (l_quantity - m1) + b2 * (l_discount - m2) + b3 * (l_tax - m3)), 2) AS mean_prediction, count(*) AS n
+        FROM lineitem, k GROUP BY 1""",
+)
 def ml_chain(t: Tables):
     chain = ops.scaled_model(COLUMNS, ops.regressor("linear", "l_extendedprice"))
     scored = chain.fit(_lines(t)).transform(_lines(t))
@@ -291,12 +312,22 @@ def ml_cross_validate_linear(t: Tables):
     return rounded(ops.cross_validate(t.lineitem, sets, models, "l_extendedprice", _LINE_KEY, 5, 51), 6)
 
 
-@query("ml_perm_importance")
+_KEYS = ", ".join(_LINE_KEY)
+
+
+@query(
+    "ml_perm_importance",
+    f"""WITH {_THREE}, o AS (SELECT l_extendedprice AS y, l_quantity AS x1, l_discount AS x2, l_tax AS x3, row_number() OVER (ORDER BY {_KEYS}) AS i FROM lineitem),
+          h AS (SELECT l_quantity AS z1, l_discount AS z2, l_tax AS z3, row_number() OVER (ORDER BY {number_sql(*_LINE_KEY, seed=61)}, {_KEYS}) AS i FROM lineitem),
+          w AS (SELECT o.*, h.* EXCLUDE (i), k.*, my + b1 * (x1 - m1) + b2 * (x2 - m2) + b3 * (x3 - m3) AS fit FROM o JOIN h ON o.i = h.i, k),
+          g AS (SELECT sum((y - fit) ** 2) AS base, sum((y - fit - b1 * (z1 - x1)) ** 2) AS s1, sum((y - fit - b2 * (z2 - x2)) ** 2) AS s2,
+                  sum((y - fit - b3 * (z3 - x3)) ** 2) AS s3, count(*) * var_pop(y) AS about FROM w)
+        SELECT 'l_quantity' AS feature, round((s1 - base) / about, 4) AS importance FROM g UNION ALL SELECT 'l_discount', round((s2 - base) / about, 4) FROM g
+        UNION ALL SELECT 'l_tax', round((s3 - base) / about, 4) FROM g""",
+)
 def ml_perm_importance(t: Tables):
-    # supplier and part make the id unique; equal line items share it
-    rows = _lines(t).select("id", "l_extendedprice", "l_orderkey", *COLUMNS)
-    model = ops.linear_regression(rows, COLUMNS, "l_extendedprice")
-    return rounded(ops.permutation_importance(rows, model, COLUMNS, "l_extendedprice", ["id", "l_orderkey"], 61))
+    model = ops.linear_regression(t.lineitem, COLUMNS, "l_extendedprice")
+    return rounded(ops.permutation_importance(t.lineitem, model, COLUMNS, "l_extendedprice", _LINE_KEY, 61))
 
 
 @query("ml_feature_importance")

@@ -192,6 +192,25 @@ def fn_minmax_fixed(t: Tables):
     )
 
 
+@query(
+    "fn_minmax_clipped",
+    f"""WITH {FIELDS_SQL} SELECT level, y, x, CASE WHEN level * 10 >= 51 THEN 0.0 ELSE round(least(greatest(w / 40 / 0.1, -1.0), 1.0), 9) END AS wind,
+          round(least(greatest(u / 1.25 / 3.0, 0.0), 1.0), 9) AS flux, round(humidity / 1e-4, 9) AS ice, round(cloud / 1000 / 3e-4, 9) AS rain, round(cloud / 1000 / 2e-4, 9) AS snow FROM fields""",
+)
+def fn_minmax_clipped(t: Tables):
+    """Wind that is nothing in the top levels, and clipped shares."""
+    return model_fields(t).select(
+        "level",
+        "y",
+        "x",
+        F.round(fn.scaled_vertical_wind(F.col("w") / 40, F.col("level") * 10), 9).alias("wind"),
+        F.round(fn.scaled_mass_flux(F.col("u") / 1.25), 9).alias("flux"),
+        F.round(fn.scaled_condensate(F.col("humidity")), 9).alias("ice"),
+        F.round(fn.scaled_rate(F.col("cloud") / 1000, "stratiform_rain"), 9).alias("rain"),
+        F.round(fn.scaled_rate(F.col("cloud") / 1000, "stratiform_snow"), 9).alias("snow"),
+    )
+
+
 @query(
     "fn_euclid_label",
     """SELECT p_partkey, CAST(sqrt((p_size - 10) ** 2 + (p_retailprice - 910) ** 2) < 10 AS INTEGER) AS near_a,

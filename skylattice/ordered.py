@@ -3,8 +3,8 @@
 ``Window.partitionBy(series)`` sends a series to one task. A series may hold a
 third of all rows, so scans here cut the rows of all series, in order, in even
 partitions, work on each alone and carry one row per partition over the
-borders (``OrderedRows``). Quantiles cut values in chunks at approximate
-quantiles and order only the chunk that holds the wanted rank.
+borders (``OrderedRows``). Quantiles are bracketed by mergeable sketches, and
+only the values in a bracket are put in order.
 
 Only the balance is approximate; every result is exact.
 """
@@ -17,59 +17,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .session import materialise
 
-CHUNK = "__chunk"
 BROADCAST_ROWS = 200_000
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """The order key as a double; never decreasing in the key.
-
-    Strings are ordered by their bytes; their first six make the number.
-    """
-    dtype = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(dtype, T.StringType):
-        col = F.conv(F.rpad(F.substring(F.hex(col), 1, 12), 12, "0"), 16, 10)
-    elif isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        col = col.cast("timestamp")
-    elif not isinstance(dtype, (T.TimestampType, T.NumericType)):
-        raise TypeError(f"order key {name} must be numeric, a string, a date or a timestamp, not {dtype}")
-    return col.cast("double")
-
-
 def default_chunks(df: DataFrame) -> int:
     """As many chunks as the session has shuffle partitions."""
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_chunks(df: DataFrame, order: str, n_chunks: int | None = None) -> DataFrame:
-    """Add the chunk number along ``order``.
-
-    Borders are approximate quantiles of the order key, found in one pass over
-    that one column.
-    """
-    n = n_chunks or default_chunks(df)
-    keys = df.select(order_number(df, order).alias("__key")).where(F.col("__key").isNotNull())
-    cuts = keys.approxQuantile("__key", [i / n for i in range(1, n)], 1.0 / (4 * n)) if n > 1 else []
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return df.withColumn(CHUNK, F.lit(0))
-    splitter = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="__key", outputCol="__bucket", handleInvalid="keep"
-    )
-    placed = splitter.transform(df.withColumn("__key", order_number(df, order)))
-    # rows without an order key sort first in Spark: give them the first chunk
-    chunk = F.when(F.col("__key").isNull(), F.lit(-1)).otherwise(F.col("__bucket").cast("int"))
-    return placed.withColumn(CHUNK, chunk).drop("__key", "__bucket")
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join in which equal nulls match; the right keys are dropped."""
     names = {k: f"__rk{i}" for i, k in enumerate(keys)}
@@ -360,66 +321,142 @@ def bounded_frame(
     return blocks.where(F.col("__block") == F.col("__home")).drop("__block", "__home", "__pos")
 
 
+#: Size of a quantile sketch, and the error of its ranks (as a share of the
+#: values) that is allowed for: twice what it keeps to in 99 of 100 cases.
+SKETCH = 2048
+RANK_ERROR = 2 * 2.296 / SKETCH**0.9021
+#: Steps in which a sketch is read.
+GRID = 512
+#: Distinct values of a group that are put in order together for one rank.
+ORDERED_VALUES = 500_000
+#: After as many rounds a bracket is put in order as it is.
+MOST_ROUNDS = 8
+
+
+def _values(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    known = df.select(*group, F.col(value).alias("__v"), F.col(value).cast("double").alias("__d"))
+    return known.where(F.col("__d").isNotNull() & ~F.isnan("__d"))
+
+
+def quantile_sketches(df: DataFrame, group: Sequence[str], value: str, out: str = "sketch") -> DataFrame:
+    """A sketch of each group's values. Sketches of parts of a group (days,
+    files) can be kept and put together by :func:`merged_sketches`."""
+    return _values(df, group, value).groupBy(*group).agg(F.kll_sketch_agg_double("__d", F.lit(SKETCH)).alias(out))
+
+
+def merged_sketches(parts: DataFrame, group: Sequence[str], sketch: str = "sketch") -> DataFrame:
+    return parts.groupBy(*group).agg(F.kll_merge_agg_double(sketch).alias(sketch))
+
+
 def exact_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float], n_chunks: int | None = None
+    df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float], most: int = ORDERED_VALUES, sketches: DataFrame | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per (group, prob).
 
-    The chunk that holds a wanted rank is found from row counts per chunk;
-    only the rows of such chunks are kept, their equal values counted before
-    the shuffle, and the distinct values of a chunk ordered. No task sees all
-    values of a group.
-    """
-    group = list(group)
-    known = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("__v"))
-    base = with_chunks(known, "__v", n_chunks)
-    keys = [*group, CHUNK]
-    per_chunk = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cn"))
-    upto = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    per_chunk = per_chunk.select(
-        *keys,
-        "__cn",
-        F.coalesce(F.sum("__cn").over(upto), F.lit(0)).alias("__before"),
-        F.sum("__cn").over(whole).alias("__total"),
-    )
-    last = (F.col("__total") - 1).cast("double")
-    wanted = []
-    for p in probs:
-        at = F.lit(float(p)) * last
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            wanted.append(
-                F.struct(
-                    F.lit(float(p)).alias("prob"),
-                    F.lit(side).alias("side"),
-                    rank.cast("long").alias("rank"),
-                    (at - F.floor(at)).alias("frac"),
-                )
-            )
-    inside = lambda r: (r["rank"] >= F.col("__before")) & (r["rank"] < F.col("__before") + F.col("__cn"))
-    need = per_chunk.select(*keys, "__before", F.filter(F.array(*wanted), inside).alias("__need")).where(
-        F.size("__need") > 0
-    )
-    # written, so that Spark knows its bytes and broadcasts it only where it is small
-    kept = join_null_safe(base, materialise(need), keys, "inner")
-    rows = kept.groupBy(*keys, "__v", "__before", "__need").agg(F.count(F.lit(1)).alias("__n"))
-    run = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("__end", F.sum("__n").over(run) + F.col("__before"))
-    here = lambda r: (r["rank"] < F.col("__end")) & (r["rank"] >= F.col("__end") - F.col("__n"))
-    hits = rows.select(*group, "__v", F.explode(F.filter("__need", here)).alias("__r"))
-    picked = hits.groupBy(*group, F.col("__r.prob").alias("prob")).agg(
-        F.max(F.when(F.col("__r.side") == "lo", F.col("__v"))).alias("__lo"),
-        F.max(F.when(F.col("__r.side") == "hi", F.col("__v"))).alias("__hi"),
-        F.max("__r.frac").alias("__frac"),
-    )
-    return picked.select(
-        *group, "prob", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__frac")).alias("quantile")
-    )
-
+    A sketch of each group brackets the ranks that are wanted. One more pass
+    counts values outside all brackets, and equal ones inside them together,
+    before the shuffle; only what is inside a bracket is put in order. A
+    bracket with more than ``most`` distinct values is sketched again, from
+    its own values, and one that missed its rank (a sketch errs by chance) is
+    opened to the ends: the result is exact whatever the sketch.
 
-def quantile_columns(df: DataFrame, group: Sequence[str], value: str, named: dict[str, float], n_chunks: int | None = None):
+    ``sketches`` (group, sketch) may be given if there are some already. Nulls
+    and NaNs are no values; a group without any has no row.
+    """
+    group, probs = list(group), sorted({float(p) for p in probs})
+    known = _values(df, group, value)
+    held = sketches if sketches is not None else quantile_sketches(df, group, value)
+    ranks = range(2 * len(probs))
+    n = F.kll_sketch_get_n_double("sketch")
+    at = lambda r: F.lit(probs[r // 2]) * (F.col("n") - 1).cast("double")
+    rank = [(F.ceil(at(r)) if r % 2 else F.floor(at(r))).cast("long").alias(f"rank{r}") for r in ranks]
+    base = held.select(*group, _grid("sketch").alias("grid"), n.alias("n")).select("*", *rank)
+    ends = {f"{e}{r}": _end(F.col(f"rank{r}"), F.col("n"), e == "hi") for r in ranks for e in ("lo", "hi")}
+    wanted = materialise(base.select(*group, "n", *[f"rank{r}" for r in ranks], *[c.alias(k) for k, c in ends.items()]))
+    counted = materialise(_counted(known, wanted, group, ranks))
+    inside = counted.where("a > c").withColumn("r", F.explode(F.sequence(F.col("c"), F.col("a") - 1))).select(*group, "r", "__v", "m")
+    asked = F.array(*[F.struct(F.lit(r).alias("r"), F.col(f"rank{r}").alias("rank"), F.col(f"lo{r}").alias("lo"), F.col(f"hi{r}").alias("hi")) for r in ranks])
+    brackets = wanted.select(*group, F.inline(asked))
+    early = [F.sum(F.when(F.col("a") <= r, F.col("m")).otherwise(F.lit(0).cast("long"))).alias(f"b{r}") for r in ranks]
+    before = counted.groupBy(*group).agg(*early)
+    before = before.select(*group, F.inline(F.array(*[F.struct(F.lit(r).alias("r"), F.col(f"b{r}").alias("before")) for r in ranks])))
+    by, found = [*group, "r"], None
+    for turn in range(MOST_ROUNDS):
+        state = materialise(_state(brackets, before, inside, by))
+        ready = (F.col("inside") <= most) | F.lit(turn == MOST_ROUNDS - 1)
+        run = Window.partitionBy(*by).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+        chosen = join_null_safe(inside, state.where(F.col("hit") & ready).select(*by, "rank", "before"), by, "inner")
+        chosen = chosen.withColumn("end", F.sum("m").over(run) + F.col("before"))
+        here = (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("m"))
+        picked = materialise(chosen.where(here).select(*by, "__v"))
+        found = picked if found is None else found.unionByName(picked)
+        left = state.where(~(F.col("hit") & ready))
+        if left.isEmpty():
+            break
+        brackets = materialise(_narrowed(known, left, group, by))
+        low, high = F.coalesce(F.col("__d") < F.col("lo"), F.lit(False)), F.coalesce(F.col("__d") > F.col("hi"), F.lit(False))
+        seen = attach(known, brackets, group, "inner").where(~high)
+        counted = materialise(seen.groupBy(*by, F.when(~low, F.col("__v")).alias("__v")).agg(F.count(F.lit(1)).alias("m")))
+        before, inside = counted.where(F.col("__v").isNull()).select(*by, F.col("m").alias("before")), counted.where(F.col("__v").isNotNull())
+    sides = [F.max(F.when(F.col("r") == r, F.col("__v"))).alias(f"v{r}") for r in ranks]
+    values = join_null_safe(wanted.select(*group, "n"), found.groupBy(*group).agg(*sides), group)
+    rows = []
+    for k, p in enumerate(probs):
+        low, high, share = F.col(f"v{2 * k}"), F.col(f"v{2 * k + 1}"), at(2 * k) - F.floor(at(2 * k))
+        rows.append(F.struct(F.lit(p).alias("prob"), F.when(low == high, low.cast("double")).otherwise(low + (high - low) * share).alias("quantile")))
+    return values.select(*group, F.inline(F.array(*rows)))
+
+
+def _grid(sketch: str) -> Column:
+    """Values at even shares of a sketch."""
+    return F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))
+
+
+def _end(rank: Column, n: Column, high: bool) -> Column:
+    """An end of the bracket of a rank, from the column ``grid``; null if it is open."""
+    share = (rank + 1) / n + F.lit(RANK_ERROR) if high else rank / n - F.lit(RANK_ERROR)
+    at = (F.ceil(share * GRID) if high else F.floor(share * GRID)).cast("int")
+    return F.when(at < GRID if high else at > 0, F.get("grid", at))
+
+
+def _counted(known: DataFrame, brackets: DataFrame, group: list[str], ranks: range) -> DataFrame:
+    """Values by how many brackets have begun (a) and ended (c) before them.
+
+    Brackets come in the order of their ranks, so a value is inside those from
+    c on to the one before a. Values inside none are one row per (a, c).
+    """
+    rows = attach(known, brackets, group, "inner")
+    begun = sum([F.coalesce(F.col("__d") >= F.col(f"lo{r}"), F.lit(True)).cast("int") for r in ranks], F.lit(0))
+    ended = sum([F.coalesce(F.col("__d") > F.col(f"hi{r}"), F.lit(False)).cast("int") for r in ranks], F.lit(0))
+    rows = rows.select(*group, "__v", begun.alias("a"), ended.alias("c"))
+    kept = F.when(F.col("a") > F.col("c"), F.col("__v")).alias("__v")
+    return rows.groupBy(*group, "a", "c", kept).agg(F.count(F.lit(1)).alias("m"))
+
+
+def _state(brackets: DataFrame, before: DataFrame, inside: DataFrame, by: list[str]) -> DataFrame:
+    """For each bracket the values before it, the distinct and all values in
+    it, and whether they hold its rank."""
+    sizes = inside.groupBy(*by).agg(F.count(F.lit(1)).alias("inside"), F.sum("m").alias("all"))
+    rows = join_null_safe(join_null_safe(brackets, before, by), sizes, by).fillna(0, ["before", "inside", "all"])
+    return rows.withColumn("hit", (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("all")))
+
+
+def _narrowed(known: DataFrame, left: DataFrame, group: list[str], by: list[str]) -> DataFrame:
+    """Brackets (by, rank, lo, hi) of the ranks that are left: missed ones are
+    open, crowded ones come from a sketch of their own values."""
+    held = left.where("hit").select(*by, "lo", "hi")
+    rows = attach(known, held, group, "inner").where("(lo IS NULL OR __d >= lo) AND (hi IS NULL OR __d <= hi)")
+    sketched = rows.groupBy(*by).agg(F.kll_sketch_agg_double("__d", F.lit(SKETCH)).alias("sketch"), F.count(F.lit(1)).alias("k"))
+    own = join_null_safe(left, sketched.select(*by, "k", _grid("sketch").alias("grid")), by)
+    rank = F.col("rank") - F.col("before")
+    # an end that stays open is the one that the bracket had
+    low, high = (F.coalesce(_end(rank, F.col("k"), e == "hi"), F.col(e)) for e in ("lo", "hi"))
+    return own.select(*by, "rank", F.when(F.col("hit"), low).alias("lo"), F.when(F.col("hit"), high).alias("hi"))
+
+
+def quantile_columns(df: DataFrame, group: Sequence[str], value: str, named: dict[str, float]) -> DataFrame:
     """Exact quantiles as one row per group, one column per entry of ``named``."""
-    long = exact_quantiles(df, group, value, sorted(set(named.values())), n_chunks)
+    long = exact_quantiles(df, group, value, sorted(set(named.values())))
     cols = [F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(n) for n, p in named.items()]
     return long.groupBy(*group).agg(*cols)
 

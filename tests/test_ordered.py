@@ -94,6 +94,42 @@ def test_quantiles_with_a_hot_value(spark):
         assert r["quantile"] == pytest.approx(np.quantile(pdf.v[pdf.g == r["g"]], r["prob"]))
 
 
+@pytest.mark.parametrize("most", [ordered.ORDERED_VALUES, 40])
+def test_brackets_are_narrowed_and_missed_ones_opened(spark, monkeypatch, most):
+    """Crowded brackets in rounds; sketches so poor that they miss ranks."""
+    monkeypatch.setattr(ordered, "SKETCH", 8)
+    monkeypatch.setattr(ordered, "RANK_ERROR", 0.01)
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"g": rng.choice(["x", None], 6000, p=[0.95, 0.05]), "v": rng.normal(size=6000)})
+    probs = [0.0, 0.01, 0.5, 0.51, 1.0]
+    got = ordered.exact_quantiles(spark.createDataFrame(pdf, "g string, v double"), ["g"], "v", probs, most).collect()
+    assert len(got) == 10
+    for r in got:
+        assert r["quantile"] == pytest.approx(np.quantile(pdf.v[pdf.g.isna() if r["g"] is None else pdf.g == r["g"]], r["prob"]))
+
+
+def test_sketches_of_days_merge(spark):
+    """Kept sketches of days serve for the quantiles of all days."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.choice(["x", "y"], 5000), "day": rng.integers(0, 7, 5000), "v": rng.gamma(2, 3, 5000)})
+    df = spark.createDataFrame(pdf)
+    days = ordered.quantile_sketches(df, ["g", "day"], "v")
+    merged = ordered.merged_sketches(days, ["g"])
+    for r in merged.select("g", F.kll_sketch_get_n_double("sketch").alias("n"), F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)).alias("q")).collect():
+        own = np.sort(pdf.v[pdf.g == r["g"]])
+        assert r["n"] == len(own) and abs(np.searchsorted(own, r["q"]) / len(own) - 0.5) < ordered.RANK_ERROR
+    got = ordered.exact_quantiles(df, ["g"], "v", [0.25, 0.9], sketches=merged).collect()
+    for r in got:
+        assert r["quantile"] == pytest.approx(np.quantile(pdf.v[pdf.g == r["g"]], r["prob"]))
+
+
+def test_quantiles_leave_out_what_is_no_value(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", None), ("a", float("inf")), ("b", None)], "g string, v double")
+    got = {(r["g"], r["prob"]): r["quantile"] for r in ordered.exact_quantiles(df, ["g"], "v", [0.0, 1.0]).collect()}
+    assert got == {("a", 0.0): 1.0, ("a", 1.0): float("inf")}
+    assert ordered.exact_quantiles(df.limit(0), ["g"], "v", [0.5]).count() == 0
+
+
 def test_quantile_of_one_and_of_equal_values(spark):
     df = spark.createDataFrame([("one", 4.0), ("same", 2.0), ("same", 2.0), ("none", None)], "g string, v double")
     got = {r["g"]: r["quantile"] for r in ordered.exact_quantiles(df, ["g"], "v", [0.3]).collect()}

@@ -63,3 +63,39 @@ def test_contingency_counts_nulls_as_no_event(spark):
     got = windows.windowed_contingency(rows, "ts", "o", "f", "30 days", "1 hour").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]).first()
     want = verification.contingency(rows, F.col("o") == 1, F.col("f") == 1).first()
     assert tuple(got) == tuple(want[c] for c in ("tp", "fp", "fn", "tn")) == (1, 1, 1, 0)
+
+
+def test_fills_and_lags_with_late_rows(spark):
+    """Files that come out of order, through a watermark, against the batch operators."""
+    import numpy as np
+
+    from skylattice.operators import timeseries
+    from skylattice.streaming import series
+
+    rng = np.random.default_rng(0)
+    base = 1_700_000_000
+    rows = []
+    for i in range(240):
+        # in files of 40, each up to 300 seconds out of order
+        rows.append((i, ["a", "b"][int(rng.random() < 0.3)], base + 60 * i + int(rng.integers(-300, 300)), None if rng.random() < 0.5 else float(i)))
+    rows.append((998, "a", base - 900_000, 1.0))  # in the last file: far too late
+    rows.append((999, "a", base + 10_000_000, 9.0))  # moves the watermark past all others
+    raw = "id long, k string, t long, v double"
+    typed = lambda d: d.withColumn("t", F.timestamp_seconds("t"))
+    source = scratch_path(spark, "late")
+    for n in range(0, len(rows), 40):
+        spark.createDataFrame(rows[n : n + 40], raw).coalesce(1).write.mode("append").parquet(source)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = typed(spark.readStream.schema(raw).option("maxFilesPerTrigger", 1).parquet(source))
+        out = series.filled_and_lagged(stream, "k", "t", ["id"], "v", 2, 3, "15 minutes")
+        query = out.writeStream.format("memory").queryName("filled").option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start()
+        query.awaitTermination(300)
+        got = {r["id"]: (r["filled"], r["lagged"]) for r in spark.table("filled").collect()}
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    batch = typed(spark.createDataFrame([r for r in rows if r[0] < 998], raw))
+    filled = timeseries.fill_forward(batch, ["k"], ["t", "id"], ["v"], 2).select("id", "v")
+    lagged = timeseries.lagged(batch, ["k"], ["t", "id"], "v", 3, "before").select("id", "before")
+    want = {r["id"]: (r["v"], r["before"]) for r in filled.join(lagged, "id").collect()}
+    assert got == want

@@ -474,17 +474,24 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     return salted_join(df, stats, keys, how)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: at most ``1/share`` rows."""
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None) -> DataFrame:
+    """Keys with more rows than an even partition has, and in how many parts
+    (``__salts``) each must be cut so that none has more.
+
+    ``share`` of all rows is one over the shuffle partitions by default; there
+    are at most ``1/share`` such keys.
+    """
+    share = share or 1.0 / default_chunks(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return counts.where(F.col("__n") > F.lit(share) * total).select(*keys)
+    even = F.lit(share) * df.agg(F.count(F.lit(1)).alias("t")).scalar()
+    return counts.where(F.col("__n") > even).select(*keys, F.ceil(F.col("__n") / even).cast("int").alias("__salts"))
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 32, share: float = 0.01
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salts: int | None = None, share: float | None = None
 ) -> DataFrame:
-    """Join in which the rows of a hot left key are spread over ``salts`` tasks.
+    """Join in which the rows of a hot left key are spread over several tasks,
+    as many as they would fill (or ``salts``).
 
     Only hot keys are salted and only their right rows are copied. ``how`` is
     one of inner, left, left_semi and left_anti. Null keys match null keys.
@@ -492,14 +499,12 @@ def salted_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do {how}")
     # at most 1/share rows, so the broadcasts below are bounded
-    hot = materialise(hot_keys(left, keys, share).withColumn("__hot", F.lit(True)))
+    hot = hot_keys(left, keys, share)
+    hot = materialise(hot if salts is None else hot.withColumn("__salts", F.lit(salts)))
     # salt from the row's own content, so a repeated task gives the same salt
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c, t in left.dtypes if not t.startswith("map")]), F.lit(salts))
-    big = join_null_safe(left, F.broadcast(hot), keys).withColumn(
-        "__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)).cast("int")
-    )
-    small = join_null_safe(right, F.broadcast(hot), keys).withColumn(
-        "__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    )
-    joined = join_null_safe(big.drop("__hot"), small.drop("__hot"), [*keys, "__salt"], how)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c, t in left.dtypes if not t.startswith("map")]), F.col("__salts"))
+    big = join_null_safe(left, F.broadcast(hot), keys).withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int"))
+    every = F.when(F.col("__salts").isNotNull(), F.sequence(F.lit(0), F.col("__salts") - 1)).otherwise(F.array(F.lit(0)))
+    small = join_null_safe(right, F.broadcast(hot), keys).withColumn("__salt", F.explode(every))
+    joined = join_null_safe(big.drop("__salts"), small.drop("__salts"), [*keys, "__salt"], how)
     return joined.drop("__salt")

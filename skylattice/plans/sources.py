@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import sources as io
 from ..operators import aggregates, sampling
 from ..session import scratch_path
+from ..sources import zorder
 from .catalog import Tables, query, rounded
 from .derived import FIELDS_SQL, model_fields, unit_sql
 
@@ -170,6 +171,19 @@ def src_constraint(t: Tables):
     )
 
 
+@query(
+    "src_places",
+    """SELECT l_linenumber, count(*) AS n, sum(CAST(l_quantity AS BIGINT))::BIGINT AS total FROM lineitem
+       WHERE l_quantity BETWEEN 10 AND 14 AND l_extendedprice BETWEEN 12000 AND 20000 GROUP BY 1""",
+)
+def src_places(t: Tables):
+    """Written in the order of two coordinates; a box of them is read."""
+    path = scratch_path(t.spark, "places")
+    zorder.write_places(t.lineitem.select("l_linenumber", "l_quantity", "l_extendedprice"), path, ["l_quantity", "l_extendedprice"])
+    rows = zorder.read_box(t.spark, path, {"l_quantity": (10.0, 14.0), "l_extendedprice": (12000.0, 20000.0)})
+    return rows.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("total"))
+
+
 @query(
     "snk_table",
     """SELECT l_returnflag, year(l_shipdate) AS year, count(*) AS n, round(sum(l_extendedprice), 2) AS total

@@ -157,6 +157,15 @@ def test_salting_spreads_the_hot_key(spark):
         ordered.salted_join(left, left, ["k"], "full")
 
 
+def test_keys_are_cut_by_what_a_partition_holds(spark):
+    """Half of the rows, an eighth, and rare keys; a key of just under one in a hundred rows is cut too if partitions are many."""
+    df = spark.range(16_000).select("id", F.when(F.col("id") % 2 == 0, -1).when(F.col("id") % 8 == 1, -2).otherwise(F.col("id")).alias("k"))
+    assert {r.k: r["__salts"] for r in ordered.hot_keys(df, ["k"], 1 / 16).collect()} == {-1: 8, -2: 2}
+    assert {r.k: r["__salts"] for r in ordered.hot_keys(df, ["k"], 1 / 200).collect()} == {-1: 100, -2: 25}
+    joined = ordered.salted_join(df, spark.createDataFrame([(-1, "a"), (-2, "b"), (3, "c")], "k long, v string"), ["k"], share=1 / 200)
+    assert {r.v: r["count"] for r in joined.groupBy("v").count().collect()} == {"a": 8000, "b": 2000, "c": 1}
+
+
 def test_attach_beyond_the_broadcast_bound(spark):
     df = spark.range(200).select("id", (F.col("id") % 10).alias("k"))
     stats = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))

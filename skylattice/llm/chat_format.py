@@ -202,7 +202,7 @@ def format_chats(df: DataFrame, conversation: str = "conv_id", turn: str = "turn
     short = short.select(F.col("c").isNull().alias("absent"), "c", "role", "text").mapInPandas(whole, schema)
     # messages of long conversations are numbered, and cut at equal lengths
     many = rows.join(long.select("lc"), match, "left_semi")
-    numbered = number_rows(many, [F.col("c"), F.col("t"), F.col("role"), F.xxhash64("text")], "at")
+    numbered = number_rows(many, [F.col("c"), F.col("t"), F.col("role"), F.col("text")], "at")
     firsts = numbered.groupBy("c").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).withColumnRenamed("c", "fc")
     placed = numbered.join(firsts, F.col("c").eqNullSafe(F.col("fc"))).withColumn("at", F.col("at") - F.col("first"))
     placed = placed.withColumns({"segment": F.floor(F.col("at") / segment), "final": F.floor((F.col("n") - 1) / segment)})

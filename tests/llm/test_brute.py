@@ -251,6 +251,28 @@ def test_chat_segments_join(spark):
     assert whole == {k: (cost[k], text[k]) for k in text}
 
 
+def test_ties_have_one_order_in_long_and_short_chats(spark):
+    """Messages of one turn and role stand in the order of their texts, in one piece or many."""
+    chats = spark.createDataFrame([(1, 0, "user", t) for t in "gbdfcae"] + [(1, 0, "user", None)], "conv_id long, turn long, role string, text string")
+    whole = chat_format.format_chats(chats).collect()[0]["rendered"]
+    assert re.findall(r"^([a-g])(?:<.end.>)?$", whole, re.MULTILINE) == [*"abcdefg"]
+    for segment in (1, 2, 3):
+        assert "".join(r["rendered"] for r in sorted(chat_format.format_chats(chats, segment=segment).collect(), key=lambda r: r["segment"])) == whole
+
+
+def test_chat_query_costs_least(spark):
+    """op2's costs and counts against all repairs of the short conversations."""
+    roles = defaultdict(list)
+    for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").orderBy("conv_id", "turn", "role", "text").collect():
+        roles[r["conv_id"]].append(r["role"])
+    rows = queries.op2_chat_format(spark, FOLDER).collect()
+    assert {r["conv_id"] for r in rows} == set(roles)
+    short = [r for r in rows if r["n_messages"] <= 4]
+    assert len(short) > 20
+    for r in short:
+        assert r["n_messages"] == len(roles[r["conv_id"]]) and r["cost"] == cheapest(roles[r["conv_id"]])
+
+
 def test_pipeline_by_stage(spark):
     """Each stage's rows follow from its input by the plain versions above."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

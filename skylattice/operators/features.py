@@ -109,14 +109,19 @@ def standardise_profile(profile: Column) -> Column:
 SEPARATORS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
 
+def pieces(text: Column) -> Column:
+    """Lower-case words, and an empty one between separators that touch."""
+    return F.split(F.translate(F.lower(text), SEPARATORS, " " * len(SEPARATORS)), " ")
+
+
 def tokens(text: Column) -> Column:
     """Lower-case words; punctuation separates."""
-    words = F.split(F.translate(F.lower(text), SEPARATORS, " " * len(SEPARATORS)), " ")
-    return F.filter(words, lambda w: w != "")
+    return F.filter(pieces(text), lambda w: w != "")
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
-    words = df.select(F.explode(tokens(F.col(text))).alias("word"))
+    # empty pieces are left out as rows, which needs no function per element
+    words = df.select(F.explode(pieces(F.col(text))).alias("word")).where(F.col("word") != "")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -141,7 +146,7 @@ def bag_of_ids(df: DataFrame, text: str, vocab: DataFrame, length: int = 20, out
     if not ids:
         return df.withColumn(out, F.array_repeat(F.lit(0), F.lit(length)))
     lookup = F.create_map(*[F.lit(v) for pair in ids.items() for v in pair])
-    known = F.filter(tokens(F.col(text)), lambda w: w.isin(list(ids)))
+    known = F.filter(pieces(F.col(text)), lambda w: w.isin(list(ids)))
 
     def last(words: Column) -> Column:
         kept = F.slice(words, F.greatest(F.size(words) - length + 1, F.lit(1)), F.lit(length))

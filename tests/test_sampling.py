@@ -75,3 +75,12 @@ def test_masked_station(spark):
 def test_hash_buckets(df):
     b = df.select("id", features.hash_bucket(F.col("id")).alias("b"))
     assert {r.b for r in b.select("b").distinct().collect()} == set(range(10))
+
+
+def test_known_words_far_from_the_end(spark):
+    """The last known words of a text count wherever they stand."""
+    far = "sun, moon " + "x " * 1000 + "star"
+    df = spark.createDataFrame([(1, far), (2, "Moon!!sun  star " * 300), (3, "nothing"), (4, ""), (5, "x " * 600)], "id long, text string")
+    vocab = spark.createDataFrame([("sun", 1), ("moon", 2), ("star", 3)], "word string, word_id int")
+    got = {r.id: r.ids for r in features.bag_of_ids(df, "text", vocab, 4).collect()}
+    assert got == {1: [1, 2, 3, 0], 2: [3, 2, 1, 3], 3: [0] * 4, 4: [0] * 4, 5: [0] * 4}

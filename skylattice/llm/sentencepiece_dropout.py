@@ -7,17 +7,20 @@ falls below the dropout: the same merge type is then skipped everywhere in
 that variant, and another seed or variant gives other segmentations. What no
 piece covers is written as byte pieces, and so is a literal U+2581, which the
 pieces use for the blank; decoding therefore gives every text back exactly.
+Whether a merge type is skipped is looked up once for each variant.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,21 +32,40 @@ from .common import spare
 BLANK = "▁"
 #: Segmentations over which rows are dealt.
 VARIANTS = 4
-#: Chunks whose identifiers a worker keeps, over all variants; beyond that it starts anew.
-KEPT_CHUNKS = 700_000
+#: Chunks whose identifiers a worker keeps, over all variants, in each of two
+#: generations: what is asked for again in the younger one outlives the older one.
+KEPT_CHUNKS = 600_000
 #: Chunks up to this length are merged with a list for an agenda, longer ones with a heap.
 SHORT = 64
-NONE = 1 << 40
+#: A symbol is a piece's identifier, or for a character without one its code
+#: point above all identifiers; two symbols make one number.
+BITS = 22
+MASK = (1 << BITS) - 1
+NONE = 1 << 62
 #: Rows whose identifiers are held at a time.
 ROWS = 500
 #: Kinds of character; the pieces of a vocabulary seldom mix them.
 KINDS = {"space": r"[\t\n\r]", "mark": r"[!-/:-@\[-`{-~]", "other": rf"[^\t\n\r!-/:-@\[-`{{-~{BLANK}]"}
 
 
+@lru_cache(maxsize=None)
 def kind(character: str) -> str:
     return next((k for k, p in KINDS.items() if re.match(p, character)), "blank")
 
 
+class Symbols(dict):
+    """Character to symbol."""
+
+    def __init__(self, ids: dict[str, int], base: int):
+        super().__init__((c, i) for c, i in ids.items() if len(c) == 1)
+        self.base = base
+
+    def __missing__(self, character: str) -> int:
+        # one entry for a code point at most
+        symbol = self[character] = self.base + ord(character)
+        return symbol
+
+
 class Pieces:
     """The pieces of a model file and the places no merge can cross."""
 
@@ -60,10 +82,24 @@ class Pieces:
         self.ranks = {p: rank for rank, p in enumerate(order)}
         self.surface = [n.replace(BLANK, " ") if n in self.ids else "" for n in self.names]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.spelled = [bytes([self.byte_of[i]]) if i in self.byte_of else x.encode() for i, x in enumerate(self.surface)]
+        self.base = len(self.names)
+        self.symbols = Symbols(self.ids, self.base)
+        self.merges = [*self._merge_types()]
         if len(self.byte_ids) != 256:
             raise ValueError("a model with byte pieces is needed to decode every text")
         self.chunks = re.compile(self._chunk_pattern(), re.DOTALL).findall
 
+    def _merge_types(self) -> Iterator[tuple[str, str, int, int]]:
+        """Every piece cut in two symbols: both parts, the number of the pair,
+        and the rank of the piece above its identifier."""
+        for rank, piece in enumerate(self.ordered):
+            for cut in range(1, len(piece)):
+                left, right = piece[:cut], piece[cut:]
+                if (len(left) == 1 or left in self.ids) and (len(right) == 1 or right in self.ids):
+                    one, two = (self.symbols[x] if len(x) == 1 else self.ids[x] for x in (left, right))
+                    yield left, right, one << BITS | two, rank << BITS | self.ids[piece]
+
     def _chunk_pattern(self) -> str:
         """Matches stretches that can be encoded one by one.
 
@@ -80,98 +116,95 @@ class Pieces:
         return f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+"
 
 
-class SkippedMerges(dict):
-    """Whether a merge type is skipped, by the joined piece's rank and the left
-    piece's length; the keyed hash is taken of the two pieces."""
-
-    def __init__(self, pieces: Pieces, key: str, dropout: float):
-        super().__init__()
-        self.pieces, self.key, self.limit = pieces, key, int(dropout * 2**64)
-
-    def __missing__(self, merge: tuple[int, int]) -> bool:
-        rank, cut = merge
-        joined = self.pieces.ordered[rank]
-        keyed = f"{self.key}\0{joined[:cut]}\0{joined[cut:]}".encode()
-        skip = self[merge] = xxhash.xxh64_intdigest(keyed) < self.limit
-        return skip
+def allowed_merges(pieces: Pieces, key: str, dropout: float) -> dict[int, int]:
+    """Pairs of symbols that may be merged, with the rank of the joined piece
+    above its identifier. A merge type is left out, and so skipped whenever it
+    comes up, if the keyed hash of its two pieces falls below the dropout."""
+    limit = int(dropout * 2**64)
+    if not limit:
+        return {k: v for _, _, k, v in pieces.merges}
+    kept = {}
+    for left, right, k, v in pieces.merges:
+        if xxhash.xxh64_intdigest(f"{key}\0{left}\0{right}".encode()) >= limit:
+            kept[k] = v
+    return kept
 
 
 class Encoder(dict):
-    """Chunk to identifiers in one variant, filled when first asked for."""
+    """Chunk to identifiers in one variant, as packed 32-bit numbers, filled
+    when first asked for. Long chunks are worked out each time, so what is
+    kept is bounded in bytes too."""
 
     def __init__(self, pieces: Pieces, key: str, dropout: float, kept: int):
         super().__init__()
-        self.kept = kept
+        self.kept, self.older = kept, {}
         self.pieces = pieces
-        self.skipped = SkippedMerges(pieces, key, dropout) if dropout > 0 else None
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        if len(self) >= self.kept:
-            self.clear()
-        ids = self[chunk] = self._encode(chunk)
+        self.merges = allowed_merges(pieces, key, dropout)
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self._encode(chunk)
+        if len(chunk) <= SHORT:
+            if len(self) >= self.kept:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
         return ids
 
-    def _encode(self, chunk: str) -> tuple[int, ...]:
-        merge = self._merged if len(chunk) <= SHORT else self._merged_by_heap
-        known, spelled = self.pieces.ids.get, self.pieces.byte_ids
-        out: list[int] = []
-        for s in merge(chunk):
-            if (piece := known(s)) is not None:
-                out.append(piece)
-            else:
-                out += [spelled[b] for b in s.encode()]
-        return tuple(out)
-
-    def _merged(self, chunk: str) -> list[str]:
-        """The agenda is a list of ranks by place, which is quick to search
+    def _encode(self, chunk: str) -> bytes:
+        symbols = self._merged(chunk) if len(chunk) <= SHORT else self._merged_by_heap(chunk)
+        if max(symbols) >= self.pieces.base:
+            spelled, base = self.pieces.byte_ids, self.pieces.base
+            symbols = [i for s in symbols for i in ([s] if s < base else [spelled[b] for b in chr(s - base).encode()])]
+        return array("i", symbols).tobytes()
+
+    def _merged(self, chunk: str) -> list[int]:
+        """The agenda is a list of merges by place, which is quick to search
         while it is short; the first of the least ranks is taken."""
-        rank_of, skipped, symbols = self.pieces.ranks.get, self.skipped, [*chunk]
-        agenda = [rank_of(chunk[i : i + 2], NONE) for i in range(len(chunk) - 1)]
-        while agenda and (rank := min(agenda)) != NONE:
-            i = agenda.index(rank)
-            left = symbols[i]
-            if skipped is not None and skipped[rank, len(left)]:
-                agenda[i] = NONE
-                continue
-            joined = symbols[i] = left + symbols.pop(i + 1)
-            del agenda[i]
+        merge_of = self.merges.get
+        symbols = [*map(self.pieces.symbols.__getitem__, chunk)]
+        agenda = [merge_of(a << BITS | b, NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (merge := min(agenda)) != NONE:
+            i = agenda.index(merge)
+            joined = symbols[i] = merge & MASK
+            del symbols[i + 1], agenda[i]
             if i < len(agenda):
-                agenda[i] = rank_of(joined + symbols[i + 1], NONE)
+                agenda[i] = merge_of(joined << BITS | symbols[i + 1], NONE)
             if i:
-                agenda[i - 1] = rank_of(symbols[i - 1] + joined, NONE)
+                agenda[i - 1] = merge_of(symbols[i - 1] << BITS | joined, NONE)
         return symbols
 
-    def _merged_by_heap(self, chunk: str) -> list[str]:
+    def _merged_by_heap(self, chunk: str) -> list[int]:
         """The same with a heap and a linked list, for chunks of any length.
-        Agenda entries are the rank of the joined piece and the place of the
-        left symbol in one number."""
-        rank_of, skipped, n = self.pieces.ranks.get, self.skipped, len(chunk)
-        symbols = [*chunk]
+        Agenda entries are the merge and the place of its left symbol in one
+        number."""
+        merge_of, n = self.merges.get, len(chunk)
+        symbols = [*map(self.pieces.symbols.__getitem__, chunk)]
         agenda = []
         for i in range(n - 1):
-            if (r := rank_of(chunk[i : i + 2])) is not None:
-                agenda.append(r << 32 | i)
+            if (m := merge_of(symbols[i] << BITS | symbols[i + 1])) is not None:
+                agenda.append(m << 32 | i)
         heapify(agenda)
         after, before = [*range(1, n + 1)], [*range(-1, n)]
         while agenda:
             entry = heappop(agenda)
-            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            merge, i = entry >> 32, entry & 0xFFFFFFFF
             j = after[i]
             # stale when a neighbour has merged since it was put on the agenda
-            if j == n or not symbols[i] or rank_of(joined := symbols[i] + symbols[j]) != rank:
+            if j == n or symbols[i] < 0 or merge_of(symbols[i] << BITS | symbols[j]) != merge:
                 continue
-            if skipped is not None and skipped[rank, len(symbols[i])]:
-                continue
-            symbols[i], symbols[j] = joined, ""
+            joined = symbols[i] = merge & MASK
+            symbols[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (r := rank_of(joined + symbols[k])) is not None:
-                    heappush(agenda, r << 32 | i)
+                if (m := merge_of(joined << BITS | symbols[k])) is not None:
+                    heappush(agenda, m << 32 | i)
             h = before[i]
-            if h >= 0 and (r := rank_of(symbols[h] + joined)) is not None:
-                heappush(agenda, r << 32 | h)
-        return [s for s in symbols if s]
+            if h >= 0 and (m := merge_of(symbols[h] << BITS | joined)) is not None:
+                heappush(agenda, m << 32 | h)
+        return [s for s in symbols if s >= 0]
 
 
 class Codec:
@@ -180,32 +213,22 @@ class Codec:
     def __init__(self, path: str, seed: int, dropout: float, variants: int):
         self.pieces = Pieces(path)
         self.encoders = [Encoder(self.pieces, f"{seed}/{v}", dropout, KEPT_CHUNKS // variants) for v in range(variants)]
-        self.literal = [self.pieces.byte_ids[b] for b in BLANK.encode("utf-8")]
+        self.literal = array("i", [self.pieces.byte_ids[b] for b in BLANK.encode("utf-8")]).tobytes()
 
-    def encode(self, text: str | None, variant: int) -> list[int]:
+    def packed(self, text: str | None, variant: int) -> bytes:
+        """Identifiers as 32-bit numbers one behind the other."""
         if not text:
-            return []
-        lookup = self.encoders[variant].__getitem__
+            return b""
+        lookup, chunks = self.encoders[variant].__getitem__, self.pieces.chunks
         parts = f" {text}".split(BLANK)
-        ids = [*chain.from_iterable(map(lookup, self.pieces.chunks(parts[0].replace(" ", BLANK))))]
-        for part in parts[1:]:
-            ids += self.literal
-            ids += chain.from_iterable(map(lookup, self.pieces.chunks(part.replace(" ", BLANK))))
-        return ids
-
-    def decode(self, ids: list[int]) -> str:
-        surface, byte_of = self.pieces.surface, self.pieces.byte_of
-        if byte_of.keys().isdisjoint(ids):
-            text = "".join(map(surface.__getitem__, ids))
-        else:
-            text = b"".join(bytes([byte_of[i]]) if i in byte_of else surface[i].encode("utf-8") for i in ids).decode("utf-8", "replace")
-        return text[1:]
+        return self.literal.join([b"".join(map(lookup, chunks(part.replace(" ", BLANK)))) for part in parts])
 
+    def encode(self, text: str | None, variant: int) -> list[int]:
+        return np.frombuffer(self.packed(text, variant), dtype=np.int32).tolist()
 
-def slices(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[tuple[pd.Series, ...]]:
-    for batch in batches:
-        for at in range(0, len(batch[0]), ROWS):
-            yield tuple(part[at : at + ROWS] for part in batch)
+    def decode(self, ids: Sequence[int]) -> str:
+        numbers = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        return b"".join(map(self.pieces.spelled.__getitem__, numbers)).decode("utf-8", "replace")[1:]
 
 
 @lru_cache(maxsize=2)
@@ -213,6 +236,26 @@ def codec(path: str, seed: int, dropout: float, variants: int) -> Codec:
     return Codec(path, seed, dropout, variants)
 
 
+def _texts(texts: pa.Array) -> Iterator[str | None]:
+    """The texts of a batch, some at a time."""
+    for at in range(0, len(texts), ROWS):
+        yield from texts.slice(at, ROWS).to_pylist()
+
+
+def _encoded(tool: Codec, texts: pa.Array, which: pa.Array) -> Iterator[bytes | None]:
+    for text, variant in zip(_texts(texts), which.to_pylist()):
+        yield None if text is None else tool.packed(text, variant)
+
+
+def lists(packed: Iterable[bytes | None]) -> pa.Array:
+    """A list column of 32-bit numbers from their bytes."""
+    parts = [*packed]
+    ends = np.cumsum([0, *(len(p) // 4 if p else 0 for p in parts)])
+    offsets = pa.array(ends.astype(np.int32), mask=np.array([*(p is None for p in parts), False]))
+    values = np.frombuffer(b"".join(p for p in parts if p), dtype=np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(values))
+
+
 def encode(df: DataFrame, path: str, variant_of: Column, text: str = "text", out: str = "ids", seed: int = 0, dropout: float = 0.1, variants: int = VARIANTS) -> DataFrame:
     """``df`` with the piece identifiers of ``text`` in an array column ``out``.
 
@@ -223,11 +266,11 @@ def encode(df: DataFrame, path: str, variant_of: Column, text: str = "text", out
     identifiers. Texts are encoded whole, one at a time.
     """
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         tool = codec(path, seed, dropout, variants)
-        for texts, which in slices(batches):
-            yield pd.Series([None if t is None else tool.encode(t, v) for t, v in zip(texts, which)], dtype="object")
+        for texts, which in batches:
+            yield lists(_encoded(tool, texts, which))
 
     variant = F.pmod(F.xxhash64(variant_of, F.lit(seed)), F.lit(variants)).cast("int")
     return df.withColumn(out, run(F.col(text), variant))
@@ -240,7 +283,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = codec(path, 0, 0.0, 1)
         for batch in batches:
-            yield pd.Series([None if i is None else tool.decode([*i]) for i in batch], dtype="object")
+            yield pd.Series([None if i is None else tool.decode(i) for i in batch], dtype="object")
 
     return df.withColumn(out, run(F.col(ids)))
 
@@ -252,13 +295,15 @@ def encode_checked(df: DataFrame, path: str, variant_of: Column, text: str = "te
     Columns of ``df`` with these names are replaced.
     """
 
-    @F.pandas_udf("struct<ids: array<int>, lossless: boolean>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<ids: array<int>, lossless: boolean>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         tool = codec(path, seed, dropout, variants)
-        for texts, which in slices(batches):
-            ids = [None if t is None else tool.encode(t, v) for t, v in zip(texts, which)]
-            same = [None if t is None else tool.decode(i) == t for t, i in zip(texts, ids)]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype="object"), "lossless": pd.Series(same, dtype="object")})
+        for texts, which in batches:
+            ids, same = [], []
+            for text, found in zip(_texts(texts), _encoded(tool, texts, which)):
+                ids.append(found)
+                same.append(None if found is None else tool.decode(np.frombuffer(found, dtype=np.int32)) == text)
+            yield pa.StructArray.from_arrays([lists(ids), pa.array(same, type=pa.bool_())], names=["ids", "lossless"])
 
     variant = F.pmod(F.xxhash64(variant_of, F.lit(seed)), F.lit(variants)).cast("int")
     both = spare(df, "encoded")

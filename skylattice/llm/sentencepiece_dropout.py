@@ -34,7 +34,7 @@ BLANK = "▁"
 VARIANTS = 4
 #: Chunks whose identifiers a worker keeps, over all variants, in each of two
 #: generations: what is asked for again in the younger one outlives the older one.
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 300_000
 #: Chunks up to this length are merged with a list for an agenda, longer ones with a heap.
 SHORT = 64
 #: A symbol is a piece's identifier, or for a character without one its code

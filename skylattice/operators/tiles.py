@@ -40,7 +40,10 @@ def columns_of_runs(df: DataFrame, encoded: str, height: str, image: str, label:
     runs = runs.withColumn("x", F.explode(F.sequence(F.floor(F.col("first") / F.col("h")), F.floor(F.col("last") / F.col("h")))))
     a = F.greatest(F.col("first") - F.col("x") * F.col("h"), F.lit(0).cast("long"))
     b = F.least(F.col("last") - F.col("x") * F.col("h"), F.col("h") - 1)
-    return merged(runs.select(*KEY, F.col("x").cast("long").alias("x"), a.alias("a"), b.alias("b")))
+    columns = runs.select(*KEY, F.col("x").cast("long").alias("x"), a.alias("a"), b.alias("b"))
+    # a few bytes of runs can be very many columns: these are dealt, not the masks
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return merged(columns.repartition(n, *KEY, "x"))
 
 
 def merged(rows: DataFrame) -> DataFrame:
@@ -98,6 +101,13 @@ def _around(rows: DataFrame, names: tuple[str, str] = ("cx", "cy")) -> DataFrame
     return spread.withColumns({c: F.col(c) + F.col(f"near.{d}") for c, d in zip(names, ("dx", "dy"))}).drop("near")
 
 
+def _by_cell(rows: DataFrame, near: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows beside what is near their cell. The written rows of ``near`` take
+    few bytes and stand for nine each, so Spark would send them to all tasks
+    through the driver; both sides are shuffled instead."""
+    return rows.join(near.hint("merge"), [*KEY, "cx", "cy"], how)
+
+
 def _overlap(x: Column, y: Column, other_x: Column, other_y: Column, size: int) -> Column:
     return (F.abs(x - other_x) < size) & (F.abs(y - other_y) < size)
 
@@ -114,7 +124,7 @@ def _proposals(rows: DataFrame, size: int, seed: int) -> DataFrame:
 def _taken(proposals: DataFrame, size: int) -> DataFrame:
     """Proposals that come before all others that they overlap."""
     others = _around(proposals.select(*KEY, "cx", "cy", F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("n").alias("on")))
-    met = proposals.join(others, [*KEY, "cx", "cy"])
+    met = _by_cell(proposals, others)
     # cells are different where numbers are equal, so the place decides
     before = F.struct("on", "ox", "oy") < F.struct("n", "x", "y")
     lost = F.max((_overlap(F.col("x"), F.col("y"), F.col("ox"), F.col("oy"), size) & before).cast("int"))
@@ -126,7 +136,7 @@ def _without(rows: DataFrame, taken: DataFrame, size: int) -> DataFrame:
     near = _around(taken.select(*KEY, "cx", "cy", F.col("x").alias("tx"), F.col("y").alias("ty")))
     # at most nine tiles are near a cell
     gathered = near.groupBy(*KEY, "cx", "cy").agg(F.array_sort(F.collect_set(F.struct("ty", "tx"))).alias("tiles"))
-    met = rows.join(gathered, [*KEY, "cx", "cy"], "left")
+    met = _by_cell(rows, gathered, "left")
     close = F.filter("tiles", lambda t: F.abs(t["tx"] - F.col("x")) < size)
     close = F.coalesce(close, F.array().cast("array<struct<ty:bigint,tx:bigint>>"))
     # between one tile's reach and the next one's, in the order of rows

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skylattice.operators import tiles
+from skylattice.session import materialise
 
 HEIGHT = 23
 
@@ -130,3 +131,17 @@ def test_grid_tiles_count_pixels_once(spark):
 def test_no_masks(spark):
     none = frame(spark, {}).where(F.lit(False))
     assert tiles.place_tiles(none, "rle", "h", "image", "label", 3).count() == 0
+
+
+def test_columns_are_dealt_and_cells_not_sent_to_all(spark):
+    """A few bytes of runs stand for many columns, and a few of tiles for nine rows each."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few = spark.createDataFrame([(i, "a", "1 4000", 4) for i in range(3)], "image long, label string, rle string, h int").repartition(1, "image", "label")
+    columns = tiles.columns_of_runs(few, "rle", "h", "image", "label")
+    assert columns.rdd.getNumPartitions() == n and columns.count() == 3000
+    place = "image long, label string, cx long, cy long, x long, y long, n long"
+    one = materialise(spark.createDataFrame([(1, "a", 0, 0, 0, 0, 5)], place))
+    rows = materialise(spark.createDataFrame([(1, "a", 0, 0, 2, 0, 3)], place.replace("y long, n long", "a long, b long")))
+    for met in (tiles._taken(one, 4), tiles._without(rows, one.drop("n"), 4)):
+        met.collect()
+        assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 KEY = "place_key"
 #: Steps of a coordinate are 2 ** BITS; keys of two or three coordinates fit in 63 bits.
 BITS = 20
+#: Bits of a step that are spread out at once.
+LOOKED_UP = 5
 #: Ranges of keys that a box is put into at most.
 MOST_RANGES = 48
 
@@ -26,11 +28,14 @@ def interleaved(steps: Sequence[Column], bits: int = BITS) -> Column:
     """One key of the bits of several whole numbers, the highest ones first."""
     if len(steps) * bits > 63:
         raise ValueError("the bits of all coordinates must fit in a long")
+    n = len(steps)
+    # a few bits at a time with the gaps between them; an operation per bit makes code too long to be compiled
+    apart = F.array(*[F.lit(sum((v >> b & 1) << b * n for b in range(LOOKED_UP))).cast("long") for v in range(2**LOOKED_UP)])
     key = F.lit(0).cast("long")
-    for b in range(bits):
+    for b in range(0, bits, LOOKED_UP):
         for k, step in enumerate(steps):
-            bit = F.shiftright(step.cast("long"), b).bitwiseAND(F.lit(1).cast("long"))
-            key = key.bitwiseOR(F.shiftleft(bit, b * len(steps) + k))
+            some = F.shiftright(step.cast("long"), b).bitwiseAND(F.lit(2 ** min(LOOKED_UP, bits - b) - 1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(F.get(apart, some.cast("int")), b * n + k))
     return key
 
 
@@ -89,12 +94,14 @@ def write_places(df: DataFrame, path: str, coordinates: Sequence[str], files: in
     """
     ends = df.agg(*[f(F.col(c).cast("double")).alias(f"{i}{n}") for i, c in enumerate(coordinates) for n, f in (("a", F.min), ("b", F.max))]).first()
     limits = [(float(ends[f"{i}a"] or 0.0), float(ends[f"{i}b"] or 0.0)) for i in range(len(coordinates))]
-    key = interleaved([step_of(F.col(c), *limit) for c, limit in zip(coordinates, limits)])
+    # steps are columns, so that they are worked out once and not for every look-up
+    steps = {f"__step_{i}": step_of(F.col(c), *limit) for i, (c, limit) in enumerate(zip(coordinates, limits))}
+    key = interleaved([F.col(s) for s in steps])
     known = F.lit(True)
     for c in coordinates:
         known = known & F.col(c).isNotNull()
     kept = {"places": json.dumps({"coordinates": list(coordinates), "limits": limits, "bits": BITS})}
-    keyed = df.select("*", F.when(known, key).alias(KEY, metadata=kept))
+    keyed = df.withColumns(steps).select(*df.columns, F.when(known, key).alias(KEY, metadata=kept))
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = keyed.repartitionByRange(n, KEY, *coordinates).sortWithinPartitions(KEY, *coordinates).write
     if row_group_bytes:

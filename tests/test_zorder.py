@@ -72,3 +72,13 @@ def test_a_small_box_reads_few_row_groups(spark):
     with pytest.raises(ValueError):
         zorder.read_box(spark, path, {"height": (0.0, 1.0)})
     assert got.columns == df.columns
+
+
+def test_key_is_short(spark):
+    """Few operations a row: an operation per bit made code that was not compiled."""
+    steps = [F.col("a"), F.col("b")]
+    assert str(zorder.interleaved(steps)).count("shiftright") <= 12
+    df = spark.createDataFrame([(2**20 - 1, 0), (0, 2**20 - 1), (5, 9), (699050, 349525)], "a long, b long")
+    plain = lambda p: sum((v >> i & 1) << 2 * i + k for k, v in enumerate(p) for i in range(20))
+    got = df.select("a", "b", zorder.interleaved(steps).alias("key")).collect()
+    assert [r.key for r in got] == [plain((r.a, r.b)) for r in got]

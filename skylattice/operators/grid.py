@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import correlation, virtual_potential_temperature
 from ..ordered import attach
+from ..session import materialise
 
 # Normalised heights of the 70 theta levels and the model top.
 ETA_THETA_LEVELS = [
@@ -22,6 +24,8 @@ ETA_THETA_LEVELS = [
 ]
 MODEL_TOP_M = 80000.0
 CELL_SIZE_M = 1500.0
+#: Cells of a partition of tiles, about.
+CELLS = 50_000
 
 
 def theta_level_heights(n: int = len(ETA_THETA_LEVELS)) -> list[float]:
@@ -112,9 +116,12 @@ class Halo:
             return F.array_distinct(F.array(*spans))
 
         self.home = (F.col("__ty") == tile_of(y, size)) & (F.col("__tx") == tile_of(x, size))
+        df = materialise(df)
         spread = df.withColumn("__ty", F.explode(tiles(y))).withColumn("__tx", F.explode(tiles(x)))
         self.tile = [*self.keys, "__ty", "__tx"]
-        self.df = spread.repartition(*self.tile)
+        # by cells and not by bytes: a task sorts its cells once per axis and way, and holds all of these
+        parts = max(1, math.ceil(df.count() / CELLS))
+        self.df = spread.repartition(parts, *self.tile)
 
     def neighbour(self, axis: str, columns: dict[str, str], step: int) -> "Halo":
         """Values one cell back (-1) or ahead (+1) along ``axis``; null when

@@ -125,3 +125,11 @@ def test_pure_tiles(spark):
     pixels = spark.createDataFrame([("im", "a", x, y) for x in range(5) for y in range(4)], "image string, label string, x long, y long")
     got = {(r.tile_x, r.tile_y) for r in sampling.pure_tiles(pixels, "image", "label", 2).collect()}
     assert got == {(0, 0), (0, 1), (1, 0), (1, 1)}
+
+
+def test_tiles_are_dealt_by_cells(spark, monkeypatch):
+    """A partition of tiles holds about as many cells however many there are."""
+    monkeypatch.setattr(grid, "CELLS", 1000)
+    cells = spark.range(20_000).select(F.lit(0).alias("k"), (F.col("id") % 200).cast("int").alias("y"), F.floor(F.col("id") / 200).cast("int").alias("x"))
+    halo = grid.Halo(cells, [], "y", "x", "k", 8)
+    assert halo.df.rdd.getNumPartitions() == 20 and halo.finish("y", "x").distinct().count() == 20_000

@@ -194,7 +194,8 @@ def bagged(df: DataFrame, make: Callable[[str], Estimator], ids: Sequence[str],
     as row weights so that rows are not copied."""
     n, models = df.count(), []
     # Arrow has arrays, but no vectors
-    plain = df.withColumn("features", vector_to_array("features"))
+    plain = df.withColumn("features", vector_to_array("features")).select(*_read_by(make("__w"), df.columns, ids))
+    plain = materialise(plain)
     for i in range(replicas):
         drawn = draw_counts(plain, ids, n, seed + i, "__w")
         weighted = drawn.withColumns({"features": array_to_vector("features"), "__w": F.col("__w").cast("double")})
@@ -202,6 +203,14 @@ def bagged(df: DataFrame, make: Callable[[str], Estimator], ids: Sequence[str],
     return models
 
 
+def _read_by(model: Estimator, columns: Sequence[str], ids: Sequence[str]) -> list[str]:
+    """The columns that a fit reads, and the ids; all for a chain, whose stages may read any."""
+    if isinstance(model, (Pipeline, OneVsRest)):
+        return list(columns)
+    named = {model.getOrDefault(p) for p in model.params if p.name.endswith("Col") and model.isDefined(p)}
+    return [c for c in columns if c in named or c in ids or c == "features"]
+
+
 def average_prediction(df: DataFrame, models: Sequence[Model], out: str = "prediction") -> DataFrame:
     scored = df
     names = []

@@ -121,3 +121,14 @@ def test_dates_far_away_wrap(spark):
     df = spark.createDataFrame([(0.0, 190.0), (0.0, -170.0), (0.0, 10.0)], "lat double, lon double")
     assert tables.region_box(df, "lat", "lon", -1, 1, -175, -165).count() == 2
     assert tables.region_box(df, "lat", "lon", -1, 1, 170, -165).count() == 2
+
+
+def test_replicas_carry_what_a_fit_reads(spark):
+    from pyspark.ml import Pipeline
+
+    from skylattice.operators import models
+
+    tree = models.regressor("tree", "y", "__w", maxDepth=2)
+    columns = ["id", "features", "y", "flag", "more"]
+    assert models._read_by(tree, columns, ["id"]) == ["id", "features", "y"]
+    assert models._read_by(Pipeline(stages=[tree]), columns, ["id"]) == columns

@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from urllib.parse import urlparse
@@ -35,7 +35,9 @@ END = xxhash.xxh64_intdigest(b" end")
 #: Words whose numbers a worker keeps; beyond that it starts anew.
 KEPT_WORDS = 300_000
 #: Tokens worked on at a time.
-TOKENS = 1_000_000
+TOKENS = 250_000
+#: Texts of a batch that are taken out of it at a time.
+TEXTS = 1_000
 _PRIME = [np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -78,11 +80,11 @@ def packed(columns: list[np.ndarray]) -> bytes:
         width = 8 if len(c) and int(c.max()) >= 2**32 else 4
         parts += [bytes([width]), c.astype(f"<u{width}").tobytes()]
     raw = b"".join(parts)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return parts[0] + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpacked(blob: bytes) -> list[np.ndarray]:
-    raw = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    raw = pa.decompress(blob[16:], decompressed_size=int.from_bytes(blob[8:16], "little"), codec="zstd", asbytes=True)
     n, at, columns = int.from_bytes(raw[:8], "little"), 8, []
     while at < len(raw):
         width = raw[at]
@@ -91,6 +93,11 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
     return columns
 
 
+def unpacked_size(blob: pa.Scalar) -> int:
+    """Rows of packed columns, from the head alone."""
+    return int.from_bytes(blob.as_buffer()[:8].to_pybytes(), "little")
+
+
 def by_range(which: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The rows of each range, in order."""
     if not len(which):
@@ -255,7 +262,7 @@ class Reader:
         }
 
 
-def token_groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+def token_groups(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
     """Texts in order, about ``TOKENS`` words at a time; a longer one alone."""
     group, size = [], 0
     for t in texts:
@@ -269,6 +276,11 @@ def token_groups(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield group
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[str | None]:
+    for at in range(0, len(batch), TEXTS):
+        yield from batch.column(0).slice(at, TEXTS).to_pylist()
+
+
 def _manifest(rows: list[dict], schema: str) -> pa.Table:
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     names = [part.split() for part in schema.split(", ")]
@@ -278,7 +290,7 @@ def _manifest(rows: list[dict], schema: str) -> pa.Table:
 def _count_words(texts: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for group in token_groups(batch.column(0).to_pylist()):
+            for group in token_groups(_texts(batch)):
                 counts = Counter()
                 for t in group:
                     counts.update(words_of(t))
@@ -294,6 +306,20 @@ def _joined(table: pa.Table) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*[unpacked(b) for b in table.column("sums").to_pylist()])]
 
 
+def _unpacked_pairs(blobs: pa.ChunkedArray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs and their counts, one blob after another put in place: all of them
+    in 64 bits beside their joined copies would take several times as much."""
+    number = np.uint32 if n_words < 2**32 - 1 else np.int64
+    sizes = [unpacked_size(b) for b in blobs]
+    u, v = (np.empty(sum(sizes), dtype=number) for _ in range(2))
+    c, at = np.empty(sum(sizes), dtype=np.int64), 0
+    for blob, n in zip(blobs, sizes):
+        steps, v[at : at + n], c[at : at + n] = unpacked(blob.as_py())
+        u[at : at + n] = np.cumsum(steps)
+        at += n
+    return u, v, c
+
+
 def train(texts: DataFrame, text: str = "text", bits: int | None = None) -> Model:
     """Fit the model to all rows of ``texts``; a null text is an empty one.
 
@@ -336,7 +362,7 @@ def _count_pairs(texts: DataFrame, model: Model, folder: str, sizes: np.ndarray)
     def pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            for group in token_groups(batch.column(0).to_pylist()):
+            for group in token_groups(_texts(batch)):
                 u, v, _ = reader.pairs(group)
                 (u, v), (c,) = summed([u, v], [np.ones(len(u), dtype=np.int64)])
                 where = (pair_hash(u, v) >> np.uint64(64 - bits)).astype(np.uint16)
@@ -347,8 +373,7 @@ def _count_pairs(texts: DataFrame, model: Model, folder: str, sizes: np.ndarray)
     schema = "kind long, range long, sums binary, hashes string, counts string, n long, n1 long, n2 long, n3 long, n4 long"
 
     def write_pairs(table: pa.Table) -> pa.Table:
-        parts = [unpacked(b) for b in table.column("sums").to_pylist()]
-        u, v, c = (np.concatenate(x) for x in zip(*[(np.cumsum(s), b, n) for s, b, n in parts]))
+        u, v, c = _unpacked_pairs(table.column("sums"), n_words)
         (u, v), (c,) = summed([u, v], [c])
         keys = pair_hash(u, v)
         order = np.argsort(keys)

@@ -35,6 +35,12 @@ from ..session import materialise
 FAN = 32
 #: Pairs of a point and a reference row that distances are held of at a time.
 PAIRS = 2_000_000
+#: Bytes of features in a block of rows, where all rows meet all.
+BLOCK_BYTES = 16_000_000
+#: Points, about, that show how much of a tree is searched.
+PROBES = 500
+#: All rows meet all in blocks where the cells to be searched hold more than this share of the pairs.
+MOST_SEARCHED = 0.1
 
 PAIR_SCHEMA = "id long, neighbour long, distance double"
 
@@ -57,16 +63,44 @@ def nearest_pairs(ids: np.ndarray, points: np.ndarray, ref_ids: np.ndarray, refs
     """The k nearest refs of each point; equal distances keep the order of ``refs``."""
     if not len(ids) or not len(ref_ids):
         return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-    step, take, near, dist = max(1, PAIRS // refs.size), min(k, len(refs)), [], []
+    take, near, dist = min(k, len(refs)), [], []
+    norms, sizes = (refs * refs).sum(axis=1), (points * points).sum(axis=1)
+    step = max(1, PAIRS // len(refs))
     for lo in range(0, len(points), step):
-        d = distances(points[lo : lo + step], refs)
-        order = np.argsort(d, axis=1, kind="stable")[:, :take]
-        near.append(order)
-        dist.append(np.take_along_axis(d, order, axis=1))
+        some = points[lo : lo + step]
+        if np.isfinite(norms).all() and np.isfinite(sizes[lo : lo + step]).all():
+            at, far = _through_products(some, sizes[lo : lo + step], refs, norms, take)
+        else:
+            d = distances(some, refs)
+            at = np.argsort(d, axis=1, kind="stable")[:, :take]
+            far = np.take_along_axis(d, at, axis=1)
+        near.append(at)
+        dist.append(far)
     at, far = np.vstack(near), np.vstack(dist)
     return pd.DataFrame({"id": np.repeat(ids, take), "neighbour": ref_ids[at.ravel()], "distance": far.ravel()})
 
 
+def _through_products(points: np.ndarray, sizes: np.ndarray, refs: np.ndarray, norms: np.ndarray, take: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and distances of the ``take`` nearest refs of each point.
+
+    Squares of distances from a product of matrices are off by rounding. All
+    refs that can be among the nearest within twice that error are measured
+    again from the differences, so the result is that of ``distances``.
+    """
+    squares = norms - 2.0 * (points @ refs.T)
+    error = 4 * (refs.shape[1] + 4) * np.finfo("float64").eps * (sizes + norms.max()) + np.finfo("float64").tiny
+    last = np.partition(squares, take - 1, axis=1)[:, take - 1]
+    i, j = np.nonzero(squares <= (last + 2 * error)[:, None])
+    d, step = np.empty(len(i)), max(1, PAIRS // refs.shape[1])
+    for lo in range(0, len(i), step):
+        diff = points[i[lo : lo + step]] - refs[j[lo : lo + step]]
+        d[lo : lo + step] = np.sqrt((diff * diff).sum(axis=1))
+    order = np.lexsort((j, d, i))
+    first = np.searchsorted(i, np.arange(len(points)))
+    kept = order[first[:, None] + np.arange(take)]
+    return j[kept], d[kept]
+
+
 def meet(left: DataFrame, right: DataFrame, rows: int, each: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """``each`` on the rows of both tables with one ``node``, at most about
     ``rows`` of the left ones at a time; the right ones are copied to each block.
@@ -91,6 +125,8 @@ class Tree:
     nodes: DataFrame | None
     depth: int
     rows: int
+    #: All rows in it (id, features, node of the root).
+    refs: DataFrame | None = None
     #: (point, cell) pairs searched, and how many there are.
     visited: int = 0
     possible: int = 0
@@ -106,7 +142,7 @@ def grow(refs: DataFrame, k: int, rows: int) -> Tree:
     """
     place = F.row_number().over(Window.partitionBy("node", "features").orderBy("id"))
     # a limit per place, which Spark also applies before the shuffle
-    members = materialise(refs.withColumn("at", place).where(F.col("at") <= k))
+    members = whole = materialise(refs.withColumn("at", place).where(F.col("at") <= k))
     leaves, nodes, depth = [], [], 0
     while True:
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
@@ -133,7 +169,7 @@ def grow(refs: DataFrame, k: int, rows: int) -> Tree:
     above = None
     for level in nodes:
         above = level if above is None else above.unionByName(level)
-    return Tree(materialise(cells.drop("at")), above, depth, rows)
+    return Tree(materialise(cells.drop("at")), above, depth, rows, whole.drop("at"))
 
 
 def _to_nearest(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
@@ -204,6 +240,17 @@ def _leaves(tree: Tree, front: DataFrame, bounded: bool) -> DataFrame:
     return materialise(there)
 
 
+def _searched(tree: Tree, front: DataFrame) -> float:
+    """The share of all pairs that is in the cells a few of the points reach."""
+    every = max(1, tree.visited // PROBES)
+    few = materialise(front.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(every)) == 0))
+    sizes = tree.cells.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    found = attach(_leaves(tree, few, True).select("node"), sizes, ["node"], "inner").agg(F.sum("n")).first()[0]
+    roots = tree.refs.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    pairs = attach(few.select("node"), roots, ["node"], "inner").agg(F.sum("n")).first()[0]
+    return found / pairs if found and pairs else 0.0
+
+
 def search(tree: Tree, points: DataFrame, k: int) -> DataFrame:
     """The k nearest rows of each point (id, features, node of its root):
     (id, neighbour, distance, rank). ``tree`` counts the cells visited."""
@@ -215,6 +262,22 @@ def search(tree: Tree, points: DataFrame, k: int) -> DataFrame:
     def look(visits: DataFrame) -> DataFrame:
         return meet(visits.select("id", "features", "node"), tree.cells, tree.rows, in_cell, PAIR_SCHEMA)
 
+    def all_pairs() -> DataFrame:
+        """Blocks of rows of one root, each with each."""
+        width = tree.refs.agg(F.max(F.size("features"))).first()[0]
+        block = max(tree.rows, BLOCK_BYTES // (8 * max(1, width)))
+        parts = materialise(tree.refs.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")))
+        named = F.concat_ws("/", "node", "part")
+        mine = attach(points.select("id", "features", "node"), parts, ["node"], "inner")
+        mine = mine.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        theirs = attach(tree.refs, parts, ["node"], "inner").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        columns = [F.col("id"), F.col("features"), named.alias("node")]
+        mine = materialise(mine.select(*columns))
+        # blocks of points are less where they would be fewer than the tasks
+        tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        most = min(block, max(tree.rows, mine.count() // tasks))
+        return meet(mine, theirs.select(*columns), most, in_cell, PAIR_SCHEMA)
+
     start = points.select("id", "features", "node", F.lit(float("inf")).alias("bound"), F.lit(0.0).alias("least"))
     home = materialise(_leaves(tree, start, False).select("id", "features", F.col("node").alias("home")))
     found = materialise(best(look(home.withColumnRenamed("home", "node")), k))
@@ -228,6 +291,9 @@ def search(tree: Tree, points: DataFrame, k: int) -> DataFrame:
         return full.select("id", F.when(F.col("n") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("bound"))
 
     again = start.drop("bound").join(bounds(found), "id").select(*[F.col(c) for c in ("id", "features", "node", "bound", "least")])
+    if _searched(tree, again) > MOST_SEARCHED:
+        tree.visited = tree.possible
+        return materialise(best(all_pairs(), k))
     reached = _leaves(tree, again, True).join(home.select("id", "home"), "id").where(F.col("node") != F.col("home"))
     left = materialise(reached.select("id", "features", "node", "least"))
     size = 1

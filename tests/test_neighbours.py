@@ -174,3 +174,27 @@ def test_probes_are_the_nearest_cells():
             steps = sorted((abs(places[i, t, p] - own[p] - (side > 0)), p, side) for p in range(4) for side in (-1, 1))[:3]
             want = {tuple(own + np.eye(4)[p] * side) for _, p, side in steps} | {tuple(own)}
             assert {tuple(x) for x in probes[i, t]} == want
+
+
+def test_products_give_the_distances_themselves():
+    """Near ties and copies keep the order of the refs; far from 0 the products are off by far more than the gaps."""
+    rng = np.random.default_rng(3)
+    for refs in (rng.normal(size=(700, 9)), 1e6 + 1e-4 * rng.normal(size=(700, 9)), np.repeat(rng.integers(0, 3, (70, 2)).astype(float), 10, axis=0)):
+        points = np.vstack([refs[::7], refs[:5] + 0.5])
+        got = pivot_tree.nearest_pairs(np.arange(len(points)), points, np.arange(len(refs)), refs, 6)
+        d = pivot_tree.distances(points, refs)
+        at = np.argsort(d, axis=1, kind="stable")[:, :6]
+        assert got["neighbour"].tolist() == at.ravel().tolist()
+        assert got["distance"].tolist() == np.take_along_axis(d, at, axis=1).ravel().tolist()
+
+
+def test_even_vectors_meet_in_blocks(spark, monkeypatch):
+    """Where nothing is ruled out, all rows meet all in blocks and no cell is visited again."""
+    monkeypatch.setattr(pivot_tree, "BLOCK_BYTES", 100 * 8 * 24)
+    v = np.random.default_rng(5).normal(size=(400, 24))
+    df = spark.createDataFrame([(i, r.tolist(), "all") for i, r in enumerate(v)], "id long, features array<double>, node string")
+    tree = pivot_tree.grow(df, 3, 50)
+    got = sorted((r.id, r["rank"], r.neighbour) for r in pivot_tree.search(tree, df, 3).collect())
+    near = np.argsort(pivot_tree.distances(v, v), axis=1, kind="stable")[:, :3]
+    assert got == [(i, k + 1, int(near[i, k])) for i in range(400) for k in range(3)]
+    assert not tree.rounds

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import keyed_number
 from ..ordered import OrderedRows, exact_quantiles
 from ..session import materialise
-from . import gram
+from . import gram, trees
 from .gram import student_t
 from .sampling import draw_counts, hash_unit, with_fold
 from .verification import r2_mse
@@ -362,18 +362,25 @@ def cross_validate(
     """r2 of every feature set, model and fold.
 
     Plain linear models have their training sums by subtraction: all sets and
-    folds of them take one pass. Other models are fitted fold by fold.
+    folds of them take one pass. Regression trees of all sets and folds grow
+    together, a pass per level. Other models are fitted fold by fold.
     """
-    rows = materialise(with_fold(df, ids, folds, seed, "__fold"))
+    columns = list(dict.fromkeys(c for cs in feature_sets.values() for c in cs))
+    made = {n: make() for n, make in models.items()}
+    plain = [n for n, model in made.items() if _least_squares(model)]
+    grown = [n for n, model in made.items() if trees.grown_alike(model, df, columns, label)]
+    others = [n for n in models if n not in plain and n not in grown]
+    rows = with_fold(df, ids, folds, seed, "__fold")
+    rows = materialise(rows if others else rows.select(*dict.fromkeys([*columns, label, "__fold"])))
     evaluate = RegressionEvaluator(labelCol=label, metricName="r2")
-    plain = [n for n, make in models.items() if _least_squares(make())]
     table = []
     if plain:
-        columns = list(dict.fromkeys(c for cs in feature_sets.values() for c in cs))
         grams = gram.gram_sums(rows, {c: F.col(c) for c in columns}, F.col(label), "__fold")
         table += [(s, n, f, r2) for n in plain for s, f, r2 in gram.fold_scores(grams, feature_sets)]
+    if grown:
+        wanted = {(s, n): (cs, made[n]) for s, cs in feature_sets.items() for n in grown}
+        table += [(s, n, f, r2) for (s, n), f, r2 in trees.fold_scores(rows, label, "__fold", folds, wanted)]
     for set_name, columns in feature_sets.items():
-        others = [n for n in models if n not in plain]
         vec = materialise(with_vector(rows, columns)) if others else rows
         for model_name in others:
             for f in range(folds):
